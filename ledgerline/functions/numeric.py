@@ -69,3 +69,16 @@ def zero_if_negative(x: Column | str) -> Column:
     """Negative -> 0, NULL stays NULL (``greatest`` would turn NULL into 0)."""
     c = _c(x)
     return F.when(c < 0, F.lit(0)).otherwise(c)
+
+
+def publish(df):
+    """Cast DECIMAL columns to DOUBLE for published results (sums stay exact
+    upstream; the published value is the correctly rounded double)."""
+    from pyspark.sql import types as T
+
+    return df.select(
+        *[
+            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
