@@ -6,14 +6,21 @@ Every query runs the whole pipeline over the whole driver tables in
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import publish
+from ledgerline.functions.numeric import dbl, round_dbl
+from ledgerline.operators import features as feat
 from ledgerline.operators import star as star_ops
+from ledgerline.operators.materialize import materialize
+from ledgerline.operators.quantile import exact_quantile
 from ledgerline.operators import validate as V
-from ledgerline.plans import marts
+from ledgerline.plans import chart_data, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
 from ledgerline.session import ensure_checkpoint_dir
@@ -97,6 +104,91 @@ def fk_null_audit(spark, sf_dir):
     return star_ops.fk_null_audit(_pipe(spark, sf_dir).fact)
 
 
+def pipeline_counts(spark, sf_dir):
+    """Row counts per stage, one row per stage (long format)."""
+    p = _pipe(spark, sf_dir)
+    star = p.star
+    a, b = BASE_YEAR, COMPARE_YEAR
+    parts = [
+        ("raw_rows", V.conform(p.raw)),
+        ("staging_rows", p.staging),
+        ("dim_date_rows", star.dim_date.df),
+        ("dim_store_rows", star.dim_store.df),
+        ("dim_product_rows", star.dim_product.df),
+        ("fact_sales_rows", star.fact_sales),
+        ("revenue_decomposition_rows", marts.revenue_decomposition(star, a, b)),
+        ("store_pl_rows", marts.store_pl(star, a, b)),
+        ("discount_leakage_rows", marts.discount_leakage(star)),
+        ("seasonality_rows", marts.seasonality(star)),
+        ("store_day_rows", feat.store_day_features(star)),
+    ]
+    counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("stage"), "row_count")
+               for n, df in parts]
+    return reduce(DataFrame.unionByName, counted)
+
+
+# --- anomaly features ----------------------------------------------------------
+def _daily(spark, sf_dir):
+    return feat.store_day_features(_pipe(spark, sf_dir).star)
+
+
+def store_day_features(spark, sf_dir):
+    return publish(_daily(spark, sf_dir))
+
+
+def rolling_features(spark, sf_dir):
+    return publish(feat.rolling_features(_daily(spark, sf_dir)))
+
+
+def scaled_features(spark, sf_dir):
+    return feat.scaled_features(materialize(_daily(spark, sf_dir), "store_day"))
+
+
+CONTAMINATION = 0.03
+
+
+def isolation_threshold_flags(spark, sf_dir):
+    """The contamination threshold step on a stand-in score (net revenue):
+    offset = exact 3rd percentile; flagged when score - offset < 0."""
+    daily = materialize(_daily(spark, sf_dir), "store_day")
+    offset = exact_quantile(daily, "net_revenue", CONTAMINATION)
+    return daily.select(
+        "store_id",
+        "city",
+        "full_date",
+        dbl("net_revenue").alias("net_revenue"),
+        round_dbl(F.lit(offset).cast("double"), 4).alias("threshold"),
+        ((dbl("net_revenue") - F.lit(offset).cast("double")) < 0).cast("int").alias("is_flagged"),
+    )
+
+
+# --- chart tables ----------------------------------------------------------------
+def waterfall_points(spark, sf_dir):
+    return chart_data.waterfall_points(revenue_decomposition(spark, sf_dir))
+
+
+def discount_scatter_points(spark, sf_dir):
+    return chart_data.discount_scatter_points(discount_leakage(spark, sf_dir), COMPARE_YEAR)
+
+
+# --- documented-only capabilities --------------------------------------------------
+SCOPED_REGION = "EUROPE"
+INCREMENTAL_CUTOFF = dt.date(COMPARE_YEAR, 1, 1)
+INCREMENTAL_OVERLAP_DAYS = 31
+
+
+def region_scoped_sales(spark, sf_dir):
+    return scoped.region_scoped_sales(_pipe(spark, sf_dir).star, SCOPED_REGION)
+
+
+def margin_compression_share(spark, sf_dir):
+    return scoped.margin_compression_share(_pipe(spark, sf_dir).star, BASE_YEAR, COMPARE_YEAR)
+
+
+def incremental_new_rows(spark, sf_dir):
+    return scoped.incremental_new_rows(_pipe(spark, sf_dir).raw, INCREMENTAL_CUTOFF, INCREMENTAL_OVERLAP_DAYS)
+
+
 QUERIES: dict[str, Query] = {
     "revenue_decomposition": revenue_decomposition,
     "store_pl": store_pl,
@@ -114,4 +206,14 @@ QUERIES: dict[str, Query] = {
     "dim_product": dim_product,
     "fact_sales": fact_sales,
     "fk_null_audit": fk_null_audit,
+    "pipeline_counts": pipeline_counts,
+    "store_day_features": store_day_features,
+    "rolling_features": rolling_features,
+    "scaled_features": scaled_features,
+    "isolation_threshold_flags": isolation_threshold_flags,
+    "waterfall_points": waterfall_points,
+    "discount_scatter_points": discount_scatter_points,
+    "incremental_new_rows": incremental_new_rows,
+    "region_scoped_sales": region_scoped_sales,
+    "margin_compression_share": margin_compression_share,
 }
