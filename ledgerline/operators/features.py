@@ -76,9 +76,11 @@ def feature_stats(df: DataFrame, cols=FEATURE_COLUMNS) -> dict[str, tuple[float,
     A zero std scales by 1 (the feature is constant).
     """
     aggs = [F.count(F.lit(1)).alias("n")]
+    types = {f.name: f.dataType for f in df.schema.fields}
     for c in cols:
-        aggs.append(F.sum(c).alias(f"s_{c}"))
-        aggs.append(F.sum(F.col(c) * F.col(c)).alias(f"q_{c}"))
+        x = _exact_operand(F.col(c), types[c])
+        aggs.append(F.sum(x).alias(f"s_{c}"))
+        aggs.append(F.sum(x * x).alias(f"q_{c}"))
     row = df.agg(*aggs).first()
     n = row["n"]
     stats = {}
@@ -93,6 +95,18 @@ def feature_stats(df: DataFrame, cols=FEATURE_COLUMNS) -> dict[str, tuple[float,
     return stats
 
 
+def _exact_operand(c, dtype):
+    """A decimal narrow enough that ``x * x`` needs no precision loss
+    (DECIMAL(38, s) squared would be rounded to 6 places)."""
+    from pyspark.sql import types as T
+
+    if isinstance(dtype, T.DecimalType):
+        return c.cast(T.DecimalType(18, dtype.scale))
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
+        return c.cast(T.DecimalType(20, 0))
+    return c.cast("double")
+
+
 def scale_features(df: DataFrame, stats: dict[str, tuple[float, float]], prefix: str = "z_") -> DataFrame:
     cols = []
     for c, (mean, std) in stats.items():
