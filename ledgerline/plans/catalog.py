@@ -20,7 +20,7 @@ from ledgerline.operators import star as star_ops
 from ledgerline.operators.materialize import materialize
 from ledgerline.operators.quantile import exact_quantile
 from ledgerline.operators import validate as V
-from ledgerline.plans import chart_data, marts, scoped
+from ledgerline.plans import anomaly, chart_data, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
 from ledgerline.session import ensure_checkpoint_dir
@@ -162,6 +162,18 @@ def isolation_threshold_flags(spark, sf_dir):
     )
 
 
+def anomaly_scores(spark, sf_dir):
+    return anomaly.anomaly_scores(_pipe(spark, sf_dir).star, CONTAMINATION)
+
+
+def anomaly_watchlist(spark, sf_dir):
+    return anomaly.anomaly_watchlist(anomaly_scores(spark, sf_dir))
+
+
+def watchlist_top10(spark, sf_dir):
+    return anomaly.watchlist_top10(anomaly_watchlist(spark, sf_dir))
+
+
 # --- chart tables ----------------------------------------------------------------
 def waterfall_points(spark, sf_dir):
     return chart_data.waterfall_points(revenue_decomposition(spark, sf_dir))
@@ -211,6 +223,9 @@ QUERIES: dict[str, Query] = {
     "rolling_features": rolling_features,
     "scaled_features": scaled_features,
     "isolation_threshold_flags": isolation_threshold_flags,
+    "anomaly_scores": anomaly_scores,
+    "anomaly_watchlist": anomaly_watchlist,
+    "watchlist_top10": watchlist_top10,
     "waterfall_points": waterfall_points,
     "discount_scatter_points": discount_scatter_points,
     "incremental_new_rows": incremental_new_rows,

@@ -54,3 +54,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerline`` importable in Python workers (the programmatic
+    form of ``--py-files``), once per application.  Needed only by the
+    pandas UDF / applyInPandas steps."""
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="ledgerline-pyfiles-", dir="/tmp")
+    archive = shutil.make_archive(
+        os.path.join(out_dir, "ledgerline"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="ledgerline"
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
