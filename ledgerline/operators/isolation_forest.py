@@ -36,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -190,22 +190,24 @@ def _candidates(df: DataFrame, n_trees: int, cutoff: int | None) -> DataFrame:
     )
 
 
-def fit_forest(
+def tree_samples(
     df: DataFrame,
-    feature_cols: list[str],
     key_cols: list[str],
-    n_trees: int = 200,
-    max_samples: int = 256,
-    seed: int = 42,
-) -> Forest:
-    """Fit on the rows of ``df`` (all features non-null)."""
-    ship_package(df.sparkSession)
-    base = df.select(*key_cols, *feature_cols).withColumn("_h0", _key_hash(seed, key_cols))
+    n_trees: int,
+    max_samples: int,
+    seed: int,
+) -> tuple[DataFrame, int]:
+    """Each tree's exact subsample: per tree, the ``psi`` rows with the
+    smallest ``xxhash64(h0, tree)`` (ties broken by key).
+
+    Returns (rows tagged with ``tree_id``, psi).  The per-tree window runs over
+    the candidates only (about ``4 psi`` rows per tree), never over all rows.
+    """
+    base = df.withColumn("_h0", _key_hash(seed, key_cols))
     n = base.count()
     if n == 0:
         raise ValueError("no complete rows to fit the isolation forest on")
     psi = int(min(max_samples, n))
-    max_depth = int(np.ceil(np.log2(max(psi, 2))))
     p = min(1.0, OVERSAMPLE * psi / n)
     while True:
         cand = materialize(_candidates(base, n_trees, _cutoff(p)), "if_candidates")
@@ -214,13 +216,30 @@ def fit_forest(
         if not short or p >= 1.0:
             break
         p = min(1.0, 2.0 * p)
+    w = Window.partitionBy("tree_id").orderBy("_h", *key_cols)
+    picked = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= psi).drop("_rk", "_h0")
+    return picked, psi
+
 
+def fit_forest(
+    df: DataFrame,
+    feature_cols: list[str],
+    key_cols: list[str],
+    n_trees: int = 200,
+    max_samples: int = 256,
+    seed: int = 42,
+) -> Forest:
+    """Fit on the rows of ``df`` (all features non-null)."""
+    ship_package(df.sparkSession)
+    samples, psi = tree_samples(df.select(*key_cols, *feature_cols), key_cols, n_trees, max_samples, seed)
+    max_depth = int(np.ceil(np.log2(max(psi, 2))))
     fcols = list(feature_cols)
     kcols = list(key_cols)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree_id = int(pdf["tree_id"].iloc[0])
-        pdf = pdf.sort_values(["_h", *kcols], kind="mergesort").head(psi)
+        # the group is the tree's sample; sort for a partition-independent order
+        pdf = pdf.sort_values(["_h", *kcols], kind="mergesort")
         X = pdf[fcols].to_numpy(dtype=np.float64)
         rng = np.random.default_rng([seed, tree_id])
         tree = grow_tree(X, rng, max_depth)
@@ -233,7 +252,7 @@ def fit_forest(
             }
         )
 
-    nodes = cand.groupBy("tree_id").applyInPandas(grow, schema=_NODE_SCHEMA)
+    nodes = samples.groupBy("tree_id").applyInPandas(grow, schema=_NODE_SCHEMA)
     # Bounded: at most n_trees * (2 * psi - 1) rows.
     pdf = nodes.toPandas()
     return Forest.from_nodes(pdf, n_trees, max_depth, psi)
