@@ -16,13 +16,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.sequence import with_row_index
+from ledgerline.operators.sequence import with_row_index_counted
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    indexed = with_row_index(values, [F.col("v")], "i")
-    n = indexed.count()
+    indexed, n = with_row_index_counted(values, [F.col("v")], "i")
     if n == 0:
         return None
     pos = (n - 1) * q

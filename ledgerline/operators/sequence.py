@@ -9,7 +9,7 @@ DataFrames:
    and write that to the checkpoint folder so the assignment survives
    recomputation and lost executors;
 3. count rows per partition (one row per partition: a proven size bound),
-   turn the counts into offsets and broadcast them back.
+   turn the counts into offsets and add them back as a literal map.
 
 Used for surrogate keys of dimensions whose size grows with the data, and for
 exact quantiles.
@@ -17,7 +17,7 @@ exact quantiles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.materialize import materialize
@@ -28,14 +28,15 @@ def _target_partitions(df: DataFrame) -> int:
     return max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def with_row_index(
+def with_row_index_counted(
     df: DataFrame,
     order: list[Column | str],
     name: str = "row_index",
     start: int = 0,
     num_partitions: int | None = None,
-) -> DataFrame:
-    """Add a BIGINT column numbering rows ``start, start+1, ...`` in ``order``.
+) -> tuple[DataFrame, int]:
+    """Add a BIGINT column numbering rows ``start, start+1, ...`` in ``order``;
+    also return the row count.
 
     Ties are numbered in an arbitrary but fixed order; give a unique ``order``
     for deterministic numbers.
@@ -50,18 +51,32 @@ def with_row_index(
     # Freeze the partition assignment: a table in the shared checkpoint folder
     # survives recomputation and lost executors.
     ranged = materialize(ranged, "rowindex")
-    counts = ranged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_cnt"))
-    # counts holds one row per range partition, so this window is bounded.
-    offsets = counts.select(
-        "_ri_part",
-        F.coalesce(
-            F.sum("_ri_cnt").over(Window.orderBy("_ri_part").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_ri_off"),
+    # One row per range partition: a proven bound (the partition count), so
+    # the offsets are computed on the driver and inlined as a literal map.
+    counts = sorted(
+        (r["_ri_part"], r["_ri_cnt"])
+        for r in ranged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_cnt")).collect()
     )
+    offsets, running = {}, 0
+    for part, cnt in counts:
+        offsets[part] = running
+        running += cnt
+    if not offsets:
+        return ranged.drop("_ri_part", "_ri_mono").withColumn(name, F.lit(None).cast("bigint")), 0
+    off_map = F.create_map(*[x for kv in offsets.items() for x in (F.lit(kv[0]), F.lit(kv[1]).cast("bigint"))])
     local = F.col("_ri_mono") - F.shiftleft(F.col("_ri_part").cast("bigint"), 33)
-    return (
-        ranged.join(F.broadcast(offsets), "_ri_part")
-        .withColumn(name, (F.col("_ri_off") + local + F.lit(start)).cast("bigint"))
-        .drop("_ri_part", "_ri_mono", "_ri_off")
-    )
+    out = ranged.withColumn(
+        name, (F.element_at(off_map, F.col("_ri_part")) + local + F.lit(start)).cast("bigint")
+    ).drop("_ri_part", "_ri_mono")
+    return out, running
+
+
+def with_row_index(
+    df: DataFrame,
+    order: list[Column | str],
+    name: str = "row_index",
+    start: int = 0,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """:func:`with_row_index_counted` without the count."""
+    return with_row_index_counted(df, order, name, start, num_partitions)[0]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.calendar import calendar_columns, date_key
 from ledgerline.operators.broadcast import Sized, sized
 from ledgerline.operators.materialize import materialize
-from ledgerline.operators.sequence import with_row_index
+from ledgerline.operators.sequence import with_row_index_counted
 from ledgerline.schema import DIM_DATE_COLUMNS, FACT_COLUMNS
 
 
@@ -25,10 +25,18 @@ def build_dim_date(staging: DataFrame) -> DataFrame:
     return days.select(*calendar_columns(F.col("d")))
 
 
-def _dim_with_key(staging: DataFrame, natural: list[str], key: str) -> DataFrame:
+def _dim_with_key(staging: DataFrame, natural: list[str], key: str) -> Sized:
     distinct = staging.select(*natural).distinct()
-    keyed = with_row_index(distinct, [F.col(c).asc_nulls_first() for c in natural], key, start=1)
-    return keyed.select(F.col(key).cast("int").alias(key), *natural)
+    keyed, rows = with_row_index_counted(distinct, [F.col(c).asc_nulls_first() for c in natural], key, start=1)
+    return Sized(keyed.select(F.col(key).cast("int").alias(key), *natural), rows)
+
+
+def dim_store_sized(staging: DataFrame) -> Sized:
+    return _dim_with_key(staging, ["store_id", "city", "province"], "store_key")
+
+
+def dim_product_sized(staging: DataFrame) -> Sized:
+    return _dim_with_key(staging, ["sku", "category"], "product_key")
 
 
 def build_dim_store(staging: DataFrame) -> DataFrame:
@@ -38,12 +46,12 @@ def build_dim_store(staging: DataFrame) -> DataFrame:
     across runs and partitionings.  A store with two cities gets two rows
     (and would fan out the fact join), as in the source pipeline.
     """
-    return _dim_with_key(staging, ["store_id", "city", "province"], "store_key")
+    return dim_store_sized(staging).df
 
 
 def build_dim_product(staging: DataFrame) -> DataFrame:
     """Distinct (sku, category) with a 1-based surrogate key."""
-    return _dim_with_key(staging, ["sku", "category"], "product_key")
+    return dim_product_sized(staging).df
 
 
 def build_fact_sales(staging: DataFrame, dim_store: Sized | DataFrame, dim_product: Sized | DataFrame) -> DataFrame:
@@ -98,7 +106,7 @@ def build_star(staging: DataFrame) -> Star:
     read, not recomputed, by each of the four builders.
     """
     dim_date = sized(materialize(build_dim_date(staging), "dim_date").select(*DIM_DATE_COLUMNS))
-    dim_store = sized(build_dim_store(staging))
-    dim_product = sized(build_dim_product(staging))
+    dim_store = dim_store_sized(staging)
+    dim_product = dim_product_sized(staging)
     fact = build_fact_sales(staging, dim_store, dim_product)
     return Star(dim_date, dim_store, dim_product, fact)

@@ -18,6 +18,8 @@ from ledgerline.functions.numeric import zero_if_negative
 from ledgerline.operators.dedup import keep_first
 from ledgerline.schema import KEY_COLUMNS, NUMERIC_COLUMNS, RAW_COLUMNS, RAW_TYPES, ROW_SEQ
 
+COPIES = "_copies"
+
 
 class MissingColumnsError(ValueError):
     pass
@@ -99,10 +101,21 @@ def clamp_discount(df: DataFrame) -> DataFrame:
     return df.withColumn("discount_rate", clamped)
 
 
-def validate(df: DataFrame, keep_order: bool = False) -> DataFrame:
+def finish_validation(firsts: DataFrame) -> DataFrame:
+    """The steps after de-duplication: null-key drop, zeroing, clamping."""
+    out = clamp_discount(zero_negatives(drop_null_keys(firsts)))
+    return out.drop(*[c for c in (ROW_SEQ, COPIES) if c in out.columns])
+
+
+def validate(df: DataFrame) -> DataFrame:
     """Full chain; returns the raw columns (plus extras) without ``_row_seq``."""
-    out = clamp_discount(zero_negatives(drop_null_keys(dedup_first(conform(df)))))
-    return out if keep_order else out.drop(ROW_SEQ)
+    return finish_validation(dedup_first(conform(df)))
+
+
+def first_copies(df: DataFrame) -> DataFrame:
+    """Keep-first rows with their copy count (``_copies``), source order
+    dropped: the one intermediate both staging and the DQ report read."""
+    return keep_first(conform(df), "transaction_id", ROW_SEQ, copies_col=COPIES).drop(ROW_SEQ)
 
 
 def add_load_time(df: DataFrame) -> DataFrame:
@@ -111,17 +124,18 @@ def add_load_time(df: DataFrame) -> DataFrame:
 
 
 def dq_report(df: DataFrame) -> DataFrame:
-    """One-row data-quality report of what validation did.
+    """One-row data-quality report of what validation did to ``df``."""
+    return dq_counts(first_copies(df))
 
-    Computed in a single pass over the keep-first aggregate: the copy count
-    travels with each surviving row, so the raw total needs no second scan.
-    """
-    firsts = keep_first(conform(df), "transaction_id", ROW_SEQ, copies_col="_copies")
+
+def dq_counts(firsts: DataFrame) -> DataFrame:
+    """DQ report from the keep-first rows: the copy count travels with each
+    surviving row, so the raw total needs no second scan of the feed."""
     bad = _null_key()
     kept = ~bad
     aggs = [
-        F.sum("_copies").cast("bigint").alias("total_rows"),
-        (F.sum("_copies") - F.count(F.lit(1))).cast("bigint").alias("duplicates_dropped"),
+        F.sum(COPIES).cast("bigint").alias("total_rows"),
+        (F.sum(COPIES) - F.count(F.lit(1))).cast("bigint").alias("duplicates_dropped"),
         F.count_if(bad).alias("null_key_rows_dropped"),
     ]
     for c in NUMERIC_COLUMNS:
@@ -129,7 +143,7 @@ def dq_report(df: DataFrame) -> DataFrame:
     aggs += [
         F.count_if(kept & (F.col("discount_rate") > 1)).alias("rates_clamped"),
         F.count_if(kept).alias("rows_accepted"),
-        (F.sum("_copies") - F.count_if(kept)).cast("bigint").alias("rows_dropped"),
+        (F.sum(COPIES) - F.count_if(kept)).cast("bigint").alias("rows_dropped"),
     ]
     return firsts.agg(*aggs)
 

@@ -1,7 +1,8 @@
 """The pipeline as a context of lazily built, materialised stages.
 
-raw POS feed -> validated staging (written once) -> star (dims written and
-counted, fact lazy over staging) -> marts / features / anomaly.
+raw POS feed -> keep-first rows (written once) -> validated staging (lazy
+over them) -> star (dims written and counted, fact lazy over staging) ->
+marts / features / anomaly.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.materialize import materialize
 from ledgerline.operators.star import Star, build_star
-from ledgerline.operators.validate import validate
+from ledgerline.operators.validate import COPIES, dq_counts, finish_validation, first_copies
 from ledgerline.sources.adapter import pos_feed
 
 BASE_YEAR = 1999
@@ -49,10 +50,23 @@ class Pipeline:
             return self._raw
         return pos_feed(self.spark, self.sf_dir, dirty=self.dirty)
 
+    @cached_property
+    def deduped(self) -> DataFrame:
+        """Keep-first rows with copy counts, written once (the only full
+        write of the build); staging and the DQ report are scans of it."""
+        return materialize(first_copies(self.raw), "deduped")
+
     @cached_property
     def staging(self) -> DataFrame:
-        """Validated staging, written once to the checkpoint folder."""
-        return materialize(validate(self.raw), "staging")
+        """Validated staging: the remaining validation steps over ``deduped``
+        (filters and projections pushed into the parquet scan)."""
+        return finish_validation(self.deduped)
+
+    def dq_report(self) -> DataFrame:
+        return dq_counts(self.deduped)
+
+    def dedup_first(self) -> DataFrame:
+        return self.deduped.drop(COPIES)
 
     @cached_property
     def star(self) -> Star:

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.broadcast import Sized, sized
 from ledgerline.schema import MONEY, RATE, RAW_COLUMNS, ROW_SEQ
 from ledgerline.sources.tables import read_table
 
@@ -63,8 +64,17 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
         "l_tax",
         "l_shipdate",
     )
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # A file set with few, large row groups scans in fewer tasks than the
+    # cluster has cores; spread it before the joins and the per-row decimal
+    # work.  Large inputs split into many scan tasks and skip this shuffle.
+    parallelism = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < parallelism:
+        li = li.repartition(parallelism)
+    # part and supplier grow with the data (TPC-H: 200k and 10k rows per SF).
+    # Their row counts come from parquet footers; they are broadcast only
+    # under the row bound and shuffle-joined beyond it.
+    part = sized(read_table(spark, sf_dir, "part").select("p_partkey", "p_type"))
+    supplier = sized(read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
     # nation (25 rows) and region (5 rows) have a fixed size at every scale.
     geo = F.broadcast(
         read_table(spark, sf_dir, "nation")
@@ -72,13 +82,10 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
         .join(F.broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")),
               F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    # part and supplier grow with the data: the planner broadcasts them only
-    # while their scan statistics are under the broadcast threshold and
-    # shuffles otherwise (AQE can still switch at runtime).
-    supplier_geo = supplier.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
+    supplier_geo = supplier.df.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
     joined = (
-        li.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier_geo, F.col("l_suppkey") == F.col("s_suppkey"))
+        li.join(part.for_join(), F.col("l_partkey") == F.col("p_partkey"))
+        .join(Sized(supplier_geo, supplier.rows).for_join(), F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
     qty = F.col("l_quantity").cast("int")
