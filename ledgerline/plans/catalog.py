@@ -198,7 +198,7 @@ def isolation_threshold_flags(spark, sf_dir):
 
 
 def anomaly_scores(spark, sf_dir):
-    return anomaly.anomaly_scores(_pipe(spark, sf_dir).star, CONTAMINATION)
+    return _pipe(spark, sf_dir).anomaly_scores(CONTAMINATION)
 
 
 def anomaly_watchlist(spark, sf_dir):

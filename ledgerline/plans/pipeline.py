@@ -75,3 +75,13 @@ class Pipeline:
     @property
     def fact(self) -> DataFrame:
         return self.star.fact_sales
+
+    def anomaly_scores(self, contamination: float) -> DataFrame:
+        """Scored store-days, fitted once per contamination level (the
+        scored table is written by the detector, so reuse is a scan)."""
+        from ledgerline.plans.anomaly import anomaly_scores
+
+        cache = self.__dict__.setdefault("_anomaly", {})
+        if contamination not in cache:
+            cache[contamination] = anomaly_scores(self.star, contamination)
+        return cache[contamination]
