@@ -23,11 +23,6 @@ from pyspark.sql import functions as F
 from ledgerline.operators.materialize import materialize
 
 
-def _target_partitions(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    return max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def with_row_index_counted(
     df: DataFrame,
     order: list[Column | str],
@@ -41,9 +36,10 @@ def with_row_index_counted(
     Ties are numbered in an arbitrary but fixed order; give a unique ``order``
     for deterministic numbers.
     """
-    n = num_partitions or _target_partitions(df)
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges adjacent ones, so partition order still follows the sort order.
     ranged = (
-        df.repartitionByRange(n, *order)
+        (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
         .sortWithinPartitions(*order)
         .withColumn("_ri_part", F.spark_partition_id())
         .withColumn("_ri_mono", F.monotonically_increasing_id())

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from conftest import make_raw
 from pyspark.sql import functions as F
 
@@ -90,9 +92,11 @@ def test_surrogate_keys_follow_natural_order(spark, sample_rows):
     assert [(r.store_key, r.store_id) for r in dim] == [(1, "S01"), (2, "S02")]
 
 
-def test_row_index_is_dense_and_ordered_across_partitions(spark):
+@pytest.mark.parametrize("parts", [9, None])
+def test_row_index_is_dense_and_ordered_across_partitions(spark, parts):
+    """Explicit range partitions, and AQE-coalesced ones (parts=None)."""
     df = spark.range(0, 5000, 1, 13).select((F.col("id") * 7 % 5003).alias("v"))
-    idx = with_row_index(df, [F.col("v")], "i", num_partitions=9)
+    idx = with_row_index(df, [F.col("v")], "i", num_partitions=parts)
     rows = idx.orderBy("i").collect()
     assert [r.i for r in rows] == list(range(5000))
     vals = [r.v for r in rows]
