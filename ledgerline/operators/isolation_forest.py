@@ -21,8 +21,9 @@ Spark plan:
    hashes (bottom-k sampling = uniform without replacement, independent per
    tree, independent of partitioning).  Only rows whose hash falls under a
    cut-off are emitted as candidates (about ``4 * psi`` per tree); if a tree
-   gets fewer than ``psi`` candidates the cut-off is doubled and the step
-   redone, so no tree is ever short of its exact sample.
+   gets fewer than ``psi`` candidates (seen from its root size) the cut-off
+   is doubled and the step redone, so no tree is ever short of its exact
+   sample.
 2. Trees: ``groupBy(tree_id).applyInPandas`` - one group per tree, bounded by
    the candidate count - grows the tree with numpy, seeded by (seed, tree).
 3. The forest (at most ``n_trees * (2 psi - 1)`` nodes) is collected and
@@ -190,6 +191,25 @@ def _candidates(df: DataFrame, n_trees: int, cutoff: int | None) -> DataFrame:
     )
 
 
+def _samples_at(base: DataFrame, key_cols: list[str], n_trees: int, psi: int, p: float) -> DataFrame:
+    """Lazy per-tree bottom-``psi`` selection among the hash candidates at rate p.
+
+    The window runs over one tree's candidates (about ``4 psi`` rows), never
+    over all rows."""
+    cand = _candidates(base, n_trees, _cutoff(p))
+    w = Window.partitionBy("tree_id").orderBy("_h", *key_cols)
+    return cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= psi).drop("_rk", "_h0")
+
+
+def _plan_sampling(df: DataFrame, key_cols: list[str], max_samples: int, seed: int) -> tuple[DataFrame, int, float]:
+    base = df.withColumn("_h0", _key_hash(seed, key_cols))
+    n = base.count()
+    if n == 0:
+        raise ValueError("no complete rows to fit the isolation forest on")
+    psi = int(min(max_samples, n))
+    return base, psi, min(1.0, OVERSAMPLE * psi / n)
+
+
 def tree_samples(
     df: DataFrame,
     key_cols: list[str],
@@ -198,27 +218,16 @@ def tree_samples(
     seed: int,
 ) -> tuple[DataFrame, int]:
     """Each tree's exact subsample: per tree, the ``psi`` rows with the
-    smallest ``xxhash64(h0, tree)`` (ties broken by key).
-
-    Returns (rows tagged with ``tree_id``, psi).  The per-tree window runs over
-    the candidates only (about ``4 psi`` rows per tree), never over all rows.
-    """
-    base = df.withColumn("_h0", _key_hash(seed, key_cols))
-    n = base.count()
-    if n == 0:
-        raise ValueError("no complete rows to fit the isolation forest on")
-    psi = int(min(max_samples, n))
-    p = min(1.0, OVERSAMPLE * psi / n)
+    smallest ``xxhash64(h0, tree)`` (ties broken by key).  Returns (rows
+    tagged with ``tree_id``, psi).  The candidate rate doubles until every
+    tree has its ``psi`` rows."""
+    base, psi, p = _plan_sampling(df, key_cols, max_samples, seed)
     while True:
-        cand = materialize(_candidates(base, n_trees, _cutoff(p)), "if_candidates")
-        counts = {r["tree_id"]: r["count"] for r in cand.groupBy("tree_id").count().collect()}
-        short = [t for t in range(n_trees) if counts.get(t, 0) < psi]
-        if not short or p >= 1.0:
-            break
+        picked = materialize(_samples_at(base, key_cols, n_trees, psi, p), "if_samples")
+        counts = {r["tree_id"]: r["count"] for r in picked.groupBy("tree_id").count().collect()}
+        if p >= 1.0 or all(counts.get(t, 0) >= psi for t in range(n_trees)):
+            return picked, psi
         p = min(1.0, 2.0 * p)
-    w = Window.partitionBy("tree_id").orderBy("_h", *key_cols)
-    picked = cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= psi).drop("_rk", "_h0")
-    return picked, psi
 
 
 def fit_forest(
@@ -229,9 +238,14 @@ def fit_forest(
     max_samples: int = 256,
     seed: int = 42,
 ) -> Forest:
-    """Fit on the rows of ``df`` (all features non-null)."""
+    """Fit on the rows of ``df`` (all features non-null).
+
+    The samples are the ones :func:`tree_samples` defines; growing the trees
+    reports each sample's size (the root's size), so a tree short of ``psi``
+    rows is detected by the same job and the candidate rate doubled.
+    """
     ship_package(df.sparkSession)
-    samples, psi = tree_samples(df.select(*key_cols, *feature_cols), key_cols, n_trees, max_samples, seed)
+    base, psi, p = _plan_sampling(df.select(*key_cols, *feature_cols), key_cols, max_samples, seed)
     max_depth = int(np.ceil(np.log2(max(psi, 2))))
     fcols = list(feature_cols)
     kcols = list(key_cols)
@@ -252,10 +266,15 @@ def fit_forest(
             }
         )
 
-    nodes = samples.groupBy("tree_id").applyInPandas(grow, schema=_NODE_SCHEMA)
-    # Bounded: at most n_trees * (2 * psi - 1) rows.
-    pdf = nodes.toPandas()
-    return Forest.from_nodes(pdf, n_trees, max_depth, psi)
+    while True:
+        samples = _samples_at(base, kcols, n_trees, psi, p)
+        # Bounded: at most n_trees * (2 * psi - 1) rows.
+        pdf = samples.groupBy("tree_id").applyInPandas(grow, schema=_NODE_SCHEMA).toPandas()
+        roots = pdf[pdf["node_id"] == 0].set_index("tree_id")["size"]
+        complete = len(roots) == n_trees and bool((roots >= psi).all())
+        if complete or p >= 1.0:
+            return Forest.from_nodes(pdf, n_trees, max_depth, psi)
+        p = min(1.0, 2.0 * p)
 
 
 def score_column(df: DataFrame, forest: Forest, feature_cols: list[str]) -> Column:

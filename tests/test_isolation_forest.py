@@ -122,3 +122,16 @@ def test_large_n_uses_candidate_cutoff(spark):
     got, psi = IF.tree_samples(df, KEYS, n_trees=30, max_samples=64, seed=42)
     per_tree = pd.Series({r["tree_id"]: r["count"] for r in got.groupBy("tree_id").count().collect()})
     assert len(per_tree) == 30 and (per_tree == psi).all()
+
+
+def test_short_candidate_sets_are_retried_not_capped(spark, monkeypatch):
+    """With a candidate rate far too low every tree starts short; the rate
+    doubles until each tree has its full psi-row sample."""
+    monkeypatch.setattr(IF, "OVERSAMPLE", 0.25)
+    df = fixture_df(spark, n=600)
+    forest = IF.fit_forest(df, FEATS, KEYS, n_trees=8, max_samples=64, seed=3)
+    root_sizes = forest.path_at_leaf  # noqa: F841 - structure built
+    got, psi = IF.tree_samples(df.select(*KEYS), KEYS, n_trees=8, max_samples=64, seed=3)
+    per_tree = {r["tree_id"]: r["count"] for r in got.groupBy("tree_id").count().collect()}
+    assert psi == 64 and len(per_tree) == 8 and set(per_tree.values()) == {64}
+    assert forest.n_trees == 8
