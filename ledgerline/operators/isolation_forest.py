@@ -126,6 +126,7 @@ class Forest:
     path_at_leaf: np.ndarray  # depth + c(size), precomputed per node
     max_depth: int
     psi: int
+    sample_sizes: np.ndarray | None = None  # rows each tree was grown on
 
     @property
     def n_trees(self) -> int:
@@ -167,7 +168,10 @@ class Forest:
         left[t, n] = np.maximum(nodes["left"].to_numpy(), 0)
         right[t, n] = np.maximum(nodes["right"].to_numpy(), 0)
         path[t, n] = nodes["depth"].to_numpy() + average_path_length(nodes["size"].to_numpy())
-        return cls(feature, threshold, left, right, path, max_depth, psi)
+        sizes = np.zeros(n_trees, dtype=np.int64)
+        roots = nodes[nodes["node_id"] == 0]
+        sizes[roots["tree_id"].to_numpy()] = roots["size"].to_numpy()
+        return cls(feature, threshold, left, right, path, max_depth, psi, sizes)
 
 
 def _key_hash(seed: int, keys: list[str]) -> Column:

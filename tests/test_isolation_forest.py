@@ -130,7 +130,7 @@ def test_short_candidate_sets_are_retried_not_capped(spark, monkeypatch):
     monkeypatch.setattr(IF, "OVERSAMPLE", 0.25)
     df = fixture_df(spark, n=600)
     forest = IF.fit_forest(df, FEATS, KEYS, n_trees=8, max_samples=64, seed=3)
-    root_sizes = forest.path_at_leaf  # noqa: F841 - structure built
+    assert list(forest.sample_sizes) == [64] * 8
     got, psi = IF.tree_samples(df.select(*KEYS), KEYS, n_trees=8, max_samples=64, seed=3)
     per_tree = {r["tree_id"]: r["count"] for r in got.groupBy("tree_id").count().collect()}
     assert psi == 64 and len(per_tree) == 8 and set(per_tree.values()) == {64}
