@@ -139,7 +139,7 @@ def fk_null_audit(spark, sf_dir):
     return star_ops.fk_null_audit(_pipe(spark, sf_dir).fact)
 
 
-def pipeline_counts(spark, sf_dir):
+def stage_row_counts(spark, sf_dir):
     """Row counts per stage, one row per stage (long format)."""
     p = _pipe(spark, sf_dir)
     star = p.star
@@ -253,7 +253,7 @@ QUERIES: dict[str, Query] = {
     "dim_product": dim_product,
     "fact_sales": fact_sales,
     "fk_null_audit": fk_null_audit,
-    "pipeline_counts": pipeline_counts,
+    "stage_row_counts": stage_row_counts,
     "store_day_features": store_day_features,
     "rolling_features": rolling_features,
     "scaled_features": scaled_features,
