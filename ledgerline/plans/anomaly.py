@@ -36,13 +36,15 @@ def anomaly_scores(
     n_trees: int = N_TREES,
     max_samples: int = MAX_SAMPLES,
     seed: int = SEED,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """Every store-day with its rolling features, score and flag.
 
     The model sees the four z-scaled features only (the rolling columns are
     reported, not modelled); scaling statistics come from the complete rows.
     """
-    daily = materialize(rolling_features(store_day_features(star)), "rolled")
+    base = daily if daily is not None else store_day_features(star)
+    daily = materialize(rolling_features(base), "rolled")
     stats = feature_stats(complete_features(daily))
     scaled = scale_features(daily, stats, prefix="z_")
     zcols = [f"z_{c}" for c in FEATURE_COLUMNS]

@@ -155,7 +155,7 @@ def stage_row_counts(spark, sf_dir):
         ("store_pl_rows", marts.store_pl(star, a, b)),
         ("discount_leakage_rows", marts.discount_leakage(star)),
         ("seasonality_rows", marts.seasonality(star)),
-        ("store_day_rows", feat.store_day_features(star)),
+        ("store_day_rows", p.store_days),
     ]
     counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("stage"), "row_count")
                for n, df in parts]
@@ -164,7 +164,7 @@ def stage_row_counts(spark, sf_dir):
 
 # --- anomaly features ----------------------------------------------------------
 def _daily(spark, sf_dir):
-    return feat.store_day_features(_pipe(spark, sf_dir).star)
+    return _pipe(spark, sf_dir).store_days
 
 
 def store_day_features(spark, sf_dir):
@@ -176,7 +176,7 @@ def rolling_features(spark, sf_dir):
 
 
 def scaled_features(spark, sf_dir):
-    return feat.scaled_features(materialize(_daily(spark, sf_dir), "store_day"))
+    return feat.scaled_features(_daily(spark, sf_dir))
 
 
 CONTAMINATION = 0.03
@@ -185,7 +185,7 @@ CONTAMINATION = 0.03
 def isolation_threshold_flags(spark, sf_dir):
     """The contamination threshold step on a stand-in score (net revenue):
     offset = exact 3rd percentile; flagged when score - offset < 0."""
-    daily = materialize(_daily(spark, sf_dir), "store_day")
+    daily = _daily(spark, sf_dir)
     offset = exact_quantile(daily, "net_revenue", CONTAMINATION)
     return daily.select(
         "store_id",

@@ -76,6 +76,14 @@ class Pipeline:
     def fact(self) -> DataFrame:
         return self.star.fact_sales
 
+    @cached_property
+    def store_days(self) -> DataFrame:
+        """Store-day features, written once (features, scaling, thresholds
+        and the forest all read them)."""
+        from ledgerline.operators.features import store_day_features
+
+        return materialize(store_day_features(self.star), "store_day")
+
     def anomaly_scores(self, contamination: float) -> DataFrame:
         """Scored store-days, fitted once per contamination level (the
         scored table is written by the detector, so reuse is a scan)."""
@@ -83,5 +91,5 @@ class Pipeline:
 
         cache = self.__dict__.setdefault("_anomaly", {})
         if contamination not in cache:
-            cache[contamination] = anomaly_scores(self.star, contamination)
+            cache[contamination] = anomaly_scores(self.star, contamination, daily=self.store_days)
         return cache[contamination]

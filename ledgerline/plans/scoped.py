@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import dbl, nonzero, publish, round_dbl, round_dec
+from ledgerline.operators.anti_join import new_rows
 from ledgerline.operators.broadcast import Sized
 from ledgerline.operators.materialize import materialize
 from ledgerline.operators.star import Star
@@ -68,6 +69,6 @@ def incremental_new_rows(raw: DataFrame, cutoff: dt.date, overlap_days: int) ->
     second = raw.filter(d >= F.lit(cutoff - dt.timedelta(days=overlap_days)))
     staging = materialize(validate(first), "incr_staging")
     hwm = staging.agg(F.max("txn_date")).first()[0]
-    fresh = validate(second).join(staging.select("transaction_id"), "transaction_id", "left_anti")
+    fresh = new_rows(validate(second), staging, "transaction_id")
     late = (d <= F.lit(hwm)) if hwm is not None else F.lit(False)
     return publish(fresh.withColumn("below_high_water", late))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerline.operators.anti_join import new_rows
 from ledgerline.operators.validate import add_load_time, validate
 from ledgerline.schema import ROW_SEQ
 from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, parse_pos_strings
@@ -40,8 +41,7 @@ def load_batch(batch: DataFrame, staging_path: str) -> None:
     typed = parse_pos_strings(batch)
     fresh = validate(typed)
     if _staging_exists(spark, staging_path):
-        seen = spark.read.parquet(staging_path).select("transaction_id")
-        fresh = fresh.join(seen, "transaction_id", "left_anti")
+        fresh = new_rows(fresh, spark.read.parquet(staging_path), "transaction_id")
     add_load_time(fresh).write.mode("append").parquet(staging_path)
 
 
