@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import calendar_columns, date_key
@@ -89,6 +89,17 @@ class Star:
     dim_store: Sized
     dim_product: Sized
     fact_sales: DataFrame
+    # True when the fact holds at most one row per transaction_id: staging is
+    # de-duplicated and both joined dimensions are unique on their natural
+    # key (no fan-out).  Then COUNT(DISTINCT transaction_id) == COUNT(...) in
+    # every group, and the marts skip the extra distinct shuffle.
+    txn_unique: bool = False
+
+    def txn_count(self) -> Column:
+        """COUNT(DISTINCT transaction_id), as a plain count when exact."""
+        if self.txn_unique:
+            return F.count("transaction_id")
+        return F.count_distinct("transaction_id")
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -99,14 +110,25 @@ class Star:
         }
 
 
-def build_star(staging: DataFrame) -> Star:
+def natural_keys_unique(dim: Sized, natural_key: str) -> bool:
+    """One dimension row per natural key (the dimension is small)."""
+    return dim.df.select(natural_key).distinct().count() == dim.rows
+
+
+def build_star(staging: DataFrame, staging_unique: bool = False) -> Star:
     """Dimensions are materialised (small, keyed, counted); the fact is lazy.
 
     ``staging`` should itself be materialised (a written table), so it is
-    read, not recomputed, by each of the four builders.
+    read, not recomputed, by each of the four builders.  Pass
+    ``staging_unique=True`` only for de-duplicated staging.
     """
     dim_date = sized(materialize(build_dim_date(staging), "dim_date").select(*DIM_DATE_COLUMNS))
     dim_store = dim_store_sized(staging)
     dim_product = dim_product_sized(staging)
     fact = build_fact_sales(staging, dim_store, dim_product)
-    return Star(dim_date, dim_store, dim_product, fact)
+    unique = bool(
+        staging_unique
+        and natural_keys_unique(dim_store, "store_id")
+        and natural_keys_unique(dim_product, "sku")
+    )
+    return Star(dim_date, dim_store, dim_product, fact, unique)

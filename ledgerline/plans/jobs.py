@@ -37,7 +37,8 @@ def run_ingest(spark: SparkSession, staging_path: str, src: str | None = None, r
 
 def run_star(spark: SparkSession, staging_path: str, star_path: str) -> dict[str, int]:
     staging = spark.read.parquet(staging_path).drop("loaded_at")
-    star = build_star(staging)
+    # staging written by run_ingest / the incremental load is de-duplicated
+    star = build_star(staging, staging_unique=True)
     write_star(star, star_path)
     return {name: spark.read.parquet(f"{star_path}/{name}").count() for name in star.tables()}
 

@@ -70,7 +70,7 @@ class Pipeline:
 
     @cached_property
     def star(self) -> Star:
-        return build_star(self.staging)
+        return build_star(self.staging, staging_unique=True)
 
     @property
     def fact(self) -> DataFrame:

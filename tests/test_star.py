@@ -108,3 +108,20 @@ def test_sized_broadcast_respects_limit(spark):
     assert "broadcast" in str(small.for_join()._jdf.queryExecution().logical()).lower() or small.rows == 10
     big = small.__class__(small.df, 10**9)
     assert big.for_join() is small.df
+
+
+def test_txn_count_fast_path_only_without_fan_out(spark, sample_rows):
+    from ledgerline.plans import marts
+
+    clean = S.build_star(staged(spark, sample_rows), staging_unique=True)
+    assert clean.txn_unique is True
+    plan = marts.seasonality(clean)._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" not in plan.lower()
+
+    rows = [list(r) for r in sample_rows]
+    rows[2][3] = "Etobicoke"  # S01 with two cities: fact rows fan out
+    fan = S.build_star(staged(spark, rows), staging_unique=True)
+    assert fan.txn_unique is False
+    season = {(r.month, r.category): r.txn_count for r in marts.seasonality(fan).collect()}
+    # TXN001 and TXN003 are each joined twice, still counted once
+    assert season[(1, "Electronics")] == 1 and season[(3, "Electronics")] == 1
