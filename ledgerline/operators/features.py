@@ -51,13 +51,18 @@ def rolling_features(daily: DataFrame) -> DataFrame:
     the number of transactions, even for a store with a third of all sales.
     """
     w = Window.partitionBy("store_id").orderBy("full_date", "city").rowsBetween(-(ROLL_ROWS - 1), 0)
-    out = daily
+    # all frame aggregates in one projection -> one Window operator
+    framed = daily.select(
+        "*",
+        *[F.count(c).over(w).alias(f"_n_{c}") for c in ROLLED],
+        *[F.sum(c).over(w).alias(f"_s_{c}") for c in ROLLED],
+    )
+    cols = [F.col(c) for c in daily.columns]
     for c in ROLLED:
-        n = F.count(c).over(w)
-        mean = F.when(n >= ROLL_MIN_ROWS, dbl(F.sum(c).over(w)) / nonzero(n))
-        out = out.withColumn(f"{c}_roll7", mean)
-        out = out.withColumn(f"{c}_deviation", dbl(c) - F.col(f"{c}_roll7"))
-    return out
+        n = F.col(f"_n_{c}")
+        mean = F.when(n >= ROLL_MIN_ROWS, dbl(f"_s_{c}") / nonzero(n))
+        cols += [mean.alias(f"{c}_roll7"), (dbl(c) - mean).alias(f"{c}_deviation")]
+    return framed.select(*cols)
 
 
 def complete_features(df: DataFrame) -> DataFrame:
