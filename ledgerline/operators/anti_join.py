@@ -14,16 +14,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS
+from ledgerline.operators.broadcast import max_broadcast_rows
 from ledgerline.operators.materialize import materialize
 
 
-def new_rows(delivery: DataFrame, target: DataFrame, key: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def new_rows(delivery: DataFrame, target: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
     # the delivery is read twice (its keys, then the anti-join): write it once
     delivery = materialize(delivery, "delivery")
     keys = materialize(delivery.select(key).filter(F.col(key).isNotNull()).distinct(), "delivery_keys")
     n = keys.count()
-    if n > max_rows:
+    if n > (max_rows if max_rows is not None else max_broadcast_rows(delivery)):
         return delivery.join(target.select(key), key, "left_anti")
     seen = target.select(key).join(F.broadcast(keys), key, "left_semi")
     # ``seen`` has at most one row per delivery key when the target key is

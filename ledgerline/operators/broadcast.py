@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows; dims in this pipeline are a few columns wide, so 2M rows stay well
-# under a few hundred MB of broadcast.
+# under a few hundred MB of broadcast.  Override per session with
+# ``spark.conf.set("ledgerline.maxBroadcastRows", ...)``.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+CONF_KEY = "ledgerline.maxBroadcastRows"
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(CONF_KEY, None)
+    return int(value) if value else DEFAULT_MAX_BROADCAST_ROWS
 
 
 class Sized:
@@ -23,8 +30,9 @@ class Sized:
         self.df = df
         self.rows = rows
 
-    def for_join(self, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-        return F.broadcast(self.df) if self.rows <= max_rows else self.df
+    def for_join(self, max_rows: int | None = None) -> DataFrame:
+        limit = max_rows if max_rows is not None else max_broadcast_rows(self.df)
+        return F.broadcast(self.df) if self.rows <= limit else self.df
 
     def __repr__(self) -> str:  # pragma: no cover
         return f"Sized(rows={self.rows})"

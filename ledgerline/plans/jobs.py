@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.broadcast import sized
-from ledgerline.operators.star import Star, build_fact_sales, build_star
+from ledgerline.operators.star import Star, build_fact_sales, build_star, natural_keys_unique
 from ledgerline.operators.validate import dq_report, validate
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
@@ -43,15 +43,25 @@ def run_star(spark: SparkSession, staging_path: str, star_path: str) -> dict[str
     return {name: spark.read.parquet(f"{star_path}/{name}").count() for name in star.tables()}
 
 
-def load_star(spark: SparkSession, star_path: str) -> Star:
+def load_star(spark: SparkSession, star_path: str, written_by_run_star: bool = True) -> Star:
     """Star tables read back; dimensions are counted (cheap parquet metadata)
-    so joins know whether they may broadcast them."""
+    so joins know whether they may broadcast them.
+
+    A star written by :func:`run_star` comes from de-duplicated staging, so
+    the exact plain transaction count applies when the dimensions are unique
+    on their natural keys (checked here on the small dimension tables).
+    """
     base = star_path.rstrip("/")
     dim_date = sized(spark.read.parquet(f"{base}/dim_date").select(*DIM_DATE_COLUMNS))
     dim_store = sized(spark.read.parquet(f"{base}/dim_store").select(*DIM_STORE_COLUMNS))
     dim_product = sized(spark.read.parquet(f"{base}/dim_product").select(*DIM_PRODUCT_COLUMNS))
     fact = spark.read.parquet(f"{base}/fact_sales").select(*FACT_COLUMNS)
-    return Star(dim_date, dim_store, dim_product, fact)
+    unique = bool(
+        written_by_run_star
+        and natural_keys_unique(dim_store, "store_id")
+        and natural_keys_unique(dim_product, "sku")
+    )
+    return Star(dim_date, dim_store, dim_product, fact, unique)
 
 
 def run_marts(

@@ -33,24 +33,34 @@ def _nullify(c: Column) -> Column:
     return F.when(~F.trim(c).isin(*NULL_SPELLINGS), c)
 
 
+def _strict(name: str, text: Column, parsed: Column) -> Column:
+    """``parsed``, or fail the job when present text does not parse (in ANSI
+    and non-ANSI sessions alike; a silent NULL would drop the row later)."""
+    bad = text.isNotNull() & parsed.isNull()
+    msg = F.concat(F.lit(f"malformed value in column {name}: "), text)
+    return F.when(bad, F.raise_error(msg)).otherwise(parsed)
+
+
 def parse_pos_strings(df: DataFrame) -> DataFrame:
-    """String columns -> staging types (strict: ANSI casts raise on bad text)."""
+    """String columns -> staging types; malformed text raises."""
     out = []
     for name in df.columns:
         if name not in RAW_TYPES:
             out.append(F.col(name))
             continue
-        c = _nullify(F.col(name))
+        text = F.trim(_nullify(F.col(name)))
         t = RAW_TYPES[name]
         if isinstance(t, T.StringType):
-            out.append(c.alias(name))
-        elif isinstance(t, T.DateType):
-            out.append(F.to_date(F.trim(c), "yyyy-MM-dd").alias(name))
+            out.append(_nullify(F.col(name)).alias(name))
+            continue
+        if isinstance(t, T.DateType):
+            parsed = F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
         elif isinstance(t, T.IntegerType):
             # "3" and "3.0" (a float column written by pandas) both load
-            out.append(F.trim(c).cast("decimal(18,4)").cast("int").alias(name))
+            parsed = text.try_cast("decimal(18,4)").try_cast("int")
         else:
-            out.append(F.trim(c).cast(t).alias(name))
+            parsed = text.try_cast(t)
+        out.append(_strict(name, text, parsed).alias(name))
     return df.select(*out)
 
 

@@ -105,3 +105,23 @@ def test_jobs_end_to_end(spark):
     assert scores == sorted(scores)
     wl = spark.read.option("header", True).csv(f"{d}/out/anomaly_watchlist")
     assert wl.count() == spark.read.parquet(f"{d}/out/watch_test_table").count() > 0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("col,value", [("txn_date", "2024-13-45"), ("net_revenue", "4.7.5"), ("quantity", "two")])
+def test_malformed_text_raises(spark, ansi, col, value):
+    d = scratch()
+    row = {
+        "transaction_id": "T1", "txn_date": "2024-01-15", "store_id": "S01", "city": "X", "province": "P",
+        "sku": "K1", "category": "C", "unit_price": "2.5", "quantity": "2", "discount_rate": "0.05",
+        "gross_revenue": "5", "discount_amount": "0.25", "net_revenue": "4.75", "margin": "1.1",
+    }
+    row[col] = value
+    write_text(f"{d}/a.csv", [HEADER, ",".join(row[c] for c in RAW_COLUMNS)])
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="malformed value in column"):
+            validate(read_pos_csv(spark, f"{d}/a.csv")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

@@ -125,3 +125,18 @@ def test_txn_count_fast_path_only_without_fan_out(spark, sample_rows):
     season = {(r.month, r.category): r.txn_count for r in marts.seasonality(fan).collect()}
     # TXN001 and TXN003 are each joined twice, still counted once
     assert season[(1, "Electronics")] == 1 and season[(3, "Electronics")] == 1
+
+
+def test_broadcast_limit_is_configurable(spark, sample_rows):
+    from ledgerline.plans import marts
+
+    spark.conf.set("ledgerline.maxBroadcastRows", "1")
+    try:
+        star = S.build_star(staged(spark, sample_rows), staging_unique=True)
+        plan = marts.revenue_decomposition(star, 2023, 2024)._jdf.queryExecution().optimizedPlan().toString()
+        # every dimension (2 products, 51 days) is over the 1-row limit
+        assert plan.count("strategy=broadcast") == 0
+        rows = marts.revenue_decomposition(star, 2023, 2024).collect()
+        assert len(rows) == 2
+    finally:
+        spark.conf.unset("ledgerline.maxBroadcastRows")
