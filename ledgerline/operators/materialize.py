@@ -4,16 +4,24 @@ A parquet table (rather than ``DataFrame.checkpoint``'s row files) keeps
 column pruning, filter pushdown and size statistics for the planner when the
 result is read back.  The folder is the one the cluster names in
 ``spark.checkpoint.dir``; see :func:`ledgerline.session.ensure_checkpoint_dir`.
+
+Intermediate tables can be large (the keep-first table is a copy of the
+feed), so writers inside a :func:`tracking` block are recorded and can be
+deleted with :func:`release` once the job's outputs are written.
 """
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.session import ensure_checkpoint_dir
 
+_REGISTRY: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("ledgerline_materialized", default=None)
+
 
 def materialize(df: DataFrame, name: str = "t", partition_by: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
@@ -23,4 +31,29 @@ def materialize(df: DataFrame, name: str = "t", partition_by: list[str] | None =
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    registry = _REGISTRY.get()
+    if registry is not None:
+        registry.append(path)
     return spark.read.parquet(path)
+
+
+@contextlib.contextmanager
+def tracking(registry: list[str]):
+    """Record the paths of tables materialised inside the block."""
+    token = _REGISTRY.set(registry)
+    try:
+        yield registry
+    finally:
+        _REGISTRY.reset(token)
+
+
+def release(spark: SparkSession, paths: list[str]) -> int:
+    """Delete materialised tables (Hadoop FileSystem API, any scheme)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    deleted = 0
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            deleted += 1
+    return deleted

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.broadcast import sized
+from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.star import Star, build_fact_sales, build_star, natural_keys_unique
-from ledgerline.operators.validate import dq_report, validate
+from ledgerline.operators.validate import dq_counts, finish_validation, first_copies
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
 from ledgerline.schema import DIM_DATE_COLUMNS, DIM_PRODUCT_COLUMNS, DIM_STORE_COLUMNS, FACT_COLUMNS
@@ -31,15 +32,24 @@ def run_ingest(spark: SparkSession, staging_path: str, src: str | None = None, r
     """
     if raw is None:
         raw = read_pos_csv(spark, src)
-    write_staging(validate(raw), staging_path)
-    return dq_report(raw).first().asDict()
+    temp: list[str] = []
+    with tracking(temp):
+        # keep-first once; staging and the DQ report both read it
+        firsts = materialize(first_copies(raw), "ingest_firsts")
+        write_staging(finish_validation(firsts), staging_path)
+        report = dq_counts(firsts).first().asDict()
+    release(spark, temp)
+    return report
 
 
 def run_star(spark: SparkSession, staging_path: str, star_path: str) -> dict[str, int]:
     staging = spark.read.parquet(staging_path).drop("loaded_at")
-    # staging written by run_ingest / the incremental load is de-duplicated
-    star = build_star(staging, staging_unique=True)
-    write_star(star, star_path)
+    temp: list[str] = []
+    with tracking(temp):
+        # staging written by run_ingest / the incremental load is de-duplicated
+        star = build_star(staging, staging_unique=True)
+        write_star(star, star_path)
+    release(spark, temp)  # intermediate keyed dimensions
     return {name: spark.read.parquet(f"{star_path}/{name}").count() for name in star.tables()}
 
 
@@ -97,12 +107,18 @@ def run_anomaly(
 ) -> list[dict]:
     """Write the watch-list (CSV + table) and return the top 10 rows."""
     star = load_star(spark, star_path)
-    watch = anomaly.anomaly_watchlist(anomaly.anomaly_scores(star, contamination))
     base = out_dir.rstrip("/")
-    write_csv(watch, f"{base}/anomaly_watchlist")
-    if table_name:
-        save_table(watch, table_name, f"{base}/{table_name}_table")
-    written = spark.read.parquet(f"{base}/{table_name}_table") if table_name else watch
+    temp: list[str] = []
+    with tracking(temp):
+        watch = anomaly.anomaly_watchlist(anomaly.anomaly_scores(star, contamination))
+        table_path = f"{base}/{table_name or 'anomaly_watchlist'}_table"
+        if table_name:
+            save_table(watch, table_name, table_path)
+        else:
+            watch.write.mode("overwrite").parquet(table_path)
+    release(spark, temp)  # forest samples, scores, quantile index
+    written = spark.read.parquet(table_path)
+    write_csv(written.orderBy("anomaly_score", "store_id", "full_date"), f"{base}/anomaly_watchlist")
     top = anomaly.watchlist_top10(written)
     return [r.asDict() for r in top.collect()]
 

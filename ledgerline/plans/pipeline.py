@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.materialize import materialize
+from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.star import Star, build_star
 from ledgerline.operators.validate import COPIES, dq_counts, finish_validation, first_copies
 from ledgerline.sources.adapter import pos_feed
@@ -43,6 +43,7 @@ class Pipeline:
         self.dirty = dirty
         self.base_year = base_year
         self.compare_year = compare_year
+        self.materialized: list[str] = []
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -54,7 +55,8 @@ class Pipeline:
     def deduped(self) -> DataFrame:
         """Keep-first rows with copy counts, written once (the only full
         write of the build); staging and the DQ report are scans of it."""
-        return materialize(first_copies(self.raw), "deduped")
+        with tracking(self.materialized):
+            return materialize(first_copies(self.raw), "deduped")
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -70,7 +72,8 @@ class Pipeline:
 
     @cached_property
     def star(self) -> Star:
-        return build_star(self.staging, staging_unique=True)
+        with tracking(self.materialized):
+            return build_star(self.staging, staging_unique=True)
 
     @property
     def fact(self) -> DataFrame:
@@ -82,7 +85,8 @@ class Pipeline:
         and the forest all read them)."""
         from ledgerline.operators.features import store_day_features
 
-        return materialize(store_day_features(self.star), "store_day")
+        with tracking(self.materialized):
+            return materialize(store_day_features(self.star), "store_day")
 
     def anomaly_scores(self, contamination: float) -> DataFrame:
         """Scored store-days, fitted once per contamination level (the
@@ -91,5 +95,15 @@ class Pipeline:
 
         cache = self.__dict__.setdefault("_anomaly", {})
         if contamination not in cache:
-            cache[contamination] = anomaly_scores(self.star, contamination, daily=self.store_days)
+            daily = self.store_days
+            with tracking(self.materialized):
+                cache[contamination] = anomaly_scores(self.star, contamination, daily=daily)
         return cache[contamination]
+
+    def release(self) -> int:
+        """Delete every table this pipeline wrote to the checkpoint folder.
+        DataFrames obtained from it are unusable afterwards."""
+        n = release(self.spark, self.materialized)
+        for k in ("deduped", "staging", "star", "store_days", "_anomaly"):
+            self.__dict__.pop(k, None)
+        return n

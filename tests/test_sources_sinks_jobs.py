@@ -125,3 +125,12 @@ def test_malformed_text_raises(spark, ansi, col, value):
             validate(read_pos_csv(spark, f"{d}/a.csv")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_pipeline_release_deletes_its_tables(spark):
+    p = Pipeline(spark, SF_SMOKE)
+    p.star  # noqa: B018
+    paths = list(p.materialized)
+    assert paths and all(os.path.exists(x.replace("file:", "")) for x in paths)
+    assert p.release() == len(paths)
+    assert not any(os.path.exists(x.replace("file:", "")) for x in paths)
