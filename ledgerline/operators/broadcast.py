@@ -41,3 +41,12 @@ class Sized:
 def sized(df: DataFrame) -> Sized:
     """Count a materialised (checkpointed/cached/written) DataFrame."""
     return Sized(df, df.count())
+
+
+def sized_many(*dfs: DataFrame) -> list[Sized]:
+    """Count several materialised DataFrames in one job."""
+    from functools import reduce
+
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, df in enumerate(dfs)]
+    rows = {r["i"]: r["n"] for r in reduce(DataFrame.unionByName, counted).collect()}
+    return [Sized(df, rows[i]) for i, df in enumerate(dfs)]

@@ -115,6 +115,17 @@ def natural_keys_unique(dim: Sized, natural_key: str) -> bool:
     return dim.df.select(natural_key).distinct().count() == dim.rows
 
 
+def no_fan_out(dim_store: Sized, dim_product: Sized) -> bool:
+    """Both joined dimensions unique on their natural keys (one job)."""
+    counts = (
+        dim_store.df.agg(F.count_distinct("store_id").alias("n")).select(F.lit(0).alias("i"), "n")
+        .unionByName(dim_product.df.agg(F.count_distinct("sku").alias("n")).select(F.lit(1).alias("i"), "n"))
+        .collect()
+    )
+    got = {r["i"]: r["n"] for r in counts}
+    return got.get(0) == dim_store.rows and got.get(1) == dim_product.rows
+
+
 def build_star(staging: DataFrame, staging_unique: bool = False) -> Star:
     """Dimensions are materialised (small, keyed, counted); the fact is lazy.
 
@@ -126,9 +137,5 @@ def build_star(staging: DataFrame, staging_unique: bool = False) -> Star:
     dim_store = dim_store_sized(staging)
     dim_product = dim_product_sized(staging)
     fact = build_fact_sales(staging, dim_store, dim_product)
-    unique = bool(
-        staging_unique
-        and natural_keys_unique(dim_store, "store_id")
-        and natural_keys_unique(dim_product, "sku")
-    )
+    unique = bool(staging_unique and no_fan_out(dim_store, dim_product))
     return Star(dim_date, dim_store, dim_product, fact, unique)

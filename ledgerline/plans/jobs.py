@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.broadcast import sized
 from ledgerline.operators.materialize import materialize, release, tracking
-from ledgerline.operators.star import Star, build_fact_sales, build_star, natural_keys_unique
+from ledgerline.operators.star import Star, build_fact_sales, build_star, no_fan_out
 from ledgerline.operators.validate import dq_counts, finish_validation, first_copies
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
@@ -66,11 +66,7 @@ def load_star(spark: SparkSession, star_path: str, written_by_run_star: bool = T
     dim_store = sized(spark.read.parquet(f"{base}/dim_store").select(*DIM_STORE_COLUMNS))
     dim_product = sized(spark.read.parquet(f"{base}/dim_product").select(*DIM_PRODUCT_COLUMNS))
     fact = spark.read.parquet(f"{base}/fact_sales").select(*FACT_COLUMNS)
-    unique = bool(
-        written_by_run_star
-        and natural_keys_unique(dim_store, "store_id")
-        and natural_keys_unique(dim_product, "sku")
-    )
+    unique = bool(written_by_run_star and no_fan_out(dim_store, dim_product))
     return Star(dim_date, dim_store, dim_product, fact, unique)
 
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import Sized, sized
+from ledgerline.operators.broadcast import Sized, sized_many
 from ledgerline.schema import MONEY, RATE, RAW_COLUMNS, ROW_SEQ
 from ledgerline.sources.tables import read_table
 
@@ -73,8 +73,10 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     # part and supplier grow with the data (TPC-H: 200k and 10k rows per SF).
     # Their row counts come from parquet footers; they are broadcast only
     # under the row bound and shuffle-joined beyond it.
-    part = sized(read_table(spark, sf_dir, "part").select("p_partkey", "p_type"))
-    supplier = sized(read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
+    part, supplier = sized_many(
+        read_table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+        read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
+    )
     # nation (25 rows) and region (5 rows) have a fixed size at every scale.
     geo = F.broadcast(
         read_table(spark, sf_dir, "nation")
