@@ -110,11 +110,6 @@ class Star:
         }
 
 
-def natural_keys_unique(dim: Sized, natural_key: str) -> bool:
-    """One dimension row per natural key (the dimension is small)."""
-    return dim.df.select(natural_key).distinct().count() == dim.rows
-
-
 def no_fan_out(dim_store: Sized, dim_product: Sized) -> bool:
     """Both joined dimensions unique on their natural keys (one job)."""
     counts = (

@@ -12,7 +12,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.functions.numeric import zero_if_negative
 from ledgerline.operators.dedup import keep_first
@@ -146,8 +145,3 @@ def dq_counts(firsts: DataFrame) -> DataFrame:
         (F.sum(COPIES) - F.count_if(kept)).cast("bigint").alias("rows_dropped"),
     ]
     return firsts.agg(*aggs)
-
-
-STAGING_SCHEMA = T.StructType(
-    [T.StructField(c, RAW_TYPES[c]) for c in RAW_COLUMNS] + [T.StructField("loaded_at", T.TimestampType())]
-)

@@ -7,19 +7,18 @@ Every query runs the whole pipeline over the whole driver tables in
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import publish
-from ledgerline.functions.numeric import dbl, round_dbl
+from ledgerline.functions.numeric import dbl, publish, round_dbl
 from ledgerline.operators import features as feat
 from ledgerline.operators import star as star_ops
-from ledgerline.operators.materialize import materialize
-from ledgerline.operators.quantile import exact_quantile
 from ledgerline.operators import validate as V
+from ledgerline.operators.quantile import exact_quantile
 from ledgerline.plans import anomaly, chart_data, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
@@ -33,8 +32,6 @@ _PIPELINES: dict[tuple, Pipeline] = {}
 
 def _fingerprint(sf_dir: str) -> tuple:
     """Sizes and modification times of the input tables (local paths)."""
-    import os
-
     out = []
     for name in ("lineitem", "part", "supplier", "nation", "region"):
         p = os.path.join(sf_dir, f"{name}.parquet")

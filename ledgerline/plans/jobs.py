@@ -12,11 +12,10 @@ on its own.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.operators.broadcast import sized
 from ledgerline.operators.materialize import materialize, release, tracking
-from ledgerline.operators.star import Star, build_fact_sales, build_star, no_fan_out
+from ledgerline.operators.star import Star, build_star, no_fan_out
 from ledgerline.operators.validate import dq_counts, finish_validation, first_copies
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
@@ -118,10 +117,3 @@ def run_anomaly(
     top = anomaly.watchlist_top10(written)
     return [r.asDict() for r in top.collect()]
 
-
-def rebuild_fact(spark: SparkSession, staging: DataFrame, star_path: str) -> DataFrame:
-    """Fact rows for new staging rows against the stored dimensions."""
-    star = load_star(spark, star_path)
-    return build_fact_sales(staging, star.dim_store, star.dim_product).withColumn(
-        "year", (F.col("date_key") / 10000).cast("int")
-    )

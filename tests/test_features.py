@@ -6,7 +6,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerline.operators.features import feature_stats, rolling_features
 from ledgerline.operators.quantile import exact_quantile
