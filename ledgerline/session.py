@@ -62,17 +62,37 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``ledgerline`` importable in Python workers (the programmatic
     form of ``--py-files``), once per application.  Needed only by the
-    pandas UDF / applyInPandas steps."""
+    pandas UDF / applyInPandas steps.
+
+    Skipped when the application was submitted with the package in
+    ``spark.submit.pyFiles``.  On a cluster the archive is put in the shared
+    checkpoint folder and added from there; in local mode it is added from
+    the driver's disk.
+    """
     import shutil
+    import uuid
 
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    submitted = sc.getConf().get("spark.submit.pyFiles", "") or ""
+    if "ledgerline" in submitted:
+        _SHIPPED.add(app)
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="ledgerline-pyfiles-", dir="/tmp")
+    out_dir = tempfile.mkdtemp(prefix="ledgerline-pyfiles-")
     archive = shutil.make_archive(
         os.path.join(out_dir, "ledgerline"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="ledgerline"
     )
+    if not sc.master.startswith("local"):
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        remote = f"{base}/ledgerline-pyfiles-{uuid.uuid4().hex}/ledgerline.zip"
+        jvm = spark._jvm
+        dst = jvm.org.apache.hadoop.fs.Path(remote)
+        dst.getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(
+            jvm.org.apache.hadoop.fs.Path(archive), dst
+        )
+        archive = remote
     sc.addPyFile(archive)
     _SHIPPED.add(app)
