@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.anti_join import new_rows
+from ledgerline.operators.materialize import materialize
 from ledgerline.operators.validate import add_load_time, validate
 from ledgerline.schema import ROW_SEQ
 from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, parse_pos_strings
@@ -35,14 +36,46 @@ def _staging_exists(spark: SparkSession, path: str) -> bool:
     )
 
 
-def load_batch(batch: DataFrame, staging_path: str) -> None:
-    """Validate one batch and append the rows staging does not hold yet."""
+def high_water_path(staging_path: str) -> str:
+    return staging_path.rstrip("/") + "_high_water"
+
+
+def read_high_water(spark: SparkSession, staging_path: str) -> dict | None:
+    """The one-row high-water table: latest loaded txn_date, cumulative rows
+    loaded, and the epoch of the last batch that loaded rows."""
+    path = high_water_path(staging_path)
+    if not _staging_exists(spark, path):
+        return None
+    row = spark.read.parquet(path).first()
+    return row.asDict() if row else None
+
+
+def load_batch(batch: DataFrame, staging_path: str, epoch_id: int = -1) -> int:
+    """Validate one batch and append the rows staging does not hold yet.
+
+    Also advances the high-water table from this batch alone (no re-scan of
+    staging).  It is informative: late rows below it still load, because
+    the anti-join decides.  Returns the number of rows appended.
+    """
     spark = batch.sparkSession
     typed = parse_pos_strings(batch)
     fresh = validate(typed)
     if _staging_exists(spark, staging_path):
         fresh = new_rows(fresh, spark.read.parquet(staging_path), "transaction_id")
-    add_load_time(fresh).write.mode("append").parquet(staging_path)
+    # Freeze the batch's new rows first: evaluated again after the append,
+    # the anti-join would find them in staging and drop them.
+    fresh = materialize(add_load_time(fresh), "batch_new")
+    fresh.write.mode("append").parquet(staging_path)
+    # the batch's own aggregate is enough for the high-water mark
+    stats = fresh.agg(F.max("txn_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
+    if stats["n"]:
+        old = read_high_water(spark, staging_path)
+        hwm = max(filter(None, [stats["d"], old["high_water_date"] if old else None]))
+        total = stats["n"] + (old["rows_loaded"] if old else 0)
+        spark.createDataFrame(
+            [(hwm, total, epoch_id)], "high_water_date date, rows_loaded long, last_epoch long"
+        ).coalesce(1).write.mode("overwrite").parquet(high_water_path(staging_path))
+    return stats["n"]
 
 
 def start_incremental_load(
@@ -74,7 +107,7 @@ def start_incremental_load(
             "*",
             F.struct(F.col("_file.f"), F.col("_file.b"), F.monotonically_increasing_id().alias("i")).alias(ROW_SEQ),
         ).drop("_file")
-        load_batch(ordered, staging_path)
+        load_batch(ordered, staging_path, epoch_id)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:

@@ -33,6 +33,12 @@ def test_incremental_load_appends_unseen_ids_only(spark):
     assert rows["T1"].quantity == 1 and rows["T2"].quantity == 1 and "T4" in rows
     # nothing new: a rerun reads no file twice
     assert run_incremental_load(spark, src, staging, ckpt) == 3
+    from ledgerline.streaming.incremental import read_high_water
+
+    hw = read_high_water(spark, staging)
+    import datetime as dt
+
+    assert hw["high_water_date"] == dt.date(2024, 1, 11) and hw["rows_loaded"] == 3
 
 
 def test_replayed_micro_batch_appends_nothing_twice(spark):
