@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.anti_join import new_rows
-from ledgerline.operators.materialize import materialize
+from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.validate import add_load_time, validate
 from ledgerline.schema import ROW_SEQ
 from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, parse_pos_strings
@@ -58,6 +58,14 @@ def load_batch(batch: DataFrame, staging_path: str, epoch_id: int = -1) -> int:
     the anti-join decides.  Returns the number of rows appended.
     """
     spark = batch.sparkSession
+    temp: list[str] = []
+    with tracking(temp):
+        n = _append_new(spark, batch, staging_path, epoch_id)
+    release(spark, temp)  # the batch's intermediate tables
+    return n
+
+
+def _append_new(spark: SparkSession, batch: DataFrame, staging_path: str, epoch_id: int) -> int:
     typed = parse_pos_strings(batch)
     fresh = validate(typed)
     if _staging_exists(spark, staging_path):
