@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,6 +23,7 @@ from ledgerline.operators.quantile import exact_quantile
 from ledgerline.plans import anomaly, chart_data, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
+from ledgerline.sources.pos_csv import read_pos_csv
 from ledgerline.session import ensure_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +113,21 @@ def validated_staging(spark, sf_dir):
     return publish(_pipe(spark, sf_dir).staging)
 
 
+def csv_roundtrip_staging(spark, sf_dir):
+    """S1 over the whole feed: the raw lines are exported as header CSV in
+    source order, read back through the CSV source (real header check, null
+    spellings, file order) and validated.  File order then equals the
+    source order, so the result equals ``validated_staging``."""
+    p = _pipe(spark, sf_dir)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/ledgerline-pos-csv-{uuid.uuid4().hex}"
+    feed = V.conform(p.raw)
+    # range-partitioned sort: part files are named in partition order
+    feed.orderBy(ROW_SEQ).drop(ROW_SEQ).write.option("header", True).csv(path)
+    p.materialized.append(path)
+    return publish(V.validate(read_pos_csv(spark, path)))
+
+
 def dq_report(spark, sf_dir):
     return _pipe(spark, sf_dir).dq_report()
 
@@ -244,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "zero_negatives": zero_negatives,
     "clamp_discount": clamp_discount,
     "validated_staging": validated_staging,
+    "csv_roundtrip_staging": csv_roundtrip_staging,
     "dq_report": dq_report,
     "dim_date": dim_date,
     "dim_store": dim_store,
