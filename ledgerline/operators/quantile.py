@@ -20,8 +20,13 @@ from ledgerline.operators.sequence import with_row_index_counted
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    indexed, n = with_row_index_counted(values, [F.col("v")], "i")
+    # The tie-breaker lets range partitioning split a value shared by many
+    # rows (a third of all rows may tie) over several partitions; any order
+    # of equal values gives the same quantile.
+    values = df.select(
+        F.col(col).cast("double").alias("v"), F.monotonically_increasing_id().alias("_tie")
+    ).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    indexed, n = with_row_index_counted(values, [F.col("v"), F.col("_tie")], "i")
     if n == 0:
         return None
     pos = (n - 1) * q

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators.features import feature_stats, rolling_features
 from ledgerline.operators.quantile import exact_quantile
@@ -56,3 +57,16 @@ def test_exact_quantile_matches_linear_percentile(spark, q):
 def test_exact_quantile_ignores_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "v double")
     assert exact_quantile(df, "v", 0.5) == 2.0
+
+
+def test_exact_quantile_with_a_hot_value_spreads_over_partitions(spark):
+    """A third of the rows share one value; the quantile stays exact and the
+    range partitions stay balanced."""
+    vals = [5.0] * 3000 + [float(i) for i in range(6000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(6)
+    assert exact_quantile(df, "v", 0.03) == pytest.approx(float(np.percentile(vals, 3)))
+    assert exact_quantile(df, "v", 0.5) == pytest.approx(float(np.percentile(vals, 50)))
+    # the principle: with the tie-breaker, range partitions split the hot value
+    ranged = df.select("v", F.monotonically_increasing_id().alias("_tie")).repartitionByRange(8, "v", "_tie")
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 3000
