@@ -43,13 +43,17 @@ def anomaly_scores(
     The model sees the four z-scaled features only (the rolling columns are
     reported, not modelled); scaling statistics come from the complete rows.
     """
-    base = daily if daily is not None else store_day_features(star)
-    daily = materialize(rolling_features(base), "rolled")
+    if daily is None:
+        daily = materialize(store_day_features(star), "store_day")
     stats = feature_stats(complete_features(daily))
     scaled = scale_features(daily, stats, prefix="z_")
     zcols = [f"z_{c}" for c in FEATURE_COLUMNS]
-    out = detect(scaled, zcols, KEYS, contamination, n_trees, max_samples, seed)
-    return publish(out.drop(*zcols))
+    scored = detect(scaled, zcols, KEYS, contamination, n_trees, max_samples, seed).drop(*zcols)
+    # The rolling columns are reported, not modelled: add them over the
+    # (written) scored table instead of writing a rolled copy first.
+    rolled = rolling_features(scored)
+    roll_cols = [c for c in rolled.columns if c not in scored.columns]
+    return publish(rolled.select(*daily.columns, *roll_cols, "anomaly_score", "is_anomaly"))
 
 
 def anomaly_watchlist(scores: DataFrame) -> DataFrame:
