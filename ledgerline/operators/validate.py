@@ -145,3 +145,13 @@ def dq_counts(firsts: DataFrame) -> DataFrame:
         (F.sum(COPIES) - F.count_if(kept)).cast("bigint").alias("rows_dropped"),
     ]
     return firsts.agg(*aggs)
+
+
+def _ddl_type(t) -> str:
+    return t.simpleString()
+
+
+# Column list of the staging table in DDL form (raw columns + load time).
+STAGING_DDL = ", ".join(
+    [f"{c} {_ddl_type(RAW_TYPES[c])}" for c in RAW_COLUMNS] + ["loaded_at timestamp"]
+)

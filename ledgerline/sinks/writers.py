@@ -26,6 +26,43 @@ def write_staging(df: DataFrame, path: str, max_records_per_file: int = DEFAULT_
     )
 
 
+def write_staging_table(
+    df: DataFrame,
+    table: str,
+    path: str,
+    buckets: int,
+    mode: str = "overwrite",
+) -> None:
+    """Staging as a catalog table bucketed (and sorted) by ``transaction_id``.
+
+    Joins on ``transaction_id`` against it - the daily anti-join of a new
+    delivery - then shuffle only the other side; the staging side is read
+    bucket by bucket.  ``mode="append"`` adds a delivery with the same
+    bucketing.
+    """
+    stamped = df if "loaded_at" in df.columns else add_load_time(df)
+    (
+        stamped.write.mode(mode)
+        .bucketBy(buckets, "transaction_id")
+        .sortBy("transaction_id")
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(table)
+    )
+
+
+def register_staging_table(spark, table: str, path: str, buckets: int) -> None:
+    """Re-attach a stored bucketed staging table to this session's catalog
+    (a persistent metastore keeps it across sessions by itself)."""
+    from ledgerline.operators.validate import STAGING_DDL
+
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({STAGING_DDL}) USING parquet "
+        f"CLUSTERED BY (transaction_id) SORTED BY (transaction_id) INTO {buckets} BUCKETS "
+        f"LOCATION '{path}'"
+    )
+
+
 def write_star(star: Star, base_path: str) -> dict[str, str]:
     """The four star tables under ``base_path``; the fact table is partitioned
     by a storage-only ``year`` column derived from ``date_key`` so that

@@ -24,6 +24,7 @@ from ledgerline.operators.anti_join import new_rows
 from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.validate import add_load_time, validate
 from ledgerline.schema import ROW_SEQ
+from ledgerline.sinks.writers import write_staging_table
 from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, parse_pos_strings
 
 
@@ -50,7 +51,13 @@ def read_high_water(spark: SparkSession, staging_path: str) -> dict | None:
     return row.asDict() if row else None
 
 
-def load_batch(batch: DataFrame, staging_path: str, epoch_id: int = -1) -> int:
+def load_batch(
+    batch: DataFrame,
+    staging_path: str,
+    epoch_id: int = -1,
+    staging_table: str | None = None,
+    buckets: int | None = None,
+) -> int:
     """Validate one batch and append the rows staging does not hold yet.
 
     Also advances the high-water table from this batch alone (no re-scan of
@@ -60,20 +67,37 @@ def load_batch(batch: DataFrame, staging_path: str, epoch_id: int = -1) -> int:
     spark = batch.sparkSession
     temp: list[str] = []
     with tracking(temp):
-        n = _append_new(spark, batch, staging_path, epoch_id)
+        n = _append_new(spark, batch, staging_path, epoch_id, staging_table, buckets)
     release(spark, temp)  # the batch's intermediate tables
     return n
 
 
-def _append_new(spark: SparkSession, batch: DataFrame, staging_path: str, epoch_id: int) -> int:
+def _append_new(
+    spark: SparkSession,
+    batch: DataFrame,
+    staging_path: str,
+    epoch_id: int,
+    staging_table: str | None,
+    buckets: int | None,
+) -> int:
     typed = parse_pos_strings(batch)
     fresh = validate(typed)
-    if _staging_exists(spark, staging_path):
-        fresh = new_rows(fresh, spark.read.parquet(staging_path), "transaction_id")
+    if staging_table:
+        # bucketed by transaction_id: the anti-join never shuffles staging
+        exists = spark.catalog.tableExists(staging_table)
+        target = spark.table(staging_table) if exists else None
+    else:
+        exists = _staging_exists(spark, staging_path)
+        target = spark.read.parquet(staging_path) if exists else None
+    if target is not None:
+        fresh = new_rows(fresh, target, "transaction_id")
     # Freeze the batch's new rows first: evaluated again after the append,
     # the anti-join would find them in staging and drop them.
     fresh = materialize(add_load_time(fresh), "batch_new")
-    fresh.write.mode("append").parquet(staging_path)
+    if staging_table:
+        write_staging_table(fresh, staging_table, staging_path, buckets or 64, mode="append" if exists else "overwrite")
+    else:
+        fresh.write.mode("append").parquet(staging_path)
     # the batch's own aggregate is enough for the high-water mark
     stats = fresh.agg(F.max("txn_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
     if stats["n"]:
@@ -93,6 +117,8 @@ def start_incremental_load(
     checkpoint_location: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    staging_table: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("inferSchema",)}
     stream = (
@@ -115,7 +141,7 @@ def start_incremental_load(
             "*",
             F.struct(F.col("_file.f"), F.col("_file.b"), F.monotonically_increasing_id().alias("i")).alias(ROW_SEQ),
         ).drop("_file")
-        load_batch(ordered, staging_path, epoch_id)
+        load_batch(ordered, staging_path, epoch_id, staging_table, buckets)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:

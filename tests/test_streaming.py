@@ -56,3 +56,24 @@ def test_replayed_micro_batch_appends_nothing_twice(spark):
     load_batch(batch, f"{root}/staging")
     load_batch(batch, f"{root}/staging")  # replay
     assert spark.read.parquet(f"{root}/staging").count() == 2
+
+
+def test_incremental_load_into_a_bucketed_staging_table(spark):
+    import os
+
+    from ledgerline.streaming.incremental import start_incremental_load
+
+    root = tempfile.mkdtemp(prefix="ledgerline-stream-bk-", dir="/tmp")
+    os.makedirs(f"{root}/in")
+    write(f"{root}/in/day1.csv", [line("T1", "2024-01-10"), line("T2", "2024-01-11")])
+    kw = dict(staging_table="stg_stream_bk", buckets=8)
+    q = start_incremental_load(spark, f"{root}/in", f"{root}/staging", f"{root}/ckpt", **kw)
+    q.awaitTermination()
+    write(f"{root}/in/day2.csv", [line("T2", "2024-01-11", qty="4"), line("T3", "2024-01-05")])
+    q = start_incremental_load(spark, f"{root}/in", f"{root}/staging", f"{root}/ckpt", **kw)
+    q.awaitTermination()
+    try:
+        rows = {r.transaction_id: r.quantity for r in spark.table("stg_stream_bk").collect()}
+        assert rows == {"T1": 1, "T2": 1, "T3": 1}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS stg_stream_bk")
