@@ -2,7 +2,7 @@
 
 A plain ``left_anti`` join shuffles both sides on the key, i.e. the whole
 target table on every load.  Here the delivery's distinct keys are counted
-first; under the broadcast bound they are broadcast into a map-side semi-join
+first; under the broadcast bound (rows and estimated bytes) they are broadcast into a map-side semi-join
 that keeps only the target rows sharing a key (at most one per key when the
 target's key is unique), and the anti-join then runs between two small sides.
 The target is scanned but never shuffled.  Above the bound it falls back to
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import max_broadcast_rows
+from ledgerline.operators.broadcast import Sized
 from ledgerline.operators.materialize import materialize
 
 
@@ -22,10 +22,10 @@ def new_rows(delivery: DataFrame, target: DataFrame, key: str, max_rows: int | N
     # the delivery is read twice (its keys, then the anti-join): write it once
     delivery = materialize(delivery, "delivery")
     keys = materialize(delivery.select(key).filter(F.col(key).isNotNull()).distinct(), "delivery_keys")
-    n = keys.count()
-    if n > (max_rows if max_rows is not None else max_broadcast_rows(delivery)):
+    sized_keys = Sized(keys, keys.count())
+    if not sized_keys.fits_broadcast(max_rows):
         return delivery.join(target.select(key), key, "left_anti")
     seen = target.select(key).join(F.broadcast(keys), key, "left_semi")
     # ``seen`` has at most one row per delivery key when the target key is
-    # unique (staging is de-duplicated), so it is bounded by n as well.
+    # unique (staging is de-duplicated), so it is bounded like the keys.
     return delivery.join(F.broadcast(seen), key, "left_anti")

@@ -140,3 +140,19 @@ def test_broadcast_limit_is_configurable(spark, sample_rows):
         assert len(rows) == 2
     finally:
         spark.conf.unset("ledgerline.maxBroadcastRows")
+
+
+def test_broadcast_bound_is_in_bytes_of_the_joined_columns(spark):
+    from ledgerline.operators.broadcast import Sized, row_width
+
+    narrow = spark.range(1).select(F.lit(1).alias("k"), F.lit("x").alias("c"))
+    wide = narrow.select("*", *[F.lit("y").alias(f"s{i}") for i in range(20)])
+    assert row_width(wide.schema) > row_width(narrow.schema)
+    rows = 1_000_000
+    limit = rows * row_width(narrow.schema)
+    spark.conf.set("ledgerline.maxBroadcastBytes", str(limit))
+    try:
+        assert Sized(narrow, rows).fits_broadcast()
+        assert not Sized(wide, rows).fits_broadcast()
+    finally:
+        spark.conf.unset("ledgerline.maxBroadcastBytes")
