@@ -96,3 +96,28 @@ def ship_package(spark: SparkSession) -> None:
         archive = remote
     sc.addPyFile(archive)
     _SHIPPED.add(app)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes under the given paths (Hadoop FileSystem, any scheme)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return total
+
+
+def suggest_shuffle_partitions(
+    spark: SparkSession, paths: list[str], target_bytes: int = 128 * 1024 * 1024
+) -> int:
+    """Initial shuffle partitions so each holds about ``target_bytes`` of the
+    input (never fewer than the cluster's cores); AQE coalesces the small
+    ones at runtime, so erring high is cheap while erring low spills."""
+    import math
+
+    n = math.ceil(input_bytes(spark, paths) / target_bytes)
+    return max(spark.sparkContext.defaultParallelism, n)

@@ -70,3 +70,15 @@ def test_exact_quantile_with_a_hot_value_spreads_over_partitions(spark):
     ranged = df.select("v", F.monotonically_increasing_id().alias("_tie")).repartitionByRange(8, "v", "_tie")
     sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(sizes) < 3000
+
+
+def test_shuffle_partition_suggestion_scales_with_input(spark):
+    from conftest import SF_SMOKE
+
+    from ledgerline.session import input_bytes, suggest_shuffle_partitions
+
+    paths = [f"{SF_SMOKE}/lineitem.parquet"]
+    size = input_bytes(spark, paths)
+    assert size > 0
+    assert suggest_shuffle_partitions(spark, paths) == spark.sparkContext.defaultParallelism
+    assert suggest_shuffle_partitions(spark, paths, target_bytes=max(1, size // 50)) >= 50
