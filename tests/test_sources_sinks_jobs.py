@@ -134,3 +134,18 @@ def test_pipeline_release_deletes_its_tables(spark):
     assert paths and all(os.path.exists(x.replace("file:", "")) for x in paths)
     assert p.release() == len(paths)
     assert not any(os.path.exists(x.replace("file:", "")) for x in paths)
+
+
+def test_second_file_with_reordered_header_fails_loudly(spark):
+    d = scratch()
+    vals = {
+        "transaction_id": "T1", "txn_date": "2024-01-15", "store_id": "S01", "city": "X", "province": "P",
+        "sku": "K1", "category": "C", "unit_price": "2.5", "quantity": "2", "discount_rate": "0.05",
+        "gross_revenue": "5", "discount_amount": "0.25", "net_revenue": "4.75", "margin": "1.1",
+    }
+    cols = list(RAW_COLUMNS)
+    write_text(f"{d}/a.csv", [",".join(cols), ",".join(vals[c] for c in cols)])
+    rev = list(reversed(cols))
+    write_text(f"{d}/b.csv", [",".join(rev), ",".join(vals[c] for c in rev).replace("T1", "T2")])
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        validate(read_pos_csv(spark, d)).collect()
