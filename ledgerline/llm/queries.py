@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import fingerprint, linededup, mix, neardup, packing, quality, secrets
+from ledgerline.llm import fingerprint, linededup, mix, neardup, packing, quality, secrets, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": mix.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": linededup.op6,
     "op7_secrets": secrets.op7,
     "op8_packing": packing.op8,
+    "op9_substring_dedup": substring.op9,
     "op10_host_quality": quality.op10,
 }
 
@@ -22,5 +23,6 @@ ORACLES: dict[str, str] = {
     "op1_pareto_mix": mix.ORACLE,
     "op2_neardup": neardup.ORACLE,
     "op6_line_dedup": linededup.ORACLE,
+    "op9_substring_dedup": substring.ORACLE,
     "op10_host_quality": quality.ORACLE,
 }
