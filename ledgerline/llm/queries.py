@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import fingerprint, linededup, mix, neardup, packing, quality, secrets, substring
+from ledgerline.llm import fingerprint, html_text, license_scan, linededup, mix, neardup, packing, quality, secrets, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": mix.op1,
     "op2_neardup": neardup.op2,
+    "op3_html_text": html_text.op3,
+    "op4_licenses": license_scan.op4,
     "op5_fingerprints": fingerprint.op5,
     "op6_line_dedup": linededup.op6,
     "op7_secrets": secrets.op7,

@@ -21,6 +21,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# A-Z folded and every ASCII sign that is no letter or digit a space
+_PLAIN = _LOWER.copy()
+_PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = 0x20
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer: every input bit reaches every output bit (wraps mod 2**64)."""
     h = h ^ (h >> np.uint64(30))
@@ -64,14 +69,15 @@ def _chunk_hashes(data: np.ndarray) -> np.ndarray:
     return mix(sums + lens.astype(np.uint64) * _ROLL)
 
 
-def word_hashes(text: str | bytes | None, lower: bool = False) -> np.ndarray:
-    """uint64 hash of every word, in order; ``lower`` folds A-Z first."""
+def word_hashes(text: str | bytes | None, lower: bool = False, plain: bool = False) -> np.ndarray:
+    """uint64 hash of every word, in order; ``lower`` folds A-Z first,
+    ``plain`` also takes ASCII punctuation as white space."""
     if not text:
         return np.empty(0, dtype=np.uint64)
     raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text
     data = np.frombuffer(raw, dtype=np.uint8)
-    if lower:
-        data = _LOWER[data]
+    if lower or plain:
+        data = (_PLAIN if plain else _LOWER)[data]
     if len(data) <= _CHUNK:
         return _chunk_hashes(data)
     parts, at = [], 0
