@@ -151,11 +151,13 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules reject go.  The measures are
     taken once and written with the rows that pass the base rules."""
     rows = boxed(docs, "source").withColumnRenamed("source", "host")
-    text = F.coalesce(F.col("_row").getField("text"), F.lit(""))
-    small = measures(rows.withColumn("_text", text), F.col("_text"), "host")
-    verdicts, n = host_verdicts(small)
-    again = measures(rows.withColumn("_text", text), F.col("_text"), "host", "_row")
-    return unboxed(judged(again, verdicts, n).filter("kept"), docs.columns)
+    rows = rows.withColumn("_text", F.coalesce(F.col("_row").getField("text"), F.lit("")))
+    measured = measures(rows, F.col("_text"), "host", "_row").select(
+        "host", "base_failed", "strikes", F.when(~F.col("base_failed"), F.col("_row")).alias("_row")
+    )
+    measured = materialize(measured, "quality")
+    verdicts, n = host_verdicts(measured.drop("_row"))
+    return unboxed(judged(measured, verdicts, n).filter("kept"), docs.columns)
 
 
 _W = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
