@@ -3,8 +3,7 @@
 A plain ``left_anti`` join shuffles both sides on the key, i.e. the whole
 target table on every load.  Here the delivery's distinct keys are counted
 first; under the broadcast bound (rows and estimated bytes) they are broadcast into a map-side semi-join
-that keeps only the target rows sharing a key (at most one per key when the
-target's key is unique), and the anti-join then runs between two small sides.
+that keeps only the target rows sharing a key (made distinct), and the anti-join then runs between two small sides.
 The target is scanned but never shuffled.  Above the bound it falls back to
 the shuffle anti-join.
 """
@@ -25,7 +24,6 @@ def new_rows(delivery: DataFrame, target: DataFrame, key: str, max_rows: int | N
     sized_keys = Sized(keys, keys.count())
     if not sized_keys.fits_broadcast(max_rows):
         return delivery.join(target.select(key), key, "left_anti")
-    seen = target.select(key).join(F.broadcast(keys), key, "left_semi")
-    # ``seen`` has at most one row per delivery key when the target key is
-    # unique (staging is de-duplicated), so it is bounded like the keys.
+    # distinct: at most one row per delivery key, so bounded like the keys
+    seen = target.select(key).join(F.broadcast(keys), key, "left_semi").distinct()
     return delivery.join(F.broadcast(seen), key, "left_anti")

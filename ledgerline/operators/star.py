@@ -28,7 +28,7 @@ def build_dim_date(staging: DataFrame) -> DataFrame:
 def _dim_with_key(staging: DataFrame, natural: list[str], key: str) -> Sized:
     distinct = staging.select(*natural).distinct()
     keyed, rows = with_row_index_counted(distinct, [F.col(c).asc_nulls_first() for c in natural], key, start=1)
-    return Sized(keyed.select(F.col(key).cast("int").alias(key), *natural), rows)
+    return Sized(keyed.select(F.col(key).cast("bigint").alias(key), *natural), rows)
 
 
 def dim_store_sized(staging: DataFrame) -> Sized:
@@ -89,10 +89,9 @@ class Star:
     dim_store: Sized
     dim_product: Sized
     fact_sales: DataFrame
-    # True when the fact holds at most one row per transaction_id: staging is
-    # de-duplicated and both joined dimensions are unique on their natural
-    # key (no fan-out).  Then COUNT(DISTINCT transaction_id) == COUNT(...) in
-    # every group, and the marts skip the extra distinct shuffle.
+    # True when the fact was checked to hold at most one row per
+    # transaction_id (see ``unique_on``).  Then COUNT(DISTINCT transaction_id)
+    # == COUNT(...) in every group, and the marts skip the distinct shuffle.
     txn_unique: bool = False
 
     def txn_count(self) -> Column:
@@ -110,27 +109,22 @@ class Star:
         }
 
 
-def no_fan_out(dim_store: Sized, dim_product: Sized) -> bool:
-    """Both joined dimensions unique on their natural keys (one job)."""
-    counts = (
-        dim_store.df.agg(F.count_distinct("store_id").alias("n")).select(F.lit(0).alias("i"), "n")
-        .unionByName(dim_product.df.agg(F.count_distinct("sku").alias("n")).select(F.lit(1).alias("i"), "n"))
-        .collect()
-    )
-    got = {r["i"]: r["n"] for r in counts}
-    return got.get(0) == dim_store.rows and got.get(1) == dim_product.rows
+def unique_on(df: DataFrame, key: str) -> bool:
+    """No value of ``key`` occurs twice, by an aggregate over the key alone
+    (NULLs may repeat: they are not counted)."""
+    worst = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"))
+    return (worst.first()[0] or 0) <= 1
 
 
-def build_star(staging: DataFrame, staging_unique: bool = False) -> Star:
-    """Dimensions are materialised (small, keyed, counted); the fact is lazy.
+def build_star(staging: DataFrame) -> Star:
+    """All four tables are written once to the checkpoint folder: the marts
+    read the stored fact and never join staging again.
 
     ``staging`` should itself be materialised (a written table), so it is
-    read, not recomputed, by each of the four builders.  Pass
-    ``staging_unique=True`` only for de-duplicated staging.
+    read, not recomputed, by each of the builders.
     """
     dim_date = sized(materialize(build_dim_date(staging), "dim_date").select(*DIM_DATE_COLUMNS))
     dim_store = dim_store_sized(staging)
     dim_product = dim_product_sized(staging)
-    fact = build_fact_sales(staging, dim_store, dim_product)
-    unique = bool(staging_unique and no_fan_out(dim_store, dim_product))
-    return Star(dim_date, dim_store, dim_product, fact, unique)
+    fact = materialize(build_fact_sales(staging, dim_store, dim_product), "fact_sales")
+    return Star(dim_date, dim_store, dim_product, fact, unique_on(fact, "transaction_id"))

@@ -7,7 +7,6 @@ Every query runs the whole pipeline over the whole driver tables in
 from __future__ import annotations
 
 import datetime as dt
-import os
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -19,12 +18,15 @@ from ledgerline.functions.numeric import dbl, publish, round_dbl
 from ledgerline.operators import features as feat
 from ledgerline.operators import star as star_ops
 from ledgerline.operators import validate as V
+from ledgerline.operators.materialize import materialize
 from ledgerline.operators.quantile import exact_quantile
 from ledgerline.plans import anomaly, chart_data, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
-from ledgerline.sources.pos_csv import read_pos_csv
 from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sinks.writers import write_csv, write_staging
+from ledgerline.sources.pos_csv import read_pos_csv
+from ledgerline.sources.tables import table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,14 +34,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 _PIPELINES: dict[tuple, Pipeline] = {}
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    """Sizes and modification times of the input tables (local paths)."""
-    out = []
+def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and modification times of the input tables, by the file system
+    that the path names."""
+    jvm, conf, out = spark._jvm, spark._jsc.hadoopConfiguration(), []
     for name in ("lineitem", "part", "supplier", "nation", "region"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            out.append((name, st.st_size, st.st_mtime_ns))
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            status = fs.getFileStatus(path)
+            out.append((name, fs.getContentSummary(path).getLength(), status.getModificationTime()))
     return tuple(out)
 
 
@@ -52,7 +56,7 @@ def _pipe(spark: SparkSession, sf_dir: str) -> Pipeline:
     modification times, so changed inputs rebuild.
     """
     ensure_checkpoint_dir(spark)
-    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
     pipe = _PIPELINES.get(key)
     if pipe is None:
         pipe = Pipeline(spark, sf_dir, base_year=BASE_YEAR, compare_year=COMPARE_YEAR)
@@ -102,6 +106,39 @@ def stored_star_seasonality(spark, sf_dir):
     return marts.seasonality(load_star(spark, path))
 
 
+def seasonality_repeated_load(spark, sf_dir):
+    """A star over staging that holds the lines of every March twice (a load
+    that ran again): each transaction id still counts once."""
+    staging = _pipe(spark, sf_dir).staging
+    again = staging.filter(F.month("txn_date") == 3)
+    return marts.seasonality(star_ops.build_star(materialize(staging.unionByName(again), "twice")))
+
+
+# --- sinks, written and read back ------------------------------------------------
+def _sink_path(pipe: Pipeline, name: str) -> str:
+    path = f"{ensure_checkpoint_dir(pipe.spark).rstrip('/')}/ledgerline-{name}-{uuid.uuid4().hex}"
+    pipe.materialized.append(path)
+    return path
+
+
+def stored_staging(spark, sf_dir):
+    """K1: staging replaced by the ingest sink (twice: the second load
+    replaces the first) and read back without its load time."""
+    pipe = _pipe(spark, sf_dir)
+    path = _sink_path(pipe, "stored-staging")
+    for _ in range(2):
+        write_staging(pipe.staging, path)
+    return publish(spark.read.parquet(path).drop("loaded_at"))
+
+
+def stored_leakage_csv(spark, sf_dir):
+    """K4: a mart exported as CSV and read back with the mart's types."""
+    pipe = _pipe(spark, sf_dir)
+    mart, path = marts.discount_leakage(pipe.star), _sink_path(pipe, "leakage-csv")
+    write_csv(mart, path, single_file=True)
+    return spark.read.option("header", True).schema(mart.schema).csv(path)
+
+
 # --- validation steps (each operator on the raw feed) -------------------------
 def _raw(spark, sf_dir):
     return V.conform(_pipe(spark, sf_dir).raw)
@@ -247,7 +284,8 @@ def waterfall_points(spark, sf_dir):
 
 
 def discount_scatter_points(spark, sf_dir):
-    return chart_data.discount_scatter_points(discount_leakage(spark, sf_dir), COMPARE_YEAR)
+    leakage = marts.discount_leakage(_pipe(spark, sf_dir).star, COMPARE_YEAR)
+    return chart_data.discount_scatter_points(leakage, COMPARE_YEAR)
 
 
 # --- documented-only capabilities --------------------------------------------------
@@ -275,6 +313,9 @@ QUERIES: dict[str, Query] = {
     "discount_leakage": discount_leakage,
     "seasonality": seasonality,
     "stored_star_seasonality": stored_star_seasonality,
+    "seasonality_repeated_load": seasonality_repeated_load,
+    "stored_staging": stored_staging,
+    "stored_leakage_csv": stored_leakage_csv,
     "dedup_first": dedup_first,
     "drop_null_keys": drop_null_keys,
     "zero_negatives": zero_negatives,

@@ -11,11 +11,13 @@ on its own.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators.broadcast import sized
 from ledgerline.operators.materialize import materialize, release, tracking
-from ledgerline.operators.star import Star, build_star, no_fan_out
+from ledgerline.operators.star import Star, build_star, fk_null_audit, unique_on
 from ledgerline.operators.validate import dq_counts, finish_validation, first_copies
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
@@ -45,28 +47,29 @@ def run_star(spark: SparkSession, staging_path: str, star_path: str) -> dict[str
     staging = spark.read.parquet(staging_path).drop("loaded_at")
     temp: list[str] = []
     with tracking(temp):
-        # staging written by run_ingest / the incremental load is de-duplicated
-        star = build_star(staging, staging_unique=True)
+        star = build_star(staging)
         write_star(star, star_path)
-    release(spark, temp)  # intermediate keyed dimensions
-    return {name: spark.read.parquet(f"{star_path}/{name}").count() for name in star.tables()}
+    release(spark, temp)  # intermediate tables
+    sizes = {name: spark.read.parquet(f"{star_path}/{name}").count() for name in star.tables()}
+    audit = fk_null_audit(spark.read.parquet(f"{star_path}/fact_sales")).first().asDict()
+    if any(audit.values()):
+        warnings.warn(f"unresolved foreign keys in fact_sales: {audit}", stacklevel=2)
+    return sizes | audit
 
 
-def load_star(spark: SparkSession, star_path: str, written_by_run_star: bool = True) -> Star:
+def load_star(spark: SparkSession, star_path: str) -> Star:
     """Star tables read back; dimensions are counted (cheap parquet metadata)
     so joins know whether they may broadcast them.
 
-    A star written by :func:`run_star` comes from de-duplicated staging, so
-    the exact plain transaction count applies when the dimensions are unique
-    on their natural keys (checked here on the small dimension tables).
+    Whether the plain transaction count is exact is checked on the stored
+    fact's transaction ids, not assumed from who wrote it.
     """
     base = star_path.rstrip("/")
     dim_date = sized(spark.read.parquet(f"{base}/dim_date").select(*DIM_DATE_COLUMNS))
     dim_store = sized(spark.read.parquet(f"{base}/dim_store").select(*DIM_STORE_COLUMNS))
     dim_product = sized(spark.read.parquet(f"{base}/dim_product").select(*DIM_PRODUCT_COLUMNS))
     fact = spark.read.parquet(f"{base}/fact_sales").select(*FACT_COLUMNS)
-    unique = bool(written_by_run_star and no_fan_out(dim_store, dim_product))
-    return Star(dim_date, dim_store, dim_product, fact, unique)
+    return Star(dim_date, dim_store, dim_product, fact, unique_on(fact, "transaction_id"))
 
 
 def run_marts(

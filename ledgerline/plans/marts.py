@@ -8,27 +8,82 @@ broadcast only when the counted dimension size allows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.labels import discount_bucket
-from ledgerline.functions.numeric import exact_avg, pct_change, pct_of, round_dbl, round_dec
+from ledgerline.functions.numeric import dbl, nonzero, pct_change, pct_of, round_dbl, round_dec
 from ledgerline.operators.broadcast import Sized
 from ledgerline.operators.star import Star
 
 
-def fact_with_category_and_year(star: Star, extra_date_cols: tuple[str, ...] = ()) -> DataFrame:
-    product = star.dim_product
-    date = star.dim_date
-    p = Sized(product.df.select("product_key", "category"), product.rows).for_join()
-    d = Sized(date.df.select("date_key", "year", *extra_date_cols), date.rows).for_join()
-    return star.fact_sales.join(p, "product_key").join(d, "date_key")
+# The marts aggregate the fact by key and calendar month first and join the
+# dimensions to that partial result: the fact itself is shuffled once, as
+# partial sums, however large the product dimension is.
+def _months(star: Star, date_cols: tuple[str, ...]) -> DataFrame:
+    """The calendar's months (bounded by the calendar, not by the data)."""
+    months = star.dim_date.df.select(F.expr("date_key div 100").alias("ym"), *date_cols).distinct()
+    return Sized(months, star.dim_date.rows).for_join()
+
+
+def _fact_months(star: Star, year: int | None = None) -> DataFrame:
+    fact = star.fact_sales
+    if year is not None:  # a range on the stored column: pushed into the scan
+        fact = fact.filter(F.col("date_key").between(year * 10000, year * 10000 + 9999))
+    return fact.withColumn("ym", F.expr("date_key div 100"))
+
+
+def _partial(fact: DataFrame, keys: list[str], measures: tuple[str, ...]) -> DataFrame:
+    """Sums, non-null counts, row and transaction counts per key."""
+    return fact.groupBy(*keys).agg(
+        *[F.sum(m).alias(m) for m in measures],
+        *[F.count(m).alias(f"n_{m}") for m in measures],
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("transaction_id").alias("n_txn"),
+    )
+
+
+def _mean(measure: str):
+    return dbl(F.sum(measure)) / nonzero(F.sum(f"n_{measure}"))
+
 
+def category_months(
+    star: Star,
+    measures: tuple[str, ...],
+    date_cols: tuple[str, ...] = ("year",),
+    extra: tuple[str, ...] = (),
+    fact: DataFrame | None = None,
+) -> DataFrame:
+    """Partial sums with their category and calendar columns."""
+    part = _partial(_fact_months(star) if fact is None else fact, ["product_key", "ym", *extra], measures)
+    p = Sized(star.dim_product.df.select("product_key", "category"), star.dim_product.rows).for_join()
+    return part.join(p, "product_key").join(_months(star, date_cols), "ym")
 
-def fact_with_store_and_date(star: Star, date_cols: tuple[str, ...] = ("year",)) -> DataFrame:
+
+def store_months(star: Star, measures: tuple[str, ...]) -> DataFrame:
+    """Partial sums with their store and year."""
+    part = _partial(_fact_months(star), ["store_key", "ym"], measures)
     s = Sized(star.dim_store.df.select("store_key", "store_id", "city"), star.dim_store.rows).for_join()
-    d = Sized(star.dim_date.df.select("date_key", *date_cols), star.dim_date.rows).for_join()
-    return star.fact_sales.join(s, "store_key").join(d, "date_key")
+    return part.join(s, "store_key").join(_months(star, ("year",)), "ym")
+
+
+def _distinct_txns(star: Star, dim: Sized, key: str, by: list[str], date_cols: tuple[str, ...]) -> DataFrame:
+    """COUNT(DISTINCT transaction_id) per group, for a star in which ids
+    repeat (distinct counts of months or keys do not add up)."""
+    side = Sized(dim.df.select(key, *[c for c in by if c in dim.df.columns]), dim.rows).for_join()
+    rows = _fact_months(star).select(key, "ym", "transaction_id").join(side, key).join(_months(star, date_cols), "ym")
+    return rows.groupBy(*by).agg(F.count_distinct("transaction_id").alias("txn_count"))
+
+
+def _with_txn_count(star: Star, grouped: DataFrame, dim: Sized, key: str, by: list[str], date_cols) -> DataFrame:
+    if star.txn_unique:
+        return grouped.withColumnRenamed("n_txn", "txn_count")
+    counts = _distinct_txns(star, dim, key, by, date_cols).withColumnsRenamed({c: f"_{c}" for c in by})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    return grouped.drop("n_txn").join(counts, same).drop(*[f"_{c}" for c in by])
 
 
 def revenue_decomposition(star: Star, base_year: int, compare_year: int) -> DataFrame:
@@ -44,7 +99,7 @@ def revenue_decomposition(star: Star, base_year: int, compare_year: int) -> Data
     def year_sum(measure: str, y: int):
         return F.sum(F.when(yr == y, F.col(measure)).otherwise(zero))
 
-    base = fact_with_category_and_year(star).groupBy("category").agg(
+    base = category_months(star, ("net_revenue", "margin")).groupBy("category").agg(
         year_sum("net_revenue", a).alias("ra"),
         year_sum("net_revenue", b).alias("rb"),
         year_sum("margin", a).alias("ma"),
@@ -64,15 +119,18 @@ def revenue_decomposition(star: Star, base_year: int, compare_year: int) -> Data
 
 def _store_year(star: Star) -> DataFrame:
     """Store-year aggregates at full precision (internal level of store_pl)."""
-    return fact_with_store_and_date(star).groupBy("store_id", "city", "year").agg(
-        star.txn_count().alias("txn_count"),
+    measures = ("quantity", "gross_revenue", "discount_amount", "net_revenue", "margin", "discount_rate")
+    by = ["store_id", "city", "year"]
+    grouped = store_months(star, measures).groupBy(*by).agg(
+        F.sum("n_txn").alias("n_txn"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.sum("gross_revenue").alias("gross_revenue"),
         F.sum("discount_amount").alias("total_discount"),
         F.sum("net_revenue").alias("net_revenue"),
         F.sum("margin").alias("total_margin"),
-        exact_avg("discount_rate").alias("avg_discount_rate"),
+        _mean("discount_rate").alias("avg_discount_rate"),
     )
+    return _with_txn_count(star, grouped, star.dim_store, "store_key", by, ("year",))
 
 
 def store_pl_yearly(star: Star) -> DataFrame:
@@ -132,24 +190,23 @@ def store_pl(star: Star, base_year: int, compare_year: int) -> DataFrame:
     ).orderBy(F.col("margin_pct").asc_nulls_first(), "store_id", "city")
 
 
-def _leakage_groups(star: Star) -> DataFrame:
-    return (
-        fact_with_category_and_year(star)
-        .withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
-        .groupBy("category", "year", "discount_bucket")
-        .agg(
-            F.count(F.lit(1)).alias("txn_count"),
-            F.sum("gross_revenue").alias("gross_revenue"),
-            F.sum("discount_amount").alias("discount_given"),
-            F.sum("net_revenue").alias("net_revenue"),
-            F.sum("margin").alias("total_margin"),
-        )
+def _leakage_groups(star: Star, year: int | None) -> DataFrame:
+    fact = _fact_months(star, year).withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
+    measures = ("gross_revenue", "discount_amount", "net_revenue", "margin")
+    part = category_months(star, measures, extra=("discount_bucket",), fact=fact)
+    return part.groupBy("category", "year", "discount_bucket").agg(
+        F.sum("n_rows").alias("txn_count"),
+        F.sum("gross_revenue").alias("gross_revenue"),
+        F.sum("discount_amount").alias("discount_given"),
+        F.sum("net_revenue").alias("net_revenue"),
+        F.sum("margin").alias("total_margin"),
     )
 
 
-def discount_leakage(star: Star) -> DataFrame:
-    """Revenue given away and margin rate by category, year and discount depth."""
-    return _leakage_groups(star).select(
+def discount_leakage(star: Star, year: int | None = None) -> DataFrame:
+    """Revenue given away and margin rate by category, year and discount
+    depth; ``year`` reads that year's facts only."""
+    return _leakage_groups(star, year).select(
         "category",
         "year",
         "discount_bucket",
@@ -165,15 +222,15 @@ def discount_leakage(star: Star) -> DataFrame:
 
 def seasonality(star: Star) -> DataFrame:
     """Monthly transactions, units, revenue and basket value by category."""
-    return (
-        fact_with_category_and_year(star, ("month", "month_name"))
-        .groupBy("year", "month", "month_name", "category")
-        .agg(
-            star.txn_count().alias("txn_count"),
-            F.sum("quantity").cast("bigint").alias("units_sold"),
-            round_dec(F.sum("net_revenue"), 0).alias("net_revenue"),
-            round_dec(F.sum("margin"), 0).alias("total_margin"),
-            round_dbl(exact_avg("net_revenue"), 2).alias("avg_basket_value"),
-        )
-        .orderBy("year", "month", "category")
+    dates = ("year", "month", "month_name")
+    by = ["year", "month", "month_name", "category"]
+    grouped = category_months(star, ("quantity", "net_revenue", "margin"), dates).groupBy(*by).agg(
+        F.sum("n_txn").alias("n_txn"),
+        F.sum("quantity").cast("bigint").alias("units_sold"),
+        round_dec(F.sum("net_revenue"), 0).alias("net_revenue"),
+        round_dec(F.sum("margin"), 0).alias("total_margin"),
+        round_dbl(_mean("net_revenue"), 2).alias("avg_basket_value"),
     )
+    out = _with_txn_count(star, grouped, star.dim_product, "product_key", by, dates)
+    names = [*by, "txn_count", "units_sold", "net_revenue", "total_margin", "avg_basket_value"]
+    return out.select(*names).orderBy("year", "month", "category")

@@ -1,7 +1,7 @@
 """The pipeline as a context of lazily built, materialised stages.
 
 raw POS feed -> keep-first rows (written once) -> validated staging (lazy
-over them) -> star (dims written and counted, fact lazy over staging) ->
+over them) -> star (dimensions and fact written, dimensions counted) ->
 marts / features / anomaly.
 """
 
@@ -73,7 +73,7 @@ class Pipeline:
     @cached_property
     def star(self) -> Star:
         with tracking(self.materialized):
-            return build_star(self.staging, staging_unique=True)
+            return build_star(self.staging)
 
     @property
     def fact(self) -> DataFrame:

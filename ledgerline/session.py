@@ -4,6 +4,7 @@ making sure reliable checkpoints have a directory to write to."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,9 +41,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting it only when unset.
 
-    On a cluster the shared folder comes from ``spark.checkpoint.dir``; a
-    machine-local temporary folder is used only when nothing is configured
-    (local tests and benches).
+    On a cluster the shared folder comes from ``spark.checkpoint.dir`` and a
+    missing setting is an error; a machine-local temporary folder is used
+    only in local mode (tests and benches).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,8 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif re.fullmatch(r"local(\[.*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir="/tmp"))
+    else:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return sc.getCheckpointDir()
 
 

@@ -4,9 +4,11 @@ One lineitem row becomes one POS line:
 
 * store = the supplier's nation (city) and region (province);
 * product = the part, its category = ``p_type``;
-* measures follow the POS generator's formulas
-  (gross = price x qty, discount = gross x rate, net = gross - discount,
-  margin = net x base_margin x (1 - rate / 2)) in exact decimals.
+* measures come from the line and its part, in exact decimals: the discount
+  rate is the line's discount plus twice its tax, net revenue is the extended
+  price times (1 - rate), the discount amount what that takes off, and the
+  margin is net revenue less a unit cost of a third of the retail price plus
+  the part's size, per piece.
 
 ``dirty=True`` injects deterministic defects keyed on ``l_orderkey`` so that
 every validation step has real work to do.  Nothing is filtered: every
@@ -25,16 +27,6 @@ from ledgerline.operators.broadcast import Sized, sized_many
 from ledgerline.schema import MONEY, RATE, RAW_COLUMNS, ROW_SEQ
 from ledgerline.sources.tables import read_table
 
-# --- fixed values: base margin per category ----------------------------------
-BASE_MARGIN = {
-    "ECONOMY": "0.18",
-    "STANDARD": "0.42",
-    "LARGE": "0.55",
-    "MEDIUM": "0.38",
-    "SMALL": "0.22",
-    "PROMO": "0.44",
-}
-
 # --- fixed values: defect injection (modulus of l_orderkey) ------------------
 DEFECT_NULL_STORE = 101
 DEFECT_NULL_NET = 97
@@ -44,14 +36,6 @@ DEFECT_NULL_RATE = 79
 # -----------------------------------------------------------------------------
 
 
-def _base_margin(category: Column) -> Column:
-    expr = None
-    for name, bm in BASE_MARGIN.items():
-        lit = F.lit(bm).cast("decimal(9,4)")
-        expr = F.when(category == name, lit) if expr is None else expr.when(category == name, lit)
-    return expr
-
-
 def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -64,17 +48,11 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
         "l_tax",
         "l_shipdate",
     )
-    # A file set with few, large row groups scans in fewer tasks than the
-    # cluster has cores; spread it before the joins and the per-row decimal
-    # work.  Large inputs split into many scan tasks and skip this shuffle.
-    parallelism = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < parallelism:
-        li = li.repartition(parallelism)
     # part and supplier grow with the data (TPC-H: 200k and 10k rows per SF).
     # Their row counts come from parquet footers; they are broadcast only
     # under the row bound and shuffle-joined beyond it.
     part, supplier = sized_many(
-        read_table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+        read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice"),
         read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
     )
     # nation (25 rows) and region (5 rows) have a fixed size at every scale.
@@ -85,9 +63,11 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
               F.col("n_regionkey") == F.col("r_regionkey"))
     )
     supplier_geo = supplier.df.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
+    # left joins: a line without its part or supplier stays in the feed, and
+    # validation rejects and counts it for its missing key
     joined = (
-        li.join(part.for_join(), F.col("l_partkey") == F.col("p_partkey"))
-        .join(Sized(supplier_geo, supplier.rows).for_join(), F.col("l_suppkey") == F.col("s_suppkey"))
+        li.join(part.for_join(), F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(Sized(supplier_geo, supplier.rows).for_join(), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
 
     qty = F.col("l_quantity").cast("int")
@@ -96,12 +76,10 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     unit_price = F.round(
         (gross.cast("double") / F.when(qty != 0, qty)).cast("decimal(18,6)"), 2
     ).cast(MONEY)
-    disc_amt = F.round(gross * rate, 2).cast(MONEY)
-    net = (gross - disc_amt).cast(MONEY)
-    bm = _base_margin(F.col("p_type"))
-    margin = F.round(
-        (net * bm).cast(MONEY) * (F.lit(1) - rate * F.lit(0.5).cast("decimal(2,1)")).cast(RATE), 2
-    ).cast(MONEY)
+    net = F.round(gross * (F.lit(1) - rate).cast(RATE), 2).cast(MONEY)
+    disc_amt = (gross - net).cast(MONEY)
+    unit_cost = F.round((F.col("p_retailprice").cast(MONEY) + F.col("p_size")).cast(MONEY) / F.lit(3), 2).cast(MONEY)
+    margin = (net - qty * unit_cost).cast(MONEY)
 
     pos = joined.select(
         F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"),
@@ -126,6 +104,8 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
             F.col("l_suppkey").alias("s"),
             qty.alias("q"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("x"),
+            F.col("l_discount").cast("decimal(18,4)").alias("c"),
+            F.col("l_tax").cast("decimal(18,4)").alias("t"),
         ).alias(ROW_SEQ),
     )
     if dirty:

@@ -41,6 +41,19 @@ def _strict(name: str, text: Column, parsed: Column) -> Column:
     return F.when(bad, F.raise_error(msg)).otherwise(parsed)
 
 
+def _lossless(text: Column, t: T.DataType) -> Column:
+    """The number, or NULL where the type would drop digits of the text."""
+    wide = text.try_cast("decimal(38,18)")
+    value = wide.try_cast(t)
+    return F.when(value.cast("decimal(38,18)") == wide, value)
+
+
+def natural_path(path: Column) -> Column:
+    """A path whose text order is the natural order: every run of digits is
+    padded to 20 places, so part-99999 comes before part-100000."""
+    return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1"), r"\d*(\d{20})", "$1")
+
+
 def parse_pos_strings(df: DataFrame) -> DataFrame:
     """String columns -> staging types; malformed text raises."""
     out = []
@@ -56,10 +69,11 @@ def parse_pos_strings(df: DataFrame) -> DataFrame:
         if isinstance(t, T.DateType):
             parsed = F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
         elif isinstance(t, T.IntegerType):
-            # "3" and "3.0" (a float column written by pandas) both load
-            parsed = text.try_cast("decimal(18,4)").try_cast("int")
+            # "3" and "3.0" (a float column written by pandas) both load;
+            # "3.7" fails instead of losing its fraction
+            parsed = _lossless(text, t)
         else:
-            parsed = text.try_cast(t)
+            parsed = _lossless(text, t)
         out.append(_strict(name, text, parsed).alias(name))
     return df.select(*out)
 
@@ -73,7 +87,7 @@ def file_order(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
         F.struct(
-            F.col("_metadata.file_path").alias("f"),
+            natural_path(F.col("_metadata.file_path")).alias("f"),
             F.col("_metadata.file_block_start").alias("b"),
             F.monotonically_increasing_id().alias("i"),
         ).alias(ROW_SEQ),

@@ -14,8 +14,6 @@ files were already read.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +23,7 @@ from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.validate import add_load_time, validate
 from ledgerline.schema import ROW_SEQ
 from ledgerline.sinks.writers import write_staging_table
-from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, parse_pos_strings
+from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, natural_path, parse_pos_strings
 
 
 def _staging_exists(spark: SparkSession, path: str) -> bool:
@@ -42,13 +40,27 @@ def high_water_path(staging_path: str) -> str:
 
 
 def read_high_water(spark: SparkSession, staging_path: str) -> dict | None:
-    """The one-row high-water table: latest loaded txn_date, cumulative rows
-    loaded, and the epoch of the last batch that loaded rows."""
+    """The high-water mark: latest loaded txn_date, cumulative rows loaded and
+    the last epoch that loaded rows, over the one row kept per epoch."""
     path = high_water_path(staging_path)
     if not _staging_exists(spark, path):
         return None
-    row = spark.read.parquet(path).first()
-    return row.asDict() if row else None
+    marks = spark.read.parquet(path).filter("rows > 0").agg(
+        F.max("date").alias("high_water_date"), F.sum("rows").alias("rows_loaded"), F.max("epoch").alias("last_epoch")
+    )
+    row = marks.first()
+    return row.asDict() if row["rows_loaded"] else None
+
+
+def _write_mark(spark: SparkSession, staging_path: str, epoch_id: int, date, rows: int) -> None:
+    """One row per epoch, in the epoch's own folder.  It is written before the
+    rows are appended, so no crash can lose it.  A replay after the append
+    finds no new rows and leaves the mark; a replay before it writes the same
+    mark again."""
+    path = f"{high_water_path(staging_path)}/epoch={epoch_id}"
+    if rows or not _staging_exists(spark, path):
+        df = spark.createDataFrame([(date, rows)], "date date, rows long")
+        df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load_batch(
@@ -94,19 +106,13 @@ def _append_new(
     # Freeze the batch's new rows first: evaluated again after the append,
     # the anti-join would find them in staging and drop them.
     fresh = materialize(add_load_time(fresh), "batch_new")
+    # the batch's own aggregate is enough for the high-water mark
+    stats = fresh.agg(F.max("txn_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
+    _write_mark(spark, staging_path, epoch_id, stats["d"], stats["n"])
     if staging_table:
         write_staging_table(fresh, staging_table, staging_path, buckets or 64, mode="append" if exists else "overwrite")
     else:
         fresh.write.mode("append").parquet(staging_path)
-    # the batch's own aggregate is enough for the high-water mark
-    stats = fresh.agg(F.max("txn_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
-    if stats["n"]:
-        old = read_high_water(spark, staging_path)
-        hwm = max(filter(None, [stats["d"], old["high_water_date"] if old else None]))
-        total = stats["n"] + (old["rows_loaded"] if old else 0)
-        spark.createDataFrame(
-            [(hwm, total, epoch_id)], "high_water_date date, rows_loaded long, last_epoch long"
-        ).coalesce(1).write.mode("overwrite").parquet(high_water_path(staging_path))
     return stats["n"]
 
 
@@ -128,7 +134,7 @@ def start_incremental_load(
         .select(
             "*",
             F.struct(
-                F.col("_metadata.file_path").alias("f"),
+                natural_path(F.col("_metadata.file_path")).alias("f"),
                 F.col("_metadata.file_block_start").alias("b"),
                 F.col("_metadata.file_size").alias("i"),
             ).alias("_file"),
@@ -157,4 +163,4 @@ def run_incremental_load(spark: SparkSession, source_dir: str, staging_path: str
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover
         raise q.exception()
-    return spark.read.parquet(staging_path).count() if os.path.exists(staging_path.replace("file:", "")) else 0
+    return spark.read.parquet(staging_path).count() if _staging_exists(spark, staging_path) else 0

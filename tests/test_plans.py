@@ -61,3 +61,25 @@ def test_unique_transactions_skip_the_distinct_aggregation(spark, pipe):
     plan = physical(marts.seasonality(pipe.star))
     assert pipe.star.txn_unique
     assert "count(distinct" not in plan.lower() and "partial_count(distinct" not in plan.lower()
+
+
+@pytest.mark.parametrize("mart", ["revenue_decomposition", "store_pl", "discount_leakage", "seasonality"])
+def test_marts_shuffle_the_fact_once_and_never_join_staging(spark, pipe, mart):
+    """With broadcasts off, as for dimensions beyond the bound."""
+    spark.conf.set("ledgerline.maxBroadcastRows", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        args = (1999, 2000) if mart in ("revenue_decomposition", "store_pl") else ()
+        plan = physical(getattr(marts, mart)(pipe.star, *args))
+    finally:
+        spark.conf.unset("ledgerline.maxBroadcastRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "sku" not in plan and "BroadcastHashJoin" not in plan
+    # the fact's rows leave their scan through one partial aggregate
+    keys = "store_key" if mart == "store_pl" else "product_key"
+    assert len(re.findall(rf"HashAggregate\(keys=\[{keys}#\d+L?, .*partial_sum", plan)) == 1
+
+
+def test_scatter_reads_one_year_of_the_fact(spark, pipe):
+    plan = physical(marts.discount_leakage(pipe.star, 2000))
+    assert "GreaterThanOrEqual(date_key,20000000)" in plan

@@ -113,14 +113,14 @@ def test_sized_broadcast_respects_limit(spark):
 def test_txn_count_fast_path_only_without_fan_out(spark, sample_rows):
     from ledgerline.plans import marts
 
-    clean = S.build_star(staged(spark, sample_rows), staging_unique=True)
+    clean = S.build_star(staged(spark, sample_rows))
     assert clean.txn_unique is True
     plan = marts.seasonality(clean)._jdf.queryExecution().optimizedPlan().toString()
     assert "count(distinct" not in plan.lower()
 
     rows = [list(r) for r in sample_rows]
     rows[2][3] = "Etobicoke"  # S01 with two cities: fact rows fan out
-    fan = S.build_star(staged(spark, rows), staging_unique=True)
+    fan = S.build_star(staged(spark, rows))
     assert fan.txn_unique is False
     season = {(r.month, r.category): r.txn_count for r in marts.seasonality(fan).collect()}
     # TXN001 and TXN003 are each joined twice, still counted once
@@ -132,7 +132,7 @@ def test_broadcast_limit_is_configurable(spark, sample_rows):
 
     spark.conf.set("ledgerline.maxBroadcastRows", "1")
     try:
-        star = S.build_star(staged(spark, sample_rows), staging_unique=True)
+        star = S.build_star(staged(spark, sample_rows))
         plan = marts.revenue_decomposition(star, 2023, 2024)._jdf.queryExecution().optimizedPlan().toString()
         # every dimension (2 products, 51 days) is over the 1-row limit
         assert plan.count("strategy=broadcast") == 0
