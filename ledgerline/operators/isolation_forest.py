@@ -276,6 +276,9 @@ def fit_forest(
         pdf = samples.groupBy("tree_id").applyInPandas(grow, schema=_NODE_SCHEMA).toPandas()
         roots = pdf[pdf["node_id"] == 0].set_index("tree_id")["size"]
         complete = len(roots) == n_trees and bool((roots >= psi).all())
+        if not complete and p >= 0.5 and base.count() > 2 * OVERSAMPLE * psi:
+            # every row a candidate of every tree would be rows x trees
+            raise ValueError(f"the keys {kcols} repeat: too few distinct rows for the trees' samples")
         if complete or p >= 1.0:
             return Forest.from_nodes(pdf, n_trees, max_depth, psi)
         p = min(1.0, 2.0 * p)
@@ -308,8 +311,10 @@ def detect(
     seed: int = 42,
     score_name: str = "anomaly_score",
     flag_name: str = "is_anomaly",
+    forest: Forest | None = None,
 ) -> DataFrame:
-    """Fit on the complete rows of ``df`` and score every row.
+    """Fit on the complete rows of ``df`` (unless a ``forest`` is given) and
+    score every row.
 
     Adds ``anomaly_score`` = decision value rounded to 4 places (NULL for rows
     with a missing feature) and ``is_anomaly`` = 1 when the unrounded decision
@@ -319,7 +324,8 @@ def detect(
     for c in feature_cols:
         cond = F.col(c).isNotNull()
         complete = cond if complete is None else complete & cond
-    forest = fit_forest(df.filter(complete), feature_cols, key_cols, n_trees, max_samples, seed)
+    if forest is None:
+        forest = fit_forest(df.filter(complete), feature_cols, key_cols, n_trees, max_samples, seed)
     # Score once and keep it: the quantile and the output both read it.
     scored = materialize(df.withColumn("_ss", F.when(complete, score_column(df, forest, feature_cols))), "if_scored")
     offset = exact_quantile(scored.filter(F.col("_ss").isNotNull()), "_ss", contamination)

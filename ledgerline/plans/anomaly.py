@@ -17,7 +17,7 @@ from ledgerline.operators.features import (
     scale_features,
     store_day_features,
 )
-from ledgerline.operators.isolation_forest import detect
+from ledgerline.operators.isolation_forest import Forest, detect
 from ledgerline.operators.materialize import materialize
 from ledgerline.operators.star import Star
 from ledgerline.schema import FEATURE_COLUMNS
@@ -37,6 +37,7 @@ def anomaly_scores(
     max_samples: int = MAX_SAMPLES,
     seed: int = SEED,
     daily: DataFrame | None = None,
+    forest: Forest | None = None,
 ) -> DataFrame:
     """Every store-day with its rolling features, score and flag.
 
@@ -48,7 +49,7 @@ def anomaly_scores(
     stats = feature_stats(complete_features(daily))
     scaled = scale_features(daily, stats, prefix="z_")
     zcols = [f"z_{c}" for c in FEATURE_COLUMNS]
-    scored = detect(scaled, zcols, KEYS, contamination, n_trees, max_samples, seed).drop(*zcols)
+    scored = detect(scaled, zcols, KEYS, contamination, n_trees, max_samples, seed, forest=forest).drop(*zcols)
     # The rolling columns are reported, not modelled: add them over the
     # (written) scored table instead of writing a rolled copy first.
     rolled = rolling_features(scored)

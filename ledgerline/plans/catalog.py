@@ -20,11 +20,11 @@ from ledgerline.operators import star as star_ops
 from ledgerline.operators import validate as V
 from ledgerline.operators.materialize import materialize
 from ledgerline.operators.quantile import exact_quantile
-from ledgerline.plans import anomaly, chart_data, marts, scoped
+from ledgerline.plans import anomaly, chart_data, fixed_forest, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
 from ledgerline.session import ensure_checkpoint_dir
-from ledgerline.sinks.writers import write_csv, write_staging
+from ledgerline.sinks.writers import save_table, write_csv, write_staging
 from ledgerline.sources.pos_csv import read_pos_csv
 from ledgerline.sources.tables import table_path
 
@@ -278,6 +278,38 @@ def watchlist_top10(spark, sf_dir):
     return anomaly.watchlist_top10(anomaly_watchlist(spark, sf_dir))
 
 
+def _fixed(spark, sf_dir):
+    pipe = _pipe(spark, sf_dir)
+    if "_fixed_scores" not in pipe.__dict__:
+        scores = anomaly.anomaly_scores(pipe.star, CONTAMINATION, daily=pipe.store_days, forest=fixed_forest.forest())
+        pipe.__dict__["_fixed_scores"] = scores
+    return pipe.__dict__["_fixed_scores"]
+
+
+def fixed_forest_scores(spark, sf_dir):
+    """M3/M4/M5 over every store-day with a given forest: the production
+    scaling, scorer, contamination offset, rounding and flag."""
+    return _fixed(spark, sf_dir).select("store_id", "city", "full_date", "anomaly_score", "is_anomaly")
+
+
+def fixed_forest_watchlist(spark, sf_dir):
+    """M6 with K5 and K6: the watch-list written as a table and as CSV; the
+    CSV is read back and joined to the stored table."""
+    pipe = _pipe(spark, sf_dir)
+    watch = anomaly.anomaly_watchlist(_fixed(spark, sf_dir))
+    table, csv = _sink_path(pipe, "watchlist-table"), _sink_path(pipe, "watchlist-csv")
+    save_table(watch, f"watchlist_{uuid.uuid4().hex}", table)
+    stored = spark.read.parquet(table)
+    write_csv(stored, csv)
+    keys = ["store_id", "city", "full_date"]
+    back = spark.read.option("header", True).schema(stored.schema).csv(csv)
+    return back.join(stored.select(*keys), keys).select(*stored.columns)
+
+
+def fixed_forest_top10(spark, sf_dir):
+    return anomaly.watchlist_top10(anomaly.anomaly_watchlist(_fixed(spark, sf_dir)))
+
+
 # --- chart tables ----------------------------------------------------------------
 def waterfall_points(spark, sf_dir):
     return chart_data.waterfall_points(revenue_decomposition(spark, sf_dir))
@@ -336,6 +368,9 @@ QUERIES: dict[str, Query] = {
     "anomaly_scores": anomaly_scores,
     "anomaly_watchlist": anomaly_watchlist,
     "watchlist_top10": watchlist_top10,
+    "fixed_forest_scores": fixed_forest_scores,
+    "fixed_forest_watchlist": fixed_forest_watchlist,
+    "fixed_forest_top10": fixed_forest_top10,
     "waterfall_points": waterfall_points,
     "discount_scatter_points": discount_scatter_points,
     "incremental_new_rows": incremental_new_rows,
