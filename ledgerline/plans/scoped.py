@@ -65,6 +65,7 @@ def incremental_new_rows(raw: DataFrame, cutoff: dt.date, overlap_days: int) ->
     ``transaction_id`` - not the date - decides, so late rows still load.
     """
     d = F.col("txn_date")
+    raw = materialize(raw, "incr_feed")  # both deliveries are cut from one pass over the feed
     first = raw.filter(d < F.lit(cutoff))
     second = raw.filter(d >= F.lit(cutoff - dt.timedelta(days=overlap_days)))
     staging = materialize(validate(first), "incr_staging")

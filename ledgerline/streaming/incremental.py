@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.anti_join import new_rows
 from ledgerline.operators.materialize import materialize, release, tracking
-from ledgerline.operators.validate import add_load_time, validate
-from ledgerline.schema import ROW_SEQ
+from ledgerline.operators.validate import add_load_time, check_columns, validate
+from ledgerline.schema import RAW_COLUMNS, ROW_SEQ
 from ledgerline.sinks.writers import write_staging_table
 from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, natural_path, parse_pos_strings
 
@@ -116,6 +117,17 @@ def _append_new(
     return stats["n"]
 
 
+def header_schema(spark: SparkSession, source_dir: str) -> T.StructType:
+    """String columns in the order of the files' own header, so deliveries
+    with extra or reordered columns load like in the batch reader; a missing
+    required column fails.  An empty folder expects the plain columns."""
+    if not _staging_exists(spark, source_dir):
+        return RAW_STRING_SCHEMA
+    names = spark.read.options(**CSV_OPTIONS).csv(source_dir).columns
+    check_columns(names)
+    return T.StructType([T.StructField(c, T.StringType()) for c in names])
+
+
 def start_incremental_load(
     spark: SparkSession,
     source_dir: str,
@@ -128,7 +140,7 @@ def start_incremental_load(
 ) -> StreamingQuery:
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("inferSchema",)}
     stream = (
-        spark.readStream.schema(RAW_STRING_SCHEMA)
+        spark.readStream.schema(header_schema(spark, source_dir))
         .options(**opts)
         .csv(source_dir)
         .select(
@@ -146,7 +158,7 @@ def start_incremental_load(
         ordered = batch.select(
             "*",
             F.struct(F.col("_file.f"), F.col("_file.b"), F.monotonically_increasing_id().alias("i")).alias(ROW_SEQ),
-        ).drop("_file")
+        ).select(*RAW_COLUMNS, ROW_SEQ)
         load_batch(ordered, staging_path, epoch_id, staging_table, buckets)
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)

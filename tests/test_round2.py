@@ -103,6 +103,19 @@ def test_a_crash_between_mark_and_append_is_replayed(spark, tmp_path, monkeypatc
         assert (mark["high_water_date"], mark["rows_loaded"], mark["last_epoch"]) == (dt.date(2024, 1, 15), 4, 7)
 
 
+def test_the_stream_takes_extra_and_reordered_columns(spark, tmp_path):
+    from ledgerline.streaming.incremental import run_incremental_load
+
+    names = [*reversed(RAW_COLUMNS), "note"]
+    rows = [dict(zip(RAW_COLUMNS, line(f"T{i}").split(","), strict=True)) | {"note": "x"} for i in range(3)]
+    (tmp_path / "in").mkdir()
+    text = [",".join(names), *[",".join(r[c] for c in names) for r in rows]]
+    (tmp_path / "in" / "a.csv").write_text("\n".join(text) + "\n")
+    assert run_incremental_load(spark, f"{tmp_path}/in", f"{tmp_path}/staging", f"{tmp_path}/ckpt") == 3
+    got = spark.read.parquet(f"{tmp_path}/staging").first()
+    assert (got.store_id, got.sku) == ("S01", "K1") and "note" not in got.asDict()
+
+
 def test_the_seen_keys_are_distinct(spark):
     from ledgerline.operators.anti_join import new_rows
 
