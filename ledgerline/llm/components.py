@@ -43,4 +43,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             now = materialize(stars, "edges")
             release(spark, [paths.pop(0)])
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return leaves.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
+    centres = now.select(F.col("v").alias("node"), F.col("v").alias("label"))
+    labels = materialize(leaves.unionByName(centres).distinct(), "labels")
+    release(spark, paths)
+    return labels

@@ -23,7 +23,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import SPACES, boxed, col, fold_ascii, materialize, read_docs, text_of, unboxed
+from ledgerline.llm.common import SPACES, boxed, col, fold_ascii, materialize, read_docs, text_of
 
 MIN_KEY = 10
 HOT_SHARE = 4096

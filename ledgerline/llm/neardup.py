@@ -283,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialize(estimated(hub_members(sets), sets), "members")
     links = materialize(hub_links(members.filter("near"), sets, docs, id_col, text_col), "links")
     more = materialize(remainder_links(members, links, sets, docs, id_col, text_col), "links")
-    labels = materialize(components(links.unionByName(more)), "labels").withColumnRenamed("node", "digest")
+    labels = components(links.unionByName(more)).withColumnRenamed("node", "digest")
     linked = profiled.groupBy("digest").agg(F.min("doc_id").alias("least")).join(labels, "digest", "left")
     smallest = linked.filter(F.col("label").isNotNull()).groupBy("label").agg(F.min("least").alias("lowest"))
     per_class = linked.join(smallest, "label", "left").select("digest", F.coalesce("lowest", "least").alias("lowest"))
