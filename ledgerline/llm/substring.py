@@ -9,7 +9,9 @@ work grow with the square of the input, so passages are routed first:
 1. A window's anchor is its 5-word run with the smallest hash, so equal
    windows have equal anchors.  Each text is cut into segments, the runs of
    consecutive windows with one anchor.  Only (anchor, content hash,
-   document, place) of a segment is shuffled, by anchor.
+   document, place) of a segment is shuffled, by anchor; segments that a
+   smaller document of the same batch has too are settled before that, so a
+   passage of any number of copies sends one open row per batch.
 2. In a stream over the sorted rows, segments of equal content resolve at
    once: all windows of the later documents go.  An anchor with one content,
    or all of whose contents start in one document, is done.
@@ -69,6 +71,7 @@ def segments(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * power[:-1])))
     inverse = _powers(np.uint64(pow(int(_ROLL), -1, 1 << 64)), len(words) + 1)
     content = mix((total[start + count + WINDOW - 1] - total[start]) * inverse[start] + count.astype(np.uint64))
+    content[content == 0] = 1  # 0 marks segments that are resolved already
     return grams[place[start]], content, start, count
 
 
@@ -87,6 +90,22 @@ def _place(tag, start, count):
     return (tag << 34) | (start << 4) | count
 
 
+def _combined(t: np.ndarray) -> np.ndarray:
+    """A combiner before the shuffle: a segment whose content a smaller
+    document of the same batch has as well is covered.  Its row keeps only
+    the document and place; content 0 and a scattered anchor say so."""
+    from ledgerline.llm.words import mix
+
+    order = np.lexsort((t[2], t[1], t[0]))
+    s = t[:, order]
+    new = np.ones(s.shape[1], dtype=bool)
+    new[1:] = (s[0][1:] != s[0][:-1]) | (s[1][1:] != s[1][:-1])
+    covered = s[2] > s[2][np.maximum.accumulate(np.where(new, np.arange(s.shape[1]), 0))]
+    s[0, covered] = mix((s[2] * 31 + s[3])[covered].view(np.uint64)).view(np.int64)
+    s[1, covered] = 0
+    return s
+
+
 def segment_rows(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -102,8 +121,9 @@ def segment_rows(texts: DataFrame) -> DataFrame:
                 parts[1].append(content.view(np.int64))
                 parts[2].append(np.full(len(start), doc, dtype=np.int64))
                 parts[3].append(_place(int(tag), start.astype(np.int64), count.astype(np.int64)))
-            if parts[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], names=_ROW.names)
+            if sum(map(len, parts[0])):
+                table = _combined(np.stack([np.concatenate(p) for p in parts]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table], names=_ROW.names)
 
     return texts.mapInArrow(cut, _ROW)
 
@@ -136,6 +156,13 @@ def resolved(rows: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             t = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            done = t[1] == 0
+            if done.any():
+                whole, t = t[:, done], t[:, ~done]
+                whole[0] = 0
+                yield out(whole, False)
+                if not t.shape[1]:
+                    continue
             new = np.ones(t.shape[1], dtype=bool)
             new[1:] = (t[0][1:] != t[0][:-1]) | (t[1][1:] != t[1][:-1])
             if last is not None:
@@ -249,7 +276,7 @@ def single_windows(found: DataFrame, open_rows: DataFrame) -> DataFrame:
             for _, r in batch.iterrows():
                 words = np.frombuffer(r["words"], dtype=np.uint64)
                 h = gram_hashes(words, WINDOW)
-                second = gram_hashes(mix(words + np.uint64(1)), WINDOW)
+                second = gram_hashes(mix(words + np.uint64(1)), WINDOW) | np.uint64(1)
                 frames.append(
                     pd.DataFrame(
                         {"anchor": h.view(np.int64), "content": second.view(np.int64), "doc": r["doc"],
