@@ -3,7 +3,8 @@
 A paragraph (a line of the text) hashes to a wide vector: ``EXACT_LANES``
 lanes of 32 bits from its MD5, and ``SIGN_LANES`` lanes that count, over its
 sentences, the set bits of the sentence hash.  A fingerprint is the sum of
-its paragraphs' vectors, lane by lane, modulo 2**32 and 2**16.  It does not
+its paragraphs' vectors, lane by lane, modulo 2**32.  A text has fewer than
+2**31 sentences, so no count of a sign lane wraps.  The fingerprint does not
 depend on the order of paragraphs, equal multisets have equal fingerprints,
 and a paragraph is inserted or deleted by adding or subtracting its vector
 (``combine``) without the rest of the text.
@@ -35,15 +36,20 @@ from ledgerline.operators.sequence import with_row_index_counted
 
 EXACT_LANES = 4
 SIGN_LANES = 128
-_M16 = 0xFFFF
+_M32 = 0xFFFFFFFF
 
 
 def _long(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
 
+def _signed(lane: Column) -> Column:
+    """A lane from 0 to 2**32 - 1 as the int of the same 32 bits."""
+    return F.when(lane > _M32 >> 1, lane - _long(1 << 32)).otherwise(lane).cast("int")
+
+
 def vectors(texts: DataFrame, key: str = "key", text: str = "text") -> DataFrame:
-    """(key, exact array<bigint>, n bigint, sign array<smallint>) per key.
+    """(key, exact array<bigint>, n bigint, sign array<int>) per key.
 
     Two sign lanes are summed at once in the halves of a 64-bit integer; a
     text has fewer than 2**31 sentences, so the halves never meet.  Repeated
@@ -67,14 +73,13 @@ def vectors(texts: DataFrame, key: str = "key", text: str = "text") -> DataFrame
     out = units.groupBy("key").agg(*sums)
 
     def lane(name: str, high: bool) -> Column:
-        half = F.shiftright(name, 32) if high else F.col(name).bitwiseAND(_long(0xFFFFFFFF))
-        count = F.try_divide(half, F.col("copies")).cast("bigint").bitwiseAND(_long(_M16))
-        return F.when(count > 32767, count - 65536).otherwise(count).cast("smallint")
+        half = F.shiftright(name, 32) if high else F.col(name).bitwiseAND(_long(_M32))
+        return _signed(F.try_divide(half, F.col("copies")).cast("bigint").bitwiseAND(_long(_M32)))
 
     names = [f"s{k}_{b}" for k in seeds for b in range(32)]
     return out.select(
         "key",
-        F.array(*[F.expr(f"(e{i} div copies) & {0xFFFFFFFF}L") for i in range(EXACT_LANES)]).alias("exact"),
+        F.array(*[F.expr(f"(e{i} div copies) & {_M32}L") for i in range(EXACT_LANES)]).alias("exact"),
         F.expr("n div copies").alias("n"),
         F.array(*[lane(x, False) for x in names], *[lane(x, True) for x in names]).alias("sign"),
     )
@@ -84,25 +89,24 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """Lane sums of two fingerprint structs (exact, n, sign); ``sign=-1``
     removes ``b``'s paragraphs from ``a``."""
 
-    def wrap16(x: Column) -> Column:
-        m = F.pmod(x, F.lit(65536))
-        return F.when(m > 32767, m - 65536).otherwise(m).cast("smallint")
+    def wrap32(x: Column) -> Column:
+        return F.pmod(x, _long(1 << 32))
 
-    exact = F.zip_with(a["exact"], b["exact"], lambda x, y: F.pmod(x + y * sign, _long(1 << 32)))
-    lanes = F.zip_with(a["sign"], b["sign"], lambda x, y: wrap16(x.cast("int") + y.cast("int") * sign))
+    exact = F.zip_with(a["exact"], b["exact"], lambda x, y: wrap32(x + y * sign))
+    lanes = F.zip_with(a["sign"], b["sign"], lambda x, y: _signed(wrap32(x.cast("bigint") + y.cast("bigint") * sign)))
     return F.struct(exact.alias("exact"), (a["n"] + b["n"] * sign).alias("n"), lanes.alias("sign"))
 
 
 def encoded(exact: Column, n: Column, sign: Column) -> Column:
     """The fingerprint as hex: exact lanes, number of sentences, sign lanes."""
     wide = F.transform(exact, lambda x: F.lpad(F.hex(x), 8, "0"))
-    lanes = F.transform(sign, lambda x: F.lpad(F.hex(F.pmod(x.cast("int"), F.lit(65536))), 4, "0"))
+    lanes = F.transform(sign, lambda x: F.lpad(F.hex(F.pmod(x.cast("bigint"), _long(1 << 32))), 8, "0"))
     return F.concat(F.array_join(wide, ""), F.lpad(F.hex(n), 8, "0"), F.array_join(lanes, ""))
 
 
 def likeness(n_a: Column, sign_a: Column, n_b: Column, sign_b: Column) -> Column:
     def plus_minus(lanes: Column, n: Column) -> Column:
-        return F.transform(lanes, lambda x: 2 * F.pmod(x.cast("double"), F.lit(65536.0)) - n)
+        return F.transform(lanes, lambda x: 2 * F.pmod(x.cast("double"), F.lit(float(1 << 32))) - n)
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)

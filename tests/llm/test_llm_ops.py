@@ -189,6 +189,34 @@ def test_op5_is_a_homomorphic_multiset_hash(spark):
     assert (row["left"]["exact"], row["left"]["sign"]) == (v["a"]["exact"], v["a"]["sign"])
 
 
+def test_op5_likeness_of_very_long_texts(spark):
+    """More sentences, and more of one sentence, than 16 bits count."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm import fingerprint as f
+
+    n = 140_000
+    texts = {
+        "long": [f"line {i}" for i in range(n)],
+        "half": [f"line {i}" for i in range(n // 2)] + [f"new {i}" for i in range(n // 2)],
+        "other": [f"other {i}" for i in range(n)],
+        "equal": ["one line"] * 70_000,
+        "fewer": ["one line"] * 35_000,
+    }
+    df = spark.createDataFrame([(k, "\n".join(v)) for k, v in texts.items()], "key string, text string")
+    rows = f.vectors(df).collect()
+    v = {r["key"]: (r["n"], r["sign"]) for r in rows}
+    pairs = [("long", "long"), ("long", "half"), ("long", "other"), ("equal", "fewer")]
+    table = spark.createDataFrame(
+        [(*p, *v[p[0]], *v[p[1]]) for p in pairs], "a string, b string, n long, s array<int>, m long, t array<int>"
+    )
+    near = {r[0]: r[1] for r in table.select(F.concat_ws("-", "a", "b"), f.likeness(*map(F.col, "nsmt"))).collect()}
+    assert near["long-long"] == 1
+    assert abs(near["long-half"] - 0.5) < 0.3
+    assert near["long-other"] < 0.3
+    assert near["equal-fewer"] == pytest.approx(0.8)
+
+
 def test_op6(spark, docs_dir, documents):
     expected = [
         {"doc_id": r["doc_id"], "n_lines": len(a), "n_dropped": len(a) - len(b), "kept_sha256": brute.sha("\n".join(b))}
