@@ -11,8 +11,10 @@ tag, adjusted by the logarithm that weighs link characters and link tags
 against the page's.  The densities of a node's children sum up, and the node
 with the greatest sum is the content; the smallest density on its path to the
 body is the threshold above which other subtrees give their own greatest node
-as well.  Where the page marks an article or main element that holds the
-content or most of it, that element is taken whole.
+as well.  Article and main elements are a hint for the borders only: a chosen
+node inside of one stands for the whole element, and a chosen node above some
+that hold most of its text stands for all of them and for its other subtrees
+that pass the threshold.
 
 The work is one function per page; nothing is shuffled.
 
@@ -218,11 +220,8 @@ def content_nodes(root: Node) -> list[Node]:
     while node is not None and node.tag not in ("#root", "html"):
         path.append(node)
         node = node.parent
-    marked = [n for n in nodes if n.tag in ("article", "main") and n.chars and not n.inside("article", "main")]
-    for n in sorted(marked, key=lambda n: -n.chars)[:1]:
-        if n in path or 2 * n.chars >= best.chars:
-            return [n]
     limit = min((n.density for n in path), default=0.0)
+    marked = [n for n in nodes if n.tag in ("article", "main") and n.chars]
     chosen: list[Node] = []
 
     def taken(node: Node) -> bool:
@@ -238,18 +237,50 @@ def content_nodes(root: Node) -> list[Node]:
             top = n if top.total == 0 else top
             if not taken(top):
                 chosen.append(top)
-    return [n for n in chosen if not any(m is not n and _above(m, n) for m in chosen)]
+    bordered = [m for n in chosen for m in _bordered(n, marked, limit)]
+    out = list({id(n): n for n in bordered}.values())
+    ids = {id(n) for n in out}
+    return [n for n in out if not _below(n, ids)]
+
+
+def _bordered(node: Node, marked: list[Node], limit: float) -> list[Node]:
+    """What a chosen node stands for where the page marks its articles."""
+    around = [m for m in marked if m is node or _above(m, node)]
+    if around:  # parents come first
+        return [next((m for m in around if m.tag == "article"), around[0])]
+    within = [m for m in marked if _above(node, m)]
+    ids = {id(m) for m in within}
+    tops = [m for m in within if not _below(m, ids)]
+    if not tops or 2 * sum(m.chars for m in tops) < node.chars:
+        return [node]
+    over = {id(node)}
+    for m in tops:
+        while m is not node:
+            m = m.parent
+            over.add(id(m))
+    out, stack = list(tops), [node]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, Node) and id(child) in over:
+                stack.append(child)
+            elif isinstance(child, Node) and child.density >= limit and id(child) not in ids:
+                out.append(child)
+    return out
 
 
-def _above(upper: Node, node: Node) -> bool:
-    node = node.parent
-    while node is not None:
-        if node is upper:
+def _below(node: Node, ids: set[int]) -> bool:
+    up = node.parent
+    while up is not None:
+        if id(up) in ids:
             return True
-        node = node.parent
+        up = up.parent
     return False
 
 
+def _above(upper: Node, node: Node) -> bool:
+    return _below(node, {id(upper)})
+
+
 def blocks(root: Node, chosen: list[Node]) -> list[str]:
     """Texts of the blocks below the chosen nodes, in page order."""
     out: list[str] = []

@@ -41,6 +41,22 @@ def test_pages(name):
     assert main_text(html) == "\n\n".join(expected)
 
 
+def test_sibling_articles_are_all_kept():
+    parts = [f"<article><h2>Part {i}</h2><p>{P1}</p><p>{P2}</p></article>" for i in "abc"]
+    expected = "\n\n".join(f"Part {i}\n\n{P1}\n\n{P2}" for i in "abc")
+    for wrap in ("{}", "<div>{}</div>", "<main>{}</main>", "<div><p><a href=x>More</a></p>{}</div>"):
+        assert main_text("<body>" + wrap.format("".join(parts)) + "</body>") == expected
+    longer = parts[0].replace(P2, P2 + " It says more.")
+    text = main_text(f"<body><div>{longer}{parts[1]}</div></body>")
+    assert text == f"Part a\n\n{P1}\n\n{P2} It says more.\n\nPart b\n\n{P1}\n\n{P2}"
+
+
+def test_density_chooses_before_the_article_tag():
+    links = "".join(f"<li><a href=x{i}>A link with some words</a></li>" for i in range(9))
+    page = f"<body><article><ul>{links}</ul></article><div><p>{P1}</p><p>{P2}</p></div></body>"
+    assert main_text(page) == f"{P1}\n\n{P2}"
+
+
 def test_long_and_deep_pages():
     assert len(main_text("<div>" * 3000 + "<p>" + "word " * 200_000 + "</p>")) == 1_000_000 - 1
 
