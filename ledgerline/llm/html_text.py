@@ -4,7 +4,9 @@ A page is parsed into a DOM (forgiving of missing end tags).  Parts that are
 never the article go: scripts, styles and other unrendered elements,
 navigation, headers and footers of the page, asides, forms, hidden elements,
 and elements whose class, id or role says advert, notice, menu, sidebar,
-comments and the like, unless they hold the article themselves.
+comments and the like, unless they hold the article themselves.  A class or
+id under which most of the page's text outside of links stands (a wrapper
+named has-sidebar or page-header-wrap) says nothing and removes nothing.
 
 On what is left, every node gets its composite text density: characters per
 tag, adjusted by the logarithm that weighs link characters and link tags
@@ -27,7 +29,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -136,9 +139,25 @@ def parse(html: str) -> Node:
     return tree.root
 
 
+def _names(node: Node) -> list[str]:
+    return f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".split()
+
+
 def _marks(node: Node) -> set[str]:
-    names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}"
-    return {w.lower() for w in _WORDS.findall(names)}
+    return {w.lower() for name in _names(node) for w in _WORDS.findall(name)}
+
+
+def _marked_names(node: Node) -> dict[str, bool]:
+    """Names (of class and id) that mark boilerplate; true where the mark
+    tells even an article apart."""
+    if node.tag in INLINE or node.tag in ("#root", "html", "body", "main", "article"):
+        return {}
+    out = {}
+    for name in _names(node):
+        marks = {w.lower() for w in _WORDS.findall(name)}
+        if marks & MARKS or "header" in marks and not node.inside("article", "main"):
+            out[name] = bool(marks & ARTICLE_MARKS)
+    return out
 
 
 def _holds_article(node: Node) -> bool:
@@ -164,20 +183,59 @@ def is_boilerplate(node: Node) -> bool:
         return bool(_marks(node) & ARTICLE_MARKS)
     gone = gone or tag in ASIDE or node.attrs.get("role", "").lower() in ROLES
     gone = gone or tag == "header" and not node.inside("article", "main")
-    marks = _marks(node)
-    gone = gone or tag not in INLINE and bool(marks & MARKS)
-    gone = gone or "header" in marks and not node.inside("article", "main")
+    gone = gone or "header" in _marks(node) and tag in INLINE and not node.inside("article", "main")
     return gone and not _holds_article(node)
 
 
-def prune(root: Node) -> None:
+def _prune(root: Node, gone: Callable[[Node], bool]) -> None:
     stack = [root]
     while stack:
         node = stack.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not is_boilerplate(c)]
+        node.children = [c for c in node.children if isinstance(c, str) or not gone(c)]
         stack += [c for c in node.children if isinstance(c, Node)]
 
 
+def _void_names(root: Node) -> set[str]:
+    """Marked names that hold more than half of the text outside of links.
+
+    Text below comments, adverts and the like counts as the page's only where
+    it is nine tenths of all."""
+    chars: Counter[tuple[str, bool]] = Counter()  # of name and "not below a comment or the like"
+    total: Counter[bool] = Counter()
+    strong: set[str] = set()
+    stack: list[tuple[Node, frozenset[str], bool]] = [(root, frozenset(), True)]
+    while stack:
+        node, names, plain = stack.pop()
+        if node.tag == "a":
+            continue
+        if found := _marked_names(node):
+            strong |= {name for name, tells in found.items() if tells}
+            names, plain = names | set(found), plain and not any(found.values())
+        n = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        if n:
+            total[plain] += n
+            chars.update({(name, plain): n for name in names})
+        stack += [(c, names, plain) for c in node.children if isinstance(c, Node)]
+    every = total[True] + total[False]
+    alone = 10 * total[True] <= every  # nearly all is below comments and the like
+    out = set()
+    for name in {name for name, _ in chars}:
+        held = chars[name, True] + chars[name, False]
+        if name in strong or alone:
+            void = 10 * held >= 9 * every
+        else:
+            void = 2 * chars[name, True] > total[True]
+        if void:
+            out.add(name)
+    return out
+
+
+def prune(root: Node) -> None:
+    _prune(root, is_boilerplate)
+    void = _void_names(root)
+    _prune(root, lambda n: not void.issuperset(_marked_names(n)) and not _holds_article(n))
+
+
 def _in_order(root: Node) -> list[Node]:
     out, stack = [], [root]
     while stack:

@@ -57,6 +57,26 @@ def test_density_chooses_before_the_article_tag():
     assert main_text(page) == f"{P1}\n\n{P2}"
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        '<div class="content has-sidebar">{}</div>',
+        '<div id="page-header-wrap">{}</div>',
+        '<div class="social-page"><div class="with-comments post">{}</div></div>',
+        '<div class="el-widget">{}</div><div class="el-widget"><p>' + P1 + "</p></div>",
+    ],
+)
+def test_a_wrapper_is_not_pruned_by_its_name(wrap):
+    side = '<div class="sidebar"><p>Other things on this site</p></div><div class="comments"><p>No, I say.</p></div>'
+    page = f'<body><div class="menu"><a href=a>A</a></div>{wrap.format(f"<p>{P1}</p><p>{P2}</p>" + side)}</body>'
+    assert main_text(page) == "\n\n".join([P1, P2] + [P1] * ("el-widget" in wrap))
+
+
+def test_long_comments_do_not_replace_the_text():
+    comments = '<div id="comments">' + f"<p>{P2} I do not agree.</p>" * 5 + "</div>"
+    assert main_text(f'<body><div class="page has-sidebar"><p>{P1}</p></div>{comments}</body>') == P1
+
+
 def test_long_and_deep_pages():
     assert len(main_text("<div>" * 3000 + "<p>" + "word " * 200_000 + "</p>")) == 1_000_000 - 1
 
