@@ -5,13 +5,14 @@ A text is read as words (A-Z folded, ASCII punctuation as white space) and
 For every template length, windows of that many words overlap in steps of a
 sixteenth of it.  Each window's MinHash signature has ``BANDS`` bands of
 ``ROWS`` values; a window that shares a band with a template of its length
-retrieves it.  At a resemblance of 0.8 a band agrees with probability 0.64,
+retrieves it, and the template's best place within a step of it is taken.  At a
+resemblance of 0.8 a band agrees with probability 0.64,
 so all 20 miss with a chance of 0.36**20, below 1e-8.  A retrieved template
 matches when the window holds at least ``CONTAINED`` of its shingles, counted
 exactly.
 
-Windows without any shingle of any template have resemblance 0 with all of
-them; only the others are hashed.  Templates travel with the code (their
+Windows without any shingle of a template of their length have resemblance 0
+with all of these; only the others are hashed.  Templates travel with the code (their
 number is fixed, not data).  Every text is scanned whole in its own row, so
 nothing is shuffled.
 
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import col, read_docs, ship_package, text_of
+from ledgerline.llm.license_texts import BODIES, NOTICES
 
 SHINGLE = 5
 BANDS, ROWS = 20, 2
@@ -54,6 +56,8 @@ TEMPLATES: list[tuple[str, str]] = [
             "associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *NOTICES,
+    *BODIES,
 ]
 
 
@@ -92,8 +96,10 @@ class Templates:
             index = self.by_length.setdefault(len(words), {})
             for key in band_keys(grams[None, :])[0].tolist():
                 index.setdefault(key, []).append(i)
-            known.setdefault(min(SHINGLE, len(words)), []).append(grams)
-        self.known = {g: np.unique(np.concatenate(s)) for g, s in known.items()}
+            known.setdefault(len(words), []).append(grams)
+        self.known = {n: np.unique(np.concatenate(s)) for n, s in known.items()}
+        sizes = {min(SHINGLE, n) for n in self.known}
+        self.any = {g: np.unique(np.concatenate([s for n, s in self.known.items() if min(SHINGLE, n) == g])) for g in sizes}
         self.keys = {n: np.array(sorted(index), dtype=np.uint64) for n, index in self.by_length.items()}
 
     def matches(self, text: str | None) -> list[tuple[str, int, int, float]]:
@@ -102,22 +108,26 @@ class Templates:
 
         words = word_hashes(text, plain=True)
         found: list[tuple[str, int, int, float]] = []
-        grams, hits = {}, {}
-        for g, known in self.known.items():
-            grams[g] = gram_hashes(words, g)
-            at = np.searchsorted(known, grams[g])
-            hits[g] = np.concatenate(([0], np.cumsum(known[np.minimum(at, len(known) - 1)] == grams[g])))
+        sizes = {min(SHINGLE, n) for n in self.by_length}
+        grams = {g: gram_hashes(words, g) for g in sizes}
+        places = {g: self._places(g, grams[g]) for g in sizes}
         for n, index in self.by_length.items():
             g = min(SHINGLE, n)
             k = n - g + 1
             # the last window ends with the text; a shorter text is one window
-            if len(grams[g]) < 1 or not hits[g][-1]:
+            if not len(places[g]):
                 continue
-            k = min(k, len(grams[g]))
-            starts = np.arange(0, len(grams[g]) - k + 1, max(1, n // STEPS))
+            known = self.known[n]
+            at = np.minimum(np.searchsorted(known, grams[g][places[g]]), len(known) - 1)
+            hit = places[g][known[at] == grams[g][places[g]]]
+            if not len(hit):
+                continue
+            hits = np.searchsorted(hit, np.arange(len(grams[g]) + 1))
+            k, step = min(k, len(grams[g])), max(1, n // STEPS)
+            starts = np.arange(0, len(grams[g]) - k + 1, step)
             if starts[-1] != len(grams[g]) - k:
                 starts = np.append(starts, len(grams[g]) - k)
-            starts = starts[hits[g][starts + k] > hits[g][starts]]
+            starts = starts[hits[starts + k] > hits[starts]]
             for a in range(0, len(starts), 2000):
                 part = starts[a : a + 2000]
                 windows = grams[g][part[:, None] + np.arange(k)[None, :]]
@@ -127,11 +137,24 @@ class Templates:
                 for w in np.flatnonzero((known_keys[at] == keys).any(axis=1)):
                     got = {t for key in keys[w].tolist() for t in index.get(key, ())}
                     for t in got:
-                        share = float(np.isin(self.sets[t], windows[w]).mean())
+                        share, first = self._placed(t, grams[g], int(part[w]), k, step)
                         if share >= CONTAINED:
-                            found.append((self.names[t], int(part[w]), int(part[w]) + k + g - 1, share))
+                            found.append((self.names[t], first, first + k + g - 1, share))
         return self._best(found)
 
+    def _places(self, g: int, grams: np.ndarray) -> np.ndarray:
+        """Where shingles of ``g`` words of any template are."""
+        known = self.any[g]
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        return np.flatnonzero(known[at] == grams)
+
+    def _placed(self, t: int, grams: np.ndarray, start: int, k: int, step: int) -> tuple[float, int]:
+        """Greatest containment within a step of a window, and its first place."""
+        firsts = range(max(0, start - step + 1), min(len(grams) - k, start + step - 1) + 1)
+        shares = [(float(np.isin(self.sets[t], grams[a : a + k]).mean()), -a) for a in firsts]
+        share, a = max(shares)
+        return share, -a
+
     @staticmethod
     def _best(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
         out: list[tuple[str, int, int, float]] = []

@@ -138,6 +138,26 @@ def test_op4_retrieval_misses_nothing_that_contains_a_template(documents):
             assert exact == {m[0] for m in index.matches(text)}
 
 
+def test_op4_long_forms_and_bodies():
+    """Licenses and long notices with a changed word, at any place."""
+    from ledgerline.llm.license_scan import TEMPLATES, Templates
+    from ledgerline.llm.license_texts import BODIES
+
+    index = Templates(TEMPLATES)
+    names = {name for name, _ in TEMPLATES}
+    assert {"LGPL", "AGPL", "ISC", "CC0-1.0", "EPL-2.0", "Zlib", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0"} <= names
+    for kind, name in (("ShareAlike", "CC-BY-SA-4.0"), ("NonCommercial", "CC-BY-NC-4.0")):
+        line = f"This work is licensed under a Creative Commons Attribution-{kind} 4.0 International License."
+        assert {m[0] for m in index.matches(f"x {line} y")} == {name}
+    for name, body in BODIES:
+        w = body.split()
+        if len(w) > 34:
+            w[len(w) // 2] = "altered"
+        for before in range(12):
+            got = {m[0] for m in index.matches(" ".join(["foo"] * before + w + ["bar"] * 40))}
+            assert name in got and got <= {name, name.split("-")[0], "all-rights-reserved"}, (name, before, got)
+
+
 def test_op5(spark, docs_dir, documents):
     got = {r["doc_id"]: r for r in run(spark, "op5_fingerprints", docs_dir)}
     rows = sorted((r for r in documents if r["doc_id"] is not None), key=lambda r: -r["doc_id"])
