@@ -1,16 +1,13 @@
-import datetime as dt
 import os
 import sys
-from decimal import Decimal
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerline.schema import RAW_SCHEMA  # noqa: E402
 from ledgerline.session import local_session  # noqa: E402
-
-SF_SMOKE = "/root/testdata/sf0.001"
+from tests_support import SAMPLE  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -20,45 +17,6 @@ def spark():
     s.stop()
 
 
-def D(x):
-    return None if x is None else Decimal(str(x))
-
-
-def raw_row(tid, date, store, city, sku, cat, price, qty, rate, gross, disc, net, margin, province="Ontario"):
-    return (
-        tid,
-        dt.date.fromisoformat(date) if isinstance(date, str) else date,
-        store,
-        city,
-        province,
-        sku,
-        cat,
-        D(price),
-        qty,
-        D(rate),
-        D(gross),
-        D(disc),
-        D(net),
-        D(margin),
-    )
-
-
-SAMPLE = [
-    raw_row("TXN001", "2024-01-15", "S01", "North York", "EL001", "Electronics",
-            199.99, 1, 0.0, 199.99, 0.0, 199.99, 35.998),
-    raw_row("TXN002", "2024-02-20", "S02", "Scarborough", "HW003", "Health & Wellness",
-            24.99, 2, 0.05, 49.98, 2.499, 47.481, 19.94),
-    raw_row("TXN003", "2024-03-05", "S01", "North York", "EL001", "Electronics",
-            199.99, 3, 0.10, 599.97, 59.997, 539.973, 97.195),
-]
-
-
 @pytest.fixture
 def sample_rows():
     return [list(r) for r in SAMPLE]
-
-
-def make_raw(spark, rows):
-    """Local rows -> DataFrame in list order (one partition keeps the order
-    visible to the source-order column)."""
-    return spark.createDataFrame([tuple(r) for r in rows], RAW_SCHEMA).coalesce(1)

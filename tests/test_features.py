@@ -73,7 +73,7 @@ def test_exact_quantile_with_a_hot_value_spreads_over_partitions(spark):
 
 
 def test_shuffle_partition_suggestion_scales_with_input(spark):
-    from conftest import SF_SMOKE
+    from tests_support import SF_SMOKE
 
     from ledgerline.session import input_bytes, suggest_shuffle_partitions
 

@@ -6,7 +6,7 @@ import re
 import sys
 
 import pytest
-from conftest import SF_SMOKE
+from tests_support import SF_SMOKE
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

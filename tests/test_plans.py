@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF_SMOKE
+from tests_support import SF_SMOKE
 from pyspark.sql import functions as F
 
 from ledgerline.operators import validate as V

@@ -147,7 +147,7 @@ def test_a_cluster_needs_a_checkpoint_folder(monkeypatch):
 
 
 def test_lines_without_their_part_stay_in_the_feed(spark, tmp_path):
-    from conftest import SF_SMOKE
+    from tests_support import SF_SMOKE
 
     from ledgerline.sources.adapter import pos_feed
 

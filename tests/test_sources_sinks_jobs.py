@@ -4,7 +4,7 @@ import os
 import tempfile
 
 import pytest
-from conftest import SF_SMOKE
+from tests_support import SF_SMOKE
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -1,10 +1,10 @@
-"""Star schema builders: the source pipeline's seven tests plus edge cases."""
+"""Star schema builders: properties over generated sales, and edge cases."""
 
 import datetime as dt
 
 import pytest
 
-from conftest import make_raw
+from tests_support import make_raw, raw_row
 from pyspark.sql import functions as F
 
 from ledgerline.operators import star as S
@@ -17,52 +17,48 @@ def staged(spark, rows):
     return validate(make_raw(spark, rows))
 
 
-def test_dim_date_covers_full_range(spark, sample_rows):
-    dim = S.build_dim_date(staged(spark, sample_rows))
-    r = dim.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()
-    assert r[0] <= dt.date(2024, 1, 15) and r[1] >= dt.date(2024, 3, 5)
-    assert r[2] == 51
-    assert {"date_key", "year", "month", "quarter", "is_weekend"} <= set(dim.columns)
-
-
-def test_dim_date_key_is_unique(spark, sample_rows):
-    dim = S.build_dim_date(staged(spark, sample_rows))
-    assert dim.groupBy("date_key").count().filter("count > 1").count() == 0
-
-
-def test_dim_store_deduplicates(spark, sample_rows):
-    dim = S.build_dim_store(staged(spark, sample_rows))
-    assert dim.count() == 2
-    assert "store_key" in dim.columns
-    assert dim.select("store_key").distinct().count() == 2
-
-
-def test_dim_product_deduplicates(spark, sample_rows):
-    dim = S.build_dim_product(staged(spark, sample_rows))
-    assert dim.count() == 2
-    assert dim.select("product_key").distinct().count() == 2
-
-
 def _star(spark, rows):
     return S.build_star(staged(spark, rows))
 
 
-def test_fact_sales_no_null_fks(spark, sample_rows):
-    r = S.fk_null_audit(_star(spark, sample_rows).fact_sales).first()
-    assert tuple(r) == (0, 0, 0)
+@pytest.fixture(scope="module")
+def many(spark):
+    """Sales of 9 stores and 23 products on scattered days, and their star."""
+    start = dt.date(2023, 11, 20)
+    rows = [
+        raw_row(f"R{i}", start + dt.timedelta(days=(i * i) % 211), f"N{i % 9}", f"city{i % 9 // 2}", f"P{i % 23}",
+                f"cat{i % 23 % 4}", "2.50", i % 5, "0.1", i, i * 0.1, i * 0.9, i * 0.3)
+        for i in range(400)
+    ]
+    return rows, staged(spark, rows), _star(spark, rows)
+
+
+def test_date_spine_has_every_day_between_the_extremes_once(many):
+    rows, _, star = many
+    days = sorted(r.full_date for r in star.dim_date.df.select("full_date").collect())
+    first, last = min(r[1] for r in rows), max(r[1] for r in rows)
+    assert days == [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
 
 
-def test_fact_sales_row_count_matches_raw(spark, sample_rows):
-    raw = staged(spark, sample_rows)
-    assert _star(spark, sample_rows).fact_sales.count() == raw.count()
+def test_surrogate_keys_are_dense_over_the_natural_keys(many):
+    rows, _, star = many
+    for dim, key, natural, expected in (
+        (star.dim_store.df, "store_key", ["store_id", "city"], {(r[2], r[3]) for r in rows}),
+        (star.dim_product.df, "product_key", ["sku", "category"], {(r[5], r[6]) for r in rows}),
+    ):
+        got = dim.select(key, *natural).collect()
+        assert sorted(r[0] for r in got) == list(range(1, len(expected) + 1))
+        assert {tuple(r)[1:] for r in got} == expected
 
 
-def test_fact_sales_revenue_sum_preserved(spark, sample_rows):
-    raw = staged(spark, sample_rows)
-    fact = _star(spark, sample_rows).fact_sales
-    a = raw.agg(F.sum("net_revenue")).first()[0]
-    b = fact.agg(F.sum("net_revenue")).first()[0]
-    assert a == b  # exact on decimals
+def test_fact_joined_back_to_its_dimensions_is_the_staging(many):
+    _, raw, star = many
+    back = star.fact_sales.join(star.dim_store.df, "store_key").join(star.dim_product.df, "product_key")
+    back = back.join(star.dim_date.df, "date_key").withColumnRenamed("full_date", "txn_date")
+    names = ["transaction_id", "txn_date", "store_id", "city", "sku", "category", "quantity", "net_revenue", "margin"]
+    assert back.select(*names).exceptAll(raw.select(*names)).count() == 0
+    assert raw.select(*names).exceptAll(back.select(*names)).count() == 0
+    assert tuple(S.fk_null_audit(star.fact_sales).first()) == (0, 0, 0)
 
 
 # --- edge cases -----------------------------------------------------------------
@@ -80,7 +76,7 @@ def test_calendar_attributes_of_2023_01_01(spark, sample_rows):
 
 def test_store_with_two_cities_fans_out_and_is_detected(spark, sample_rows):
     rows = [list(r) for r in sample_rows]
-    rows[2][3] = "Etobicoke"  # S01 now has two cities
+    rows[2][3] = "Quayside"  # N7 now has two cities
     star = _star(spark, rows)
     assert star.fact_sales.count() == 5  # 3 rows, two of them joined twice
     dup = star.dim_store.df.groupBy("store_id").count().filter("count > 1").count()
@@ -89,7 +85,7 @@ def test_store_with_two_cities_fans_out_and_is_detected(spark, sample_rows):
 
 def test_surrogate_keys_follow_natural_order(spark, sample_rows):
     dim = S.build_dim_store(staged(spark, sample_rows)).orderBy("store_key").collect()
-    assert [(r.store_key, r.store_id) for r in dim] == [(1, "S01"), (2, "S02")]
+    assert [(r.store_key, r.store_id) for r in dim] == [(1, "N7"), (2, "N8")]
 
 
 @pytest.mark.parametrize("parts", [9, None])
@@ -119,12 +115,12 @@ def test_txn_count_fast_path_only_without_fan_out(spark, sample_rows):
     assert "count(distinct" not in plan.lower()
 
     rows = [list(r) for r in sample_rows]
-    rows[2][3] = "Etobicoke"  # S01 with two cities: fact rows fan out
+    rows[2][3] = "Quayside"  # N7 with two cities: fact rows fan out
     fan = S.build_star(staged(spark, rows))
     assert fan.txn_unique is False
     season = {(r.month, r.category): r.txn_count for r in marts.seasonality(fan).collect()}
-    # TXN001 and TXN003 are each joined twice, still counted once
-    assert season[(1, "Electronics")] == 1 and season[(3, "Electronics")] == 1
+    # A-100 and A-102 are each joined twice, still counted once
+    assert season[(2, "Toys")] == 1 and season[(5, "Toys")] == 1
 
 
 def test_broadcast_limit_is_configurable(spark, sample_rows):

@@ -1,9 +1,9 @@
-"""Validation: the source pipeline's six tests plus edge cases."""
+"""Validation: each rule, their order, and edge cases."""
 
 from decimal import Decimal
 
 import pytest
-from conftest import make_raw
+from tests_support import make_raw
 from pyspark.sql import functions as F
 
 from ledgerline.functions.labels import discount_bucket
@@ -32,13 +32,13 @@ def test_validate_drops_null_key_fields(spark, sample_rows):
 def test_validate_zeroes_negative_values(spark, sample_rows):
     sample_rows[1][12] = Decimal("-50")
     out = V.validate(make_raw(spark, sample_rows))
-    assert col_of(out, "TXN002", "net_revenue") == 0
+    assert col_of(out, "A-101", "net_revenue") == 0
 
 
 def test_validate_clamps_discount_rate(spark, sample_rows):
     sample_rows[0][9] = Decimal("1.5")
     out = V.validate(make_raw(spark, sample_rows))
-    assert col_of(out, "TXN001", "discount_rate") == 1
+    assert col_of(out, "A-100", "discount_rate") == 1
 
 
 def test_validate_raises_on_missing_columns(spark, sample_rows):
@@ -51,10 +51,10 @@ def test_validate_raises_on_missing_columns(spark, sample_rows):
 def test_bad_first_copy_hides_good_second_copy(spark, sample_rows):
     bad = list(sample_rows[0])
     bad[12] = None
-    rows = [bad] + sample_rows  # first copy of TXN001 has a NULL net revenue
+    rows = [bad] + sample_rows  # first copy of A-100 has a NULL net revenue
     out = V.validate(make_raw(spark, rows))
     assert out.count() == 2
-    assert out.filter(F.col("transaction_id") == "TXN001").count() == 0
+    assert out.filter(F.col("transaction_id") == "A-100").count() == 0
 
 
 def test_keep_first_keeps_file_order_not_value_order(spark, sample_rows):
@@ -62,25 +62,25 @@ def test_keep_first_keeps_file_order_not_value_order(spark, sample_rows):
     second[8] = 99  # a later copy with a different quantity
     rows = [list(sample_rows[0]), second, sample_rows[1], sample_rows[2]]
     out = V.validate(make_raw(spark, rows))
-    assert col_of(out, "TXN001", "quantity") == 1
+    assert col_of(out, "A-100", "quantity") == 4
     rows = [second, list(sample_rows[0]), sample_rows[1], sample_rows[2]]
     out = V.validate(make_raw(spark, rows))
-    assert col_of(out, "TXN001", "quantity") == 99
+    assert col_of(out, "A-100", "quantity") == 99
 
 
 def test_null_measure_is_not_zeroed(spark, sample_rows):
     sample_rows[0][7] = None  # unit_price
     out = V.validate(make_raw(spark, sample_rows))
-    assert col_of(out, "TXN001", "unit_price") is None
+    assert col_of(out, "A-100", "unit_price") is None
 
 
 def test_nan_rate_becomes_null_not_clamped(spark, sample_rows):
     df = make_raw(spark, sample_rows).withColumn(
         "discount_rate",
-        F.when(F.col("transaction_id") == "TXN001", F.lit(float("nan"))).otherwise(F.col("discount_rate").cast("double")),
+        F.when(F.col("transaction_id") == "A-100", F.lit(float("nan"))).otherwise(F.col("discount_rate").cast("double")),
     )
     out = V.validate(df)
-    assert col_of(out, "TXN001", "discount_rate") is None
+    assert col_of(out, "A-100", "discount_rate") is None
 
 
 def test_extra_columns_pass_and_order_is_irrelevant(spark, sample_rows):
@@ -93,7 +93,7 @@ def test_extra_columns_pass_and_order_is_irrelevant(spark, sample_rows):
 def test_zeroing_does_not_recompute_other_measures(spark, sample_rows):
     sample_rows[1][12] = Decimal("-50")
     out = V.validate(make_raw(spark, sample_rows))
-    assert col_of(out, "TXN002", "margin") == Decimal("19.94")
+    assert col_of(out, "A-101", "margin") == Decimal("9.6")
 
 
 @pytest.mark.parametrize(
@@ -113,7 +113,7 @@ def test_dq_report_counts(spark, sample_rows):
     clamp = list(sample_rows[2])
     clamp[9] = Decimal("2")
     nullkey = list(sample_rows[2])
-    nullkey[0] = "TXN004"
+    nullkey[0] = "A-103"
     nullkey[2] = None  # store_id
     rows = [sample_rows[0], neg, clamp, dup, nullkey]
     r = V.dq_report(make_raw(spark, rows)).first().asDict()

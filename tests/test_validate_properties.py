@@ -5,7 +5,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pandas as pd
-from conftest import make_raw
+from tests_support import make_raw
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
