@@ -71,7 +71,7 @@ def test_op2(spark, docs_dir, documents):
 
 def test_op2_large_groups_in_tiles(spark, tmp_path, monkeypatch):
     """Groups larger than a tile or a salt, with links only between members."""
-    from conftest import write_documents
+    from llm_support import write_documents
 
     from ledgerline.llm import neardup
 
@@ -92,7 +92,7 @@ def test_op2_large_groups_in_tiles(spark, tmp_path, monkeypatch):
 
 
 def test_op4(spark, docs_dir, tmp_path):
-    from conftest import write_documents
+    from llm_support import write_documents
 
     from ledgerline.llm.license_scan import TEMPLATES
 
@@ -382,7 +382,7 @@ def test_op10(spark, docs_dir, documents):
 
 def test_op10_bad_hosts(spark, tmp_path):
     """On a host of failures one strike is enough; elsewhere it is not."""
-    from conftest import write_documents
+    from llm_support import write_documents
 
     clean = " ".join(f"word{i} goes" for i in range(30))
     marked = " ".join(f"word{i} # goes" for i in range(30))
