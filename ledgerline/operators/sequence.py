@@ -8,8 +8,10 @@ DataFrames:
 2. tag each row with its partition id and its position in the partition,
    and write that to the checkpoint folder so the assignment survives
    recomputation and lost executors;
-3. count rows per partition (one row per partition: a proven size bound),
-   turn the counts into offsets and add them back as a literal map.
+3. count rows per partition, turn the counts into offsets by a prefix sum
+   and join them back on the partition number.  Counts and offsets have one
+   row per partition, a proven bound for the broadcast and for the one task
+   that forms the prefix sum.
 
 Used for surrogate keys of dimensions whose size grows with the data, and for
 exact quantiles.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.operators.materialize import materialize
 
@@ -47,24 +50,19 @@ def with_row_index_counted(
     # Freeze the partition assignment: a table in the shared checkpoint folder
     # survives recomputation and lost executors.
     ranged = materialize(ranged, "rowindex")
-    # One row per range partition: a proven bound (the partition count), so
-    # the offsets are computed on the driver and inlined as a literal map.
-    counts = sorted(
-        (r["_ri_part"], r["_ri_cnt"])
-        for r in ranged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_cnt")).collect()
-    )
-    offsets, running = {}, 0
-    for part, cnt in counts:
-        offsets[part] = running
-        running += cnt
-    if not offsets:
-        return ranged.drop("_ri_part", "_ri_mono").withColumn(name, F.lit(None).cast("bigint")), 0
-    off_map = F.create_map(*[x for kv in offsets.items() for x in (F.lit(kv[0]), F.lit(kv[1]).cast("bigint"))])
+    counts = materialize(ranged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_cnt")), "rowcounts")
+    total = counts.agg(F.sum("_ri_cnt")).first()[0] or 0
+    out = ranged.join(F.broadcast(partition_offsets(counts)), "_ri_part")
     local = F.col("_ri_mono") - F.shiftleft(F.col("_ri_part").cast("bigint"), 33)
-    out = ranged.withColumn(
-        name, (F.element_at(off_map, F.col("_ri_part")) + local + F.lit(start)).cast("bigint")
-    ).drop("_ri_part", "_ri_mono")
-    return out, running
+    out = out.withColumn(name, (F.col("_ri_before") + local + F.lit(start)).cast("bigint"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], name), total
+
+
+def partition_offsets(counts: DataFrame) -> DataFrame:
+    """(_ri_part, _ri_before): rows of the partitions before each partition."""
+    before = Window.orderBy("_ri_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = F.coalesce(F.sum("_ri_cnt").over(before), F.lit(0).cast("bigint"))
+    return counts.select("_ri_part", sums.alias("_ri_before"))
 
 
 def with_row_index(

@@ -152,3 +152,18 @@ def test_broadcast_bound_is_in_bytes_of_the_joined_columns(spark):
         assert not Sized(wide, rows).fits_broadcast()
     finally:
         spark.conf.unset("ledgerline.maxBroadcastBytes")
+
+
+def test_offsets_of_20000_partitions_are_a_joined_table(spark):
+    """The offsets are rows, so the plan does not grow with the partitions."""
+    from ledgerline.operators.sequence import partition_offsets
+
+    counts = spark.range(20_000).select(F.col("id").cast("int").alias("_ri_part"), (F.col("id") % 5).alias("_ri_cnt"))
+    offsets = partition_offsets(counts)
+    got = {r["_ri_part"]: r["_ri_before"] for r in offsets.collect()}
+    running = 0
+    for part in range(20_000):
+        assert got[part] == running
+        running += part % 5
+    plan = with_row_index(spark.range(0, 5000, 1, 13), ["id"], "i", num_partitions=400)._jdf.queryExecution()
+    assert "map(" not in plan.optimizedPlan().toString() and len(plan.executedPlan().toString()) < 20_000
