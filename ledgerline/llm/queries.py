@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import fingerprint, html_text, license_scan, linededup, mix, neardup, packing, quality, secrets, substring
+from ledgerline.llm import (
+    fingerprint,
+    html_text,
+    language_id,
+    license_scan,
+    linededup,
+    merkle,
+    mix,
+    neardup,
+    packing,
+    quality,
+    secrets,
+    substring,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": mix.op1,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8,
     "op9_substring_dedup": substring.op9,
     "op10_host_quality": quality.op10,
+    "op11_whitening": whitening.op11,
+    "op12_language_id": language_id.op12,
+    "op13_merkle_manifest": merkle.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -27,4 +44,5 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": linededup.ORACLE,
     "op9_substring_dedup": substring.ORACLE,
     "op10_host_quality": quality.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }

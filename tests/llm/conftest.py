@@ -26,6 +26,8 @@ def empty_dir(tmp_path_factory):
     out = write_documents(folder, [], files=1)
     pq.write_table(pa.table({"page_id": pa.array([], pa.int64()), "url": pa.array([], pa.string()),
                              "html": pa.array([], pa.string())}), folder / "pages.parquet")
+    pq.write_table(pa.table({"vec_id": pa.array([], pa.int64()), "embedding": pa.array([], pa.list_(pa.float32())),
+                             "label": pa.array([], pa.int32())}), folder / "embeddings.parquet")
     return out
 
 
