@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.session import ensure_checkpoint_dir
 
 _REGISTRY: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("ledgerline_materialized", default=None)
+_TABLE = "table:"
 
 
 def materialize(df: DataFrame, name: str = "t", partition_by: list[str] | None = None) -> DataFrame:
@@ -37,6 +38,46 @@ def materialize(df: DataFrame, name: str = "t", partition_by: list[str] | None =
     return spark.read.parquet(path)
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of a table written after a shuffle: one per shuffle partition,
+    so a task that holds one partition writes one bucket."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000))
+
+
+def save_bucketed(
+    df: DataFrame,
+    path: str,
+    key: str,
+    buckets: int | None = None,
+    sort_by: str | None = None,
+    partition_by: str | None = None,
+    table: str | None = None,
+) -> str:
+    """Write ``df`` as an external table bucketed by ``key`` and return the
+    table's name.  Aggregates and joins on ``key`` over ``spark.table(name)``
+    then need no Exchange on that side."""
+    spark = df.sparkSession
+    table = table or f"ledgerline_{uuid.uuid4().hex}"
+    writer = df.write.mode("overwrite").bucketBy(buckets or bucket_count(spark), key)
+    if sort_by:
+        writer = writer.sortBy(sort_by)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.option("path", path).format("parquet").saveAsTable(table)
+    return table
+
+
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """:func:`materialize` as a table bucketed by ``key``."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-{name}-{uuid.uuid4().hex}"
+    table = save_bucketed(df, path, key, buckets)
+    registry = _REGISTRY.get()
+    if registry is not None:
+        registry += [f"{_TABLE}{table}", path]
+    return spark.table(table)
+
+
 @contextlib.contextmanager
 def tracking(registry: list[str]):
     """Record the paths of tables materialised inside the block."""
@@ -53,7 +94,11 @@ def release(spark: SparkSession, paths: list[str]) -> int:
     conf = spark._jsc.hadoopConfiguration()
     deleted = 0
     while paths:
-        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        entry = paths.pop()
+        if entry.startswith(_TABLE):
+            spark.sql(f"DROP TABLE IF EXISTS {entry.removeprefix(_TABLE)}")
+            continue
+        p = jvm.org.apache.hadoop.fs.Path(entry)
         if p.getFileSystem(conf).delete(p, True):
             deleted += 1
     return deleted

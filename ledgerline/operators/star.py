@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import calendar_columns, date_key
 from ledgerline.operators.broadcast import Sized, sized
-from ledgerline.operators.materialize import materialize
+from ledgerline.operators.materialize import bucket_count, materialize, materialize_bucketed
 from ledgerline.operators.sequence import with_row_index_counted
 from ledgerline.schema import DIM_DATE_COLUMNS, FACT_COLUMNS
 
@@ -83,6 +83,18 @@ def fk_null_audit(fact: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class Parts:
+    """Partial sums of the fact by month, the grain at which deliveries merge:
+    ``category`` per (category, ym, discount_bucket) and ``store`` per
+    (store_id, city, ym).  Both are bounded by the dimensions and the
+    calendar.  They stand for the fact only while ids are unique and no store
+    or product is ambiguous, so that counts and sums add up."""
+
+    category: DataFrame
+    store: DataFrame
+
+
 @dataclass
 class Star:
     dim_date: Sized
@@ -92,7 +104,12 @@ class Star:
     # True when the fact was checked to hold at most one row per
     # transaction_id (see ``unique_on``).  Then COUNT(DISTINCT transaction_id)
     # == COUNT(...) in every group, and the marts skip the distinct shuffle.
-    txn_unique: bool = False
+    # None: not checked yet (a fact that is still to be written).
+    txn_unique: bool | None = False
+    # Stored partial sums: the marts then read them instead of the fact.
+    parts: Parts | None = None
+    # Rows of the fact, counted while it was written.
+    fact_rows: int | None = None
 
     def txn_count(self) -> Column:
         """COUNT(DISTINCT transaction_id), as a plain count when exact."""
@@ -111,20 +128,38 @@ class Star:
 
 def unique_on(df: DataFrame, key: str) -> bool:
     """No value of ``key`` occurs twice, by an aggregate over the key alone
-    (NULLs may repeat: they are not counted)."""
+    (NULLs may repeat: they are not counted).  Over a table bucketed by
+    ``key`` it is decided bucket by bucket, without an Exchange on it."""
     worst = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"))
     return (worst.first()[0] or 0) <= 1
 
 
-def build_star(staging: DataFrame) -> Star:
+def plan_star(staging: DataFrame) -> Star:
+    """The dimensions, keyed and written to the checkpoint folder, around a
+    fact that is not computed yet: for a writer that stores it once, in its
+    final layout (:func:`ledgerline.sinks.writers.write_star`)."""
+    dim_date = sized(materialize(build_dim_date(staging), "dim_date").select(*DIM_DATE_COLUMNS))
+    dim_store = dim_store_sized(staging)
+    dim_product = dim_product_sized(staging)
+    return Star(dim_date, dim_store, dim_product, build_fact_sales(staging, dim_store, dim_product), None)
+
+
+def build_star(staging: DataFrame, clustered: bool = False) -> Star:
     """All four tables are written once to the checkpoint folder: the marts
     read the stored fact and never join staging again.
 
     ``staging`` should itself be materialised (a written table), so it is
-    read, not recomputed, by each of the builders.
+    read, not recomputed, by each of the builders.  The fact is stored in
+    buckets by ``transaction_id``, so its ids are checked without an Exchange;
+    one shuffle deals it out, which ``clustered`` leaves out for staging that
+    is itself stored in these buckets (the pipeline's is).
     """
-    dim_date = sized(materialize(build_dim_date(staging), "dim_date").select(*DIM_DATE_COLUMNS))
-    dim_store = dim_store_sized(staging)
-    dim_product = dim_product_sized(staging)
-    fact = materialize(build_fact_sales(staging, dim_store, dim_product), "fact_sales")
-    return Star(dim_date, dim_store, dim_product, fact, unique_on(fact, "transaction_id"))
+    star = plan_star(staging)
+    seen = Observation()
+    fact = star.fact_sales if clustered else star.fact_sales.repartition(bucket_count(staging.sparkSession), "transaction_id")
+    # counted in the task that writes the row, so a repeated stage adds nothing
+    fact = fact.observe(seen, F.count(F.lit(1)).alias("rows"))
+    star.fact_sales = materialize_bucketed(fact, "fact_sales", "transaction_id")
+    star.fact_rows = seen.get["rows"]
+    star.txn_unique = unique_on(star.fact_sales, "transaction_id")
+    return star

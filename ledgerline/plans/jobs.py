@@ -15,13 +15,14 @@ import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.broadcast import sized
+from ledgerline.operators.broadcast import Sized, sized
 from ledgerline.operators.materialize import materialize, release, tracking
-from ledgerline.operators.star import Star, build_star, fk_null_audit, unique_on
+from ledgerline.operators.star import Star, plan_star, unique_on
 from ledgerline.operators.validate import dq_counts, finish_validation, first_copies
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
 from ledgerline.schema import DIM_DATE_COLUMNS, DIM_PRODUCT_COLUMNS, DIM_STORE_COLUMNS, FACT_COLUMNS
+from ledgerline.sinks import files
 from ledgerline.sinks.writers import save_table, write_csv, write_staging, write_star
 from ledgerline.sources.pos_csv import read_pos_csv
 
@@ -44,32 +45,39 @@ def run_ingest(spark: SparkSession, staging_path: str, src: str | None = None, r
 
 
 def run_star(spark: SparkSession, staging_path: str, star_path: str) -> dict[str, int]:
+    """Build and publish the star; row counts and unresolved keys are counted
+    while the tables are written."""
     staging = spark.read.parquet(staging_path).drop("loaded_at")
     temp: list[str] = []
     with tracking(temp):
-        star = build_star(staging)
-        write_star(star, star_path)
+        counts = write_star(plan_star(staging), star_path)
     release(spark, temp)  # intermediate tables
-    sizes = {name: spark.read.parquet(f"{star_path}/{name}").count() for name in star.tables()}
-    audit = fk_null_audit(spark.read.parquet(f"{star_path}/fact_sales")).first().asDict()
-    if any(audit.values()):
-        warnings.warn(f"unresolved foreign keys in fact_sales: {audit}", stacklevel=2)
-    return sizes | audit
+    unresolved = {k: n for k, n in counts.items() if k.startswith("null_")}
+    if any(unresolved.values()):
+        warnings.warn(f"unresolved foreign keys in fact_sales: {unresolved}", stacklevel=2)
+    return counts
 
 
 def load_star(spark: SparkSession, star_path: str) -> Star:
-    """Star tables read back; dimensions are counted (cheap parquet metadata)
-    so joins know whether they may broadcast them.
+    """The published version of the star, as one whole.
 
-    Whether the plain transaction count is exact is checked on the stored
-    fact's transaction ids, not assumed from who wrote it.
+    The row counts and the uniqueness of the transaction ids come with the
+    version, so nothing is scanned.  A folder without a pointer (four plain
+    tables) is read as it is; its dimensions are counted and its ids checked.
     """
-    base = star_path.rstrip("/")
-    dim_date = sized(spark.read.parquet(f"{base}/dim_date").select(*DIM_DATE_COLUMNS))
-    dim_store = sized(spark.read.parquet(f"{base}/dim_store").select(*DIM_STORE_COLUMNS))
-    dim_product = sized(spark.read.parquet(f"{base}/dim_product").select(*DIM_PRODUCT_COLUMNS))
-    fact = spark.read.parquet(f"{base}/fact_sales").select(*FACT_COLUMNS)
-    return Star(dim_date, dim_store, dim_product, fact, unique_on(fact, "transaction_id"))
+    at = files.current(spark, star_path)
+    base = at["path"] if at else star_path.rstrip("/")
+
+    def read(name: str, columns: list[str]) -> DataFrame:
+        return spark.read.parquet(f"{base}/{name}").select(*columns)
+
+    dims = [read("dim_date", DIM_DATE_COLUMNS), read("dim_store", DIM_STORE_COLUMNS), read("dim_product", DIM_PRODUCT_COLUMNS)]
+    fact = read("fact_sales", FACT_COLUMNS)
+    if at is None:
+        return Star(*map(sized, dims), fact, unique_on(fact, "transaction_id"))
+    rows = at["meta"]["rows"]
+    known = [Sized(d, rows[n]) for d, n in zip(dims, ("dim_date", "dim_store", "dim_product"), strict=True)]
+    return Star(*known, fact, at["meta"]["txn_unique"], fact_rows=rows["fact_sales"])
 
 
 def run_marts(

@@ -29,11 +29,15 @@ def _months(star: Star, date_cols: tuple[str, ...]) -> DataFrame:
     return Sized(months, star.dim_date.rows).for_join()
 
 
+def _of_year(rows: DataFrame, column: str, year: int | None, scale: int) -> DataFrame:
+    """Rows of one year, as a range on the stored column: pushed into the scan."""
+    if year is None:
+        return rows
+    return rows.filter(F.col(column).between(year * scale, (year + 1) * scale - 1))
+
+
 def _fact_months(star: Star, year: int | None = None) -> DataFrame:
-    fact = star.fact_sales
-    if year is not None:  # a range on the stored column: pushed into the scan
-        fact = fact.filter(F.col("date_key").between(year * 10000, year * 10000 + 9999))
-    return fact.withColumn("ym", F.expr("date_key div 100"))
+    return _of_year(star.fact_sales, "date_key", year, 10000).withColumn("ym", F.expr("date_key div 100"))
 
 
 def _partial(fact: DataFrame, keys: list[str], measures: tuple[str, ...]) -> DataFrame:
@@ -55,16 +59,25 @@ def category_months(
     measures: tuple[str, ...],
     date_cols: tuple[str, ...] = ("year",),
     extra: tuple[str, ...] = (),
-    fact: DataFrame | None = None,
+    year: int | None = None,
 ) -> DataFrame:
-    """Partial sums with their category and calendar columns."""
-    part = _partial(_fact_months(star) if fact is None else fact, ["product_key", "ym", *extra], measures)
+    """Partial sums with their category and calendar columns (``extra`` may
+    name the discount bucket); from stored partial sums where the star has
+    them, so the fact is not read."""
+    if star.parts:
+        return _of_year(star.parts.category, "ym", year, 100).join(_months(star, date_cols), "ym")
+    fact = _fact_months(star, year)
+    if "discount_bucket" in extra:
+        fact = fact.withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
+    part = _partial(fact, ["product_key", "ym", *extra], measures)
     p = Sized(star.dim_product.df.select("product_key", "category"), star.dim_product.rows).for_join()
     return part.join(p, "product_key").join(_months(star, date_cols), "ym")
 
 
 def store_months(star: Star, measures: tuple[str, ...]) -> DataFrame:
     """Partial sums with their store and year."""
+    if star.parts:
+        return star.parts.store.join(_months(star, ("year",)), "ym")
     part = _partial(_fact_months(star), ["store_key", "ym"], measures)
     s = Sized(star.dim_store.df.select("store_key", "store_id", "city"), star.dim_store.rows).for_join()
     return part.join(s, "store_key").join(_months(star, ("year",)), "ym")
@@ -191,9 +204,8 @@ def store_pl(star: Star, base_year: int, compare_year: int) -> DataFrame:
 
 
 def _leakage_groups(star: Star, year: int | None) -> DataFrame:
-    fact = _fact_months(star, year).withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
     measures = ("gross_revenue", "discount_amount", "net_revenue", "margin")
-    part = category_months(star, measures, extra=("discount_bucket",), fact=fact)
+    part = category_months(star, measures, extra=("discount_bucket",), year=year)
     return part.groupBy("category", "year", "discount_bucket").agg(
         F.sum("n_rows").alias("txn_count"),
         F.sum("gross_revenue").alias("gross_revenue"),

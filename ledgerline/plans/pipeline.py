@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.materialize import materialize, release, tracking
+from ledgerline.operators.materialize import materialize, materialize_bucketed, release, tracking
 from ledgerline.operators.star import Star, build_star
 from ledgerline.operators.validate import COPIES, dq_counts, finish_validation, first_copies
 from ledgerline.sources.adapter import pos_feed
@@ -54,9 +54,11 @@ class Pipeline:
     @cached_property
     def deduped(self) -> DataFrame:
         """Keep-first rows with copy counts, written once (the only full
-        write of the build); staging and the DQ report are scans of it."""
+        write of the build); staging and the DQ report are scans of it.  The
+        keep-first shuffle has dealt the rows by id, so they are stored in
+        buckets and the star needs no further shuffle by id."""
         with tracking(self.materialized):
-            return materialize(first_copies(self.raw), "deduped")
+            return materialize_bucketed(first_copies(self.raw), "deduped", "transaction_id")
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -73,7 +75,7 @@ class Pipeline:
     @cached_property
     def star(self) -> Star:
         with tracking(self.materialized):
-            return build_star(self.staging)
+            return build_star(self.staging, clustered=True)
 
     @property
     def fact(self) -> DataFrame:

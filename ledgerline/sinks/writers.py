@@ -7,11 +7,14 @@ the way the source pipeline's insert chunks bounded its batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerline.operators.star import Star
+from ledgerline.operators.materialize import bucket_count, save_bucketed
+from ledgerline.operators.star import Star, unique_on
 from ledgerline.operators.validate import add_load_time
+from ledgerline.schema import FACT_COLUMNS
+from ledgerline.sinks import files
 
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -63,23 +66,47 @@ def register_staging_table(spark, table: str, path: str, buckets: int) -> None:
     )
 
 
-def write_star(star: Star, base_path: str) -> dict[str, str]:
-    """The four star tables under ``base_path``; the fact table is partitioned
-    by a storage-only ``year`` column derived from ``date_key`` so that
-    year-filtered scans prune partitions."""
-    paths = {}
+def write_star(star: Star, base_path: str, clustered: bool = False, keep: int = files.KEEP) -> dict[str, int]:
+    """Publish the four star tables as a new version under ``base_path``.
+
+    The tables go into a folder of their own; the pointer file is switched
+    last, so a reader sees one whole version, and a crash leaves the old one.
+    The fact is written once in its final layout: partitioned by a
+    storage-only ``year``, bucketed by ``transaction_id`` (an id is in one
+    bucket, so the uniqueness check needs no Exchange) and sorted by day
+    inside a bucket (date ranges prune row groups).  It is dealt to the
+    buckets by one shuffle, which ``clustered`` leaves out for a fact that
+    comes from a table in the same buckets.
+
+    Row counts, unresolved keys and the uniqueness of the ids are kept with
+    the pointer, for the version they hold for.  Returns the counts.
+    """
+    spark = star.fact_sales.sparkSession
+    at = files.current(spark, base_path)
+    version = files.new_version(spark, base_path)
+    path = files.version_path(base_path, version)
+    rows = {}
     for name, df in star.tables().items():
-        path = f"{base_path.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite")
         if name == "fact_sales":
-            df = df.withColumn("year", (F.col("date_key") / 10000).cast("int"))
-            # range-partitioned by day, so a task writes one or two years' files
-            # and date ranges prune row groups; the id splits a busy day
-            df = df.repartitionByRange("date_key", "transaction_id")
-            writer = df.write.mode("overwrite").partitionBy("year")
-        writer.parquet(path)
-        paths[name] = path
-    return paths
+            continue
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        rows[name] = getattr(star, name).rows
+    buckets = bucket_count(spark)
+    seen = Observation()
+    fact = star.fact_sales.select(*FACT_COLUMNS).withColumn("year", F.expr("date_key div 10000").cast("int"))
+    if not clustered:
+        fact = fact.repartition(buckets, "transaction_id")
+    nulls = [F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in ("date_key", "store_key", "product_key")]
+    fact = fact.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls)
+    table = save_bucketed(fact, f"{path}/fact_sales", "transaction_id", buckets, "date_key", "year")
+    counted = seen.get
+    unique = unique_on(spark.table(table), "transaction_id") if star.txn_unique is None else star.txn_unique
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: the files stay
+    rows["fact_sales"] = counted.pop("rows")
+    meta = {"txn_unique": unique, "buckets": buckets, "rows": rows, "unresolved": counted}
+    files.publish(spark, base_path, version, meta, at and at["version"])
+    files.prune(spark, base_path, keep)
+    return rows | counted
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:

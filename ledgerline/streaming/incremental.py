@@ -4,8 +4,9 @@ New POS files dropped into a folder are picked up by a file stream; each
 micro-batch is validated and appended to staging *minus* the transaction ids
 staging already holds (``left_anti``).  The anti-join - not a date high-water
 mark - decides, so a late file with unseen ids below the latest loaded date
-still loads, and a replayed micro-batch (after a failure between the write
-and the commit of the offsets) appends nothing twice.
+still loads.  A ledger keyed by stream and epoch makes a replayed micro-batch
+(after a failure between the write and the commit of the offsets) append and
+count nothing twice.
 
 ``trigger(availableNow=True)`` processes what is there and stops, which is
 how a daily scheduled run uses it; the stream's checkpoint remembers which
@@ -14,7 +15,12 @@ files were already read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,122 +28,156 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators.anti_join import new_rows
 from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.validate import add_load_time, check_columns, validate
+from ledgerline.plans.maintained import apply_delivery
 from ledgerline.schema import RAW_COLUMNS, ROW_SEQ
+from ledgerline.sinks import files
 from ledgerline.sinks.writers import write_staging_table
 from ledgerline.sources.pos_csv import CSV_OPTIONS, RAW_STRING_SCHEMA, natural_path, parse_pos_strings
 
 
-def _staging_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")) or (
-        fs.exists(hpath) and len(fs.listStatus(hpath)) > 0
-    )
+def ledger_path(staging_path: str) -> str:
+    return staging_path.rstrip("/") + "_ledger"
 
 
-def high_water_path(staging_path: str) -> str:
-    return staging_path.rstrip("/") + "_high_water"
+LEDGER_SCHEMA = "stream string, epoch long, state string, date date, rows long, at timestamp"
 
 
-def read_high_water(spark: SparkSession, staging_path: str) -> dict | None:
-    """The high-water mark: latest loaded txn_date, cumulative rows loaded and
-    the last epoch that loaded rows, over the one row kept per epoch."""
-    path = high_water_path(staging_path)
-    if not _staging_exists(spark, path):
+def _entry(staging_path: str, stream_id: str, epoch_id: int, state: str) -> str:
+    return f"{ledger_path(staging_path)}/{stream_id}-{epoch_id}-{state}.json"
+
+
+def _record(spark: SparkSession, staging_path: str, entry: dict) -> None:
+    stamped = entry | {"at": dt.datetime.now(dt.timezone.utc).isoformat()}
+    path = _entry(staging_path, entry["stream"], entry["epoch"], entry["state"])
+    files.write_text(spark, path, json.dumps(stamped))
+
+
+def read_ledger(spark: SparkSession, staging_path: str) -> DataFrame | None:
+    """One row per load and state: ``intent`` before its rows are appended,
+    ``commit`` after.  Loads are keyed by stream and epoch."""
+    if not files.has_data(spark, ledger_path(staging_path)):
         return None
-    marks = spark.read.parquet(path).filter("rows > 0").agg(
-        F.max("date").alias("high_water_date"), F.sum("rows").alias("rows_loaded"), F.max("epoch").alias("last_epoch")
-    )
-    row = marks.first()
-    return row.asDict() if row["rows_loaded"] else None
+    return spark.read.schema(LEDGER_SCHEMA).json(ledger_path(staging_path))
 
 
-def _write_mark(spark: SparkSession, staging_path: str, epoch_id: int, date, rows: int) -> None:
-    """One row per epoch, in the epoch's own folder.  It is written before the
-    rows are appended, so no crash can lose it.  A replay after the append
-    finds no new rows and leaves the mark; a replay before it writes the same
-    mark again."""
-    path = f"{high_water_path(staging_path)}/epoch={epoch_id}"
-    if rows or not _staging_exists(spark, path):
-        df = spark.createDataFrame([(date, rows)], "date date, rows long")
-        df.coalesce(1).write.mode("overwrite").parquet(path)
+def read_high_water(spark: SparkSession, staging_path: str) -> dict | None:
+    """The high-water mark over all committed loads that brought rows: latest
+    txn_date, cumulative rows, number of loads and the epoch of the last."""
+    ledger = read_ledger(spark, staging_path)
+    if ledger is None:
+        return None
+    row = ledger.filter("state = 'commit' AND rows > 0").agg(
+        F.max("date").alias("high_water_date"),
+        F.sum("rows").alias("rows_loaded"),
+        F.count(F.lit(1)).alias("loads"),
+        F.max_by("epoch", "at").alias("last_epoch"),
+    ).first()
+    return row.asDict() if row["loads"] else None
 
 
 def load_batch(
     batch: DataFrame,
     staging_path: str,
-    epoch_id: int = -1,
+    epoch_id: int | None = None,
     staging_table: str | None = None,
     buckets: int | None = None,
+    stream_id: str | None = None,
 ) -> int:
     """Validate one batch and append the rows staging does not hold yet.
 
-    Also advances the high-water table from this batch alone (no re-scan of
-    staging).  It is informative: late rows below it still load, because
-    the anti-join decides.  Returns the number of rows appended.
+    A load is keyed by (``stream_id``, ``epoch_id``); without an epoch it is a
+    load of its own.  Its ledger says before the append what it brings (the
+    intent) and after it that it is done (the commit):
+
+    * a replay after the commit does nothing;
+    * a replay after the intent appends the rows that the crashed append left
+      out (the anti-join finds them) and commits the counts of the intent,
+      which was made when staging held none of them;
+    * a replay before the intent is the first run.
+
+    So the high-water mark never counts a load twice, loses one, or goes
+    back, also when a stream starts anew with a checkpoint of its own.  The
+    mark informs; late rows below it still load, because the anti-join
+    decides.  Returns the rows that the load brings (0 for a replay of a
+    committed one).
     """
     spark = batch.sparkSession
+    if epoch_id is None:
+        stream_id, epoch_id = f"direct-{uuid.uuid4().hex}", 0
+    key = (staging_path, stream_id or "direct", epoch_id)
+    if files.exists(spark, _entry(*key, "commit")):
+        return 0
     temp: list[str] = []
     with tracking(temp):
-        n = _append_new(spark, batch, staging_path, epoch_id, staging_table, buckets)
+        entry = _append_new(spark, batch, key, staging_table, buckets)
+    _record(spark, staging_path, entry | {"state": "commit"})
     release(spark, temp)  # the batch's intermediate tables
-    return n
+    return entry["rows"]
 
 
 def _append_new(
     spark: SparkSession,
     batch: DataFrame,
-    staging_path: str,
-    epoch_id: int,
+    key: tuple[str, str, int],
     staging_table: str | None,
     buckets: int | None,
-) -> int:
-    typed = parse_pos_strings(batch)
-    fresh = validate(typed)
+) -> dict:
+    staging_path, stream_id, epoch_id = key
+    fresh = validate(parse_pos_strings(batch))
     if staging_table:
         # bucketed by transaction_id: the anti-join never shuffles staging
         exists = spark.catalog.tableExists(staging_table)
         target = spark.table(staging_table) if exists else None
     else:
-        exists = _staging_exists(spark, staging_path)
+        exists = files.has_data(spark, staging_path)
         target = spark.read.parquet(staging_path) if exists else None
     if target is not None:
         fresh = new_rows(fresh, target, "transaction_id")
     # Freeze the batch's new rows first: evaluated again after the append,
     # the anti-join would find them in staging and drop them.
-    fresh = materialize(add_load_time(fresh), "batch_new")
-    # the batch's own aggregate is enough for the high-water mark
-    stats = fresh.agg(F.max("txn_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
-    _write_mark(spark, staging_path, epoch_id, stats["d"], stats["n"])
+    seen = Observation()
+    fresh = add_load_time(fresh).observe(seen, F.max("txn_date").alias("d"), F.count(F.lit(1)).alias("n"))
+    fresh = materialize(fresh, "batch_new")
+    planned = files.read_text(spark, _entry(*key, "intent"))
+    if planned is None:
+        # counted while the batch was written; no second pass, no staging scan
+        date = seen.get["d"]
+        entry = {"stream": stream_id, "epoch": epoch_id, "date": date and date.isoformat(), "rows": seen.get["n"]}
+        _record(spark, staging_path, entry | {"state": "intent"})
+    else:
+        entry = {k: v for k, v in json.loads(planned).items() if k not in ("state", "at")}
     if staging_table:
         write_staging_table(fresh, staging_table, staging_path, buckets or 64, mode="append" if exists else "overwrite")
     else:
         fresh.write.mode("append").parquet(staging_path)
-    return stats["n"]
+    return entry
+
+
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The stream's own id, which its checkpoint folder keeps over restarts."""
+    return json.loads(files.read_text(spark, f"{checkpoint_location.rstrip('/')}/metadata"))["id"]
 
 
 def header_schema(spark: SparkSession, source_dir: str) -> T.StructType:
     """String columns in the order of the files' own header, so deliveries
     with extra or reordered columns load like in the batch reader; a missing
     required column fails.  An empty folder expects the plain columns."""
-    if not _staging_exists(spark, source_dir):
+    if not files.has_data(spark, source_dir):
         return RAW_STRING_SCHEMA
     names = spark.read.options(**CSV_OPTIONS).csv(source_dir).columns
     check_columns(names)
     return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
 
-def start_incremental_load(
+def _start(
     spark: SparkSession,
     source_dir: str,
-    staging_path: str,
     checkpoint_location: str,
-    available_now: bool = True,
-    processing_time: str | None = None,
-    staging_table: str | None = None,
-    buckets: int | None = None,
+    per_batch: Callable[[DataFrame, str, int], object],
+    available_now: bool,
+    processing_time: str | None,
 ) -> StreamingQuery:
+    """Stream the folder's files to ``per_batch(lines, stream id, epoch)``."""
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("inferSchema",)}
     stream = (
         spark.readStream.schema(header_schema(spark, source_dir))
@@ -153,15 +193,15 @@ def start_incremental_load(
         )
     )
 
-    def per_batch(batch: DataFrame, epoch_id: int) -> None:
+    def ordered(batch: DataFrame, epoch_id: int) -> None:
         # File order inside the batch: (file, block) then position in the split.
-        ordered = batch.select(
+        lines = batch.select(
             "*",
             F.struct(F.col("_file.f"), F.col("_file.b"), F.monotonically_increasing_id().alias("i")).alias(ROW_SEQ),
         ).select(*RAW_COLUMNS, ROW_SEQ)
-        load_batch(ordered, staging_path, epoch_id, staging_table, buckets)
+        per_batch(lines, stream_id(spark, checkpoint_location), epoch_id)
 
-    writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
+    writer = stream.writeStream.foreachBatch(ordered).option("checkpointLocation", checkpoint_location)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -169,10 +209,45 @@ def start_incremental_load(
     return writer.start()
 
 
+def start_incremental_load(
+    spark: SparkSession,
+    source_dir: str,
+    staging_path: str,
+    checkpoint_location: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    staging_table: str | None = None,
+    buckets: int | None = None,
+) -> StreamingQuery:
+    """Append each new file's unseen transactions to staging."""
+
+    def load(lines: DataFrame, stream: str, epoch: int) -> None:
+        load_batch(lines, staging_path, epoch, staging_table, buckets, stream)
+
+    return _start(spark, source_dir, checkpoint_location, load, available_now, processing_time)
+
+
+def start_maintained_load(
+    spark: SparkSession,
+    source_dir: str,
+    base: str,
+    checkpoint_location: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Commit each micro-batch as a delivery of the maintained star and marts
+    under ``base`` (:mod:`ledgerline.plans.maintained`)."""
+
+    def load(lines: DataFrame, stream: str, epoch: int) -> None:
+        apply_delivery(spark, base, parse_pos_strings(lines), stream, epoch)
+
+    return _start(spark, source_dir, checkpoint_location, load, available_now, processing_time)
+
+
 def run_incremental_load(spark: SparkSession, source_dir: str, staging_path: str, checkpoint_location: str) -> int:
     """Process every file that is there now, then stop; returns staging rows."""
     q = start_incremental_load(spark, source_dir, staging_path, checkpoint_location, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:  # pragma: no cover
         raise q.exception()
-    return spark.read.parquet(staging_path).count() if _staging_exists(spark, staging_path) else 0
+    return spark.read.parquet(staging_path).count() if files.has_data(spark, staging_path) else 0

@@ -77,32 +77,6 @@ def test_run_star_reports_unresolved_keys(spark, tmp_path):
     assert sizes["fact_sales"] == 3 and sizes["null_store_key"] == 0
 
 
-def test_a_crash_between_mark_and_append_is_replayed(spark, tmp_path, monkeypatch):
-    from pyspark.sql.readwriter import DataFrameWriter
-
-    from ledgerline.streaming import incremental as inc
-
-    staging = f"{tmp_path}/staging"
-    rows = [tuple(line(f"T{i}").split(",")) for i in range(4)]
-    batch = spark.createDataFrame(rows, inc.RAW_STRING_SCHEMA).withColumn("_row_seq", F.struct(F.lit(1).alias("i")))
-    append = DataFrameWriter.parquet
-
-    def crash(self, path, *args, **kwargs):
-        if path == staging:
-            raise RuntimeError("lost")
-        return append(self, path, *args, **kwargs)
-
-    monkeypatch.setattr(DataFrameWriter, "parquet", crash)
-    with pytest.raises(RuntimeError, match="lost"):
-        inc.load_batch(batch, staging, 7)
-    monkeypatch.undo()
-    for _ in range(2):  # the replay, and one more after the append
-        inc.load_batch(batch, staging, 7)
-        assert spark.read.parquet(staging).count() == 4
-        mark = inc.read_high_water(spark, staging)
-        assert (mark["high_water_date"], mark["rows_loaded"], mark["last_epoch"]) == (dt.date(2024, 1, 15), 4, 7)
-
-
 def test_the_stream_takes_extra_and_reordered_columns(spark, tmp_path):
     from ledgerline.streaming.incremental import run_incremental_load
 

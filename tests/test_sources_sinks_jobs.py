@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from ledgerline.sinks import files
 from tests_support import SF_SMOKE
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def test_jobs_end_to_end(spark):
     assert "loaded_at" in spark.read.parquet(f"{d}/staging").columns
     counts = jobs.run_star(spark, f"{d}/staging", f"{d}/star")
     assert counts["fact_sales"] == dq["rows_accepted"]
-    assert os.path.isdir(f"{d}/star/fact_sales/year=1999")
+    assert os.path.isdir(files.current(spark, f"{d}/star")["path"] + "/fact_sales/year=1999")
     marts = jobs.run_marts(spark, f"{d}/star", f"{d}/out")
     assert marts["revenue_decomposition"] == 6 and marts["waterfall_points"] == 6
     top = jobs.run_anomaly(spark, f"{d}/star", f"{d}/out", table_name="watch_test")
