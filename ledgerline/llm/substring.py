@@ -4,33 +4,36 @@ A window is 13 consecutive words.  A word goes when a window covers it whose
 words also start in a document with a smaller id.
 
 Streaming every document through the index of every shard would make the
-work grow with the square of the input, so passages are routed first:
+work grow with the square of the input, so passages are routed first, and
+each index decides what was routed to it:
 
-1. A window's anchor is its 5-word run with the smallest hash, so equal
+1. A window's anchor is its 8-word run with the smallest hash, so equal
    windows have equal anchors.  Each text is cut into segments, the runs of
    consecutive windows with one anchor.  Only (anchor, content hash,
-   document, place) of a segment is shuffled, by anchor; segments that a
-   smaller document of the same batch has too are settled before that, so a
-   passage of any number of copies sends one open row per batch.
-2. In a stream over the sorted rows, segments of equal content resolve at
-   once: all windows of the later documents go.  An anchor with one content,
-   or all of whose contents start in one document, is done.
-3. The other anchors (passages cut differently by their surroundings) have
-   their distinct contents fetched.  Consecutive anchors fill shards of
-   ``SHARD_WORDS`` words; each shard is an FM-index (wavelet matrix) with the
-   smallest document per suffix interval, and the segments are streamed
-   through it: matching statistics by backward search give, for every place,
-   whether a match of the threshold length ends there, and in which document
-   it lies first.
-4. An anchor with more than ``HOT_CONTENTS`` contents would not fit a shard.
-   Its segments are cut into single windows, which then resolve as in 2.
-5. The covered windows return per document as short codes and are applied to
-   its text.
+   document, place) of a segment is shuffled, by anchor.  Of the rows of one
+   batch with equal content only the first document's needs to meet its
+   anchor; the others are known to have a partner and are dealt out evenly,
+   so copies of a passage do not meet in one task.
+2. A stream over the sorted rows drops the anchors that lie in one document.
+3. The distinct contents of the other anchors are fetched from the first
+   document that has them.  Anchors with more than ``HOT_CONTENTS`` contents
+   (a frequent phrase in ever new surroundings) are routed once more, by
+   whole windows, so that no group grows beyond that number.
+4. Consecutive anchors fill shards of ``SHARD_WORDS`` words.  Each shard is an
+   FM-index (wavelet matrix) with the smallest document per suffix interval,
+   and the contents are streamed through it: matching statistics by backward
+   search give, for every place, whether a match of the threshold length ends
+   there, and the first document that has it.  Copies of one content share
+   its answer; every removal comes from such a match.
+5. The answers join the segments' rows; the covered windows return per
+   document as short codes and are applied to its text.
 
 Defined results: null text has no words; a null id orders after all others;
-rows that share an id are one document, each text with its own places;
-repeated rows get the same result; other columns are ignored; an empty table
-gives an empty result.
+rows that share an id are one document, each text with its own places (its
+number among the texts of shared ids is part of the key); repeated rows get
+the same result; very long texts are cut, hashed and applied whole, one text
+in memory at a time; other columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -45,11 +48,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.common import Sized, col, materialize, read_docs, runs, ship_package, text_of
+from ledgerline.operators.sequence import with_row_index_counted
 
 WINDOW = 13
-ANCHOR = 5
+ANCHOR = 8
 SHARD_WORDS = 400_000
-HOT_CONTENTS = 50_000
+HOT_CONTENTS = 20_000
 _LAST = (1 << 63) - 1
 _SPAN = WINDOW - ANCHOR + 1  # most windows of a segment
 
@@ -71,39 +75,59 @@ def segments(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * power[:-1])))
     inverse = _powers(np.uint64(pow(int(_ROLL), -1, 1 << 64)), len(words) + 1)
     content = mix((total[start + count + WINDOW - 1] - total[start]) * inverse[start] + count.astype(np.uint64))
-    content[content == 0] = 1  # 0 marks segments that are resolved already
     return grams[place[start]], content, start, count
 
 
+_TAGS = 1 << 29
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, tag, text): doc is the id with null last; tag tells texts that
-    share an id apart (29 bits of the text's hash)."""
+    """(doc, tag, text): doc is the id with null last; tag is 0, or the number
+    of the text among all texts of ids that have several."""
     text = text_of(text_col)
-    tag = F.shiftrightunsigned(F.xxhash64(text), 35).cast("bigint")
-    return docs.select(F.coalesce(col(id_col).cast("bigint"), F.lit(_LAST)).alias("doc"), tag.alias("tag"), text.alias("text"))
+    rows = docs.select(
+        F.coalesce(col(id_col).cast("bigint"), F.lit(_LAST)).alias("doc"), F.xxhash64(text).alias("h"), text.alias("text")
+    )
+    per_id = rows.groupBy("doc").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+    shared = materialize(per_id.filter("a <> b").select("doc"), "shared-ids")
+    n = shared.count()
+    if not n:
+        return rows.select("doc", F.lit(0).cast("bigint").alias("tag"), "text")
+    pairs = rows.select("doc", "h").join(Sized(shared, n).for_join(), "doc").distinct()
+    tags, count = with_row_index_counted(pairs, [F.col("doc"), F.col("h")], "tag")
+    if count > _TAGS:
+        raise ValueError(f"{count} texts share their ids with other texts; at most {_TAGS} can be told apart")
+    tags = Sized(tags, count).for_join()
+    return rows.join(tags, ["doc", "h"], "left").select("doc", F.coalesce("tag", F.lit(0).cast("bigint")).alias("tag"), "text")
 
 
 _ROW = T.StructType([T.StructField(c, T.LongType()) for c in ("anchor", "content", "doc", "place")])
+_ROUTED = T.StructType([T.StructField("route", T.LongType()), *_ROW.fields])
+_SHARED = 8  # flag beside a segment's number of windows: its batch holds a partner
 
 
 def _place(tag, start, count):
     return (tag << 34) | (start << 4) | count
 
 
-def _combined(t: np.ndarray) -> np.ndarray:
-    """A combiner before the shuffle: a segment whose content a smaller
-    document of the same batch has as well is covered.  Its row keeps only
-    the document and place; content 0 and a scattered anchor say so."""
+def _routed(t: np.ndarray) -> np.ndarray:
+    """Rows (anchor, content, doc, place) of one batch with the key they are
+    dealt out by: the anchor, or a scattered one where the first document of
+    that content in the batch stands for the row."""
     from ledgerline.llm.words import mix
 
     order = np.lexsort((t[2], t[1], t[0]))
     s = t[:, order]
     new = np.ones(s.shape[1], dtype=bool)
     new[1:] = (s[0][1:] != s[0][:-1]) | (s[1][1:] != s[1][:-1])
-    covered = s[2] > s[2][np.maximum.accumulate(np.where(new, np.arange(s.shape[1]), 0))]
-    s[0, covered] = mix((s[2] * 31 + s[3])[covered].view(np.uint64)).view(np.int64)
-    s[1, covered] = 0
-    return s
+    group = np.maximum.accumulate(np.where(new, np.arange(s.shape[1]), 0))
+    later = s[2] > s[2][group]
+    route = s[0].copy()
+    route[later] = mix((s[2] * 31 + s[3])[later].view(np.uint64)).view(np.int64)
+    first = np.flatnonzero(new)
+    shared = np.add.reduceat(later, first) > 0
+    s[3] |= np.where(shared[np.cumsum(new) - 1], _SHARED, 0)
+    return np.concatenate([route[None], s])
 
 
 def segment_rows(texts: DataFrame) -> DataFrame:
@@ -122,85 +146,56 @@ def segment_rows(texts: DataFrame) -> DataFrame:
                 parts[2].append(np.full(len(start), doc, dtype=np.int64))
                 parts[3].append(_place(int(tag), start.astype(np.int64), count.astype(np.int64)))
             if sum(map(len, parts[0])):
-                table = _combined(np.stack([np.concatenate(p) for p in parts]))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table], names=_ROW.names)
+                table = _routed(np.stack([np.concatenate(p) for p in parts]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table], names=_ROUTED.names)
 
-    return texts.mapInArrow(cut, _ROW)
+    return texts.mapInArrow(cut, _ROUTED)
 
 
-def resolved(rows: DataFrame) -> DataFrame:
-    """``rows`` by anchor, content and document: with ``open`` false the whole
-    segment is covered; with ``open`` true the anchor has other contents in
-    other documents to compare with.  All other rows are dropped."""
-    rows = rows.repartition("anchor").sortWithinPartitions("anchor", "content", "doc", "place")
-    schema = T.StructType([*_ROW.fields, T.StructField("open", T.BooleanType())])
+def shared_segments(rows: DataFrame) -> DataFrame:
+    """The rows whose anchor lies in at least two documents."""
+    rows = rows.repartition("route").sortWithinPartitions("route", "doc")
 
-    def resolve(batches: Iterator) -> Iterator:
+    def keep(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def out(table: np.ndarray, is_open: bool) -> pa.RecordBatch:
-            flags = pa.array(np.full(table.shape[1], is_open))
-            return pa.RecordBatch.from_arrays([*[pa.array(c) for c in table], flags], names=schema.names)
-
-        def settle(heads: np.ndarray) -> np.ndarray:
-            """Rows of the anchors whose contents start in several documents."""
-            new = np.concatenate(([True], heads[0][1:] != heads[0][:-1]))
-            at = np.flatnonzero(new)
-            several = np.minimum.reduceat(heads[2], at) < np.maximum.reduceat(heads[2], at)
-            return heads[:, several[np.cumsum(new) - 1]]
+        def out(t: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*map(pa.array, t[1:4]), pa.array(t[4] & ~_SHARED)], names=_ROW.names)
 
-        held: list[np.ndarray] = []  # uncovered rows of the anchor that is not over yet
-        held_anchor = None
-        last = None  # anchor, content and first document of the row before
+        # rows of the anchor that is not over yet: all of one document, so no
+        # more than one text has
+        held = np.empty((5, 0), dtype=np.int64)
+        known = None  # the anchor that is not over yet, if it is shared
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t = np.stack([batch.column(i).to_numpy() for i in range(4)])
-            done = t[1] == 0
-            if done.any():
-                whole, t = t[:, done], t[:, ~done]
-                whole[0] = 0
-                yield out(whole, False)
-                if not t.shape[1]:
-                    continue
-            new = np.ones(t.shape[1], dtype=bool)
-            new[1:] = (t[0][1:] != t[0][:-1]) | (t[1][1:] != t[1][:-1])
-            if last is not None:
-                new[0] = (t[0][0], t[1][0]) != last[:2]
-            origin = np.maximum.accumulate(np.where(new, np.arange(t.shape[1]), -1))
-            first = np.where(origin >= 0, t[2][origin], 0 if last is None else last[2])
-            covered = t[2] > first
-            if covered.any():
-                whole = t[:, covered]
-                whole[:2] = 0
-                yield out(whole, False)
-            last = (t[0][-1], t[1][-1], first[-1])
-            heads = t[:, ~covered]
-            anchor = t[0][-1]
-            if held_anchor == anchor:  # so is the whole batch
-                held.append(heads)
-                continue
-            heads = np.concatenate([*held, heads], axis=1)
-            over, held = heads[:, heads[0] != anchor], [heads[:, heads[0] == anchor]]
-            held_anchor = anchor
-            if over.shape[1] and (rows_ := settle(over)).shape[1]:
-                yield out(rows_, True)
-        if held and (heads := np.concatenate(held, axis=1)).shape[1]:
-            if (rows_ := settle(heads)).shape[1]:
-                yield out(rows_, True)
-
-    return rows.mapInArrow(resolve, schema)
+            t = np.concatenate([held, np.stack([batch.column(i).to_numpy() for i in range(5)])], axis=1)
+            new = np.concatenate(([True], t[0][1:] != t[0][:-1]))
+            at = np.flatnonzero(new)
+            marked = ((t[4] & _SHARED) > 0) | (t[0] != t[1])
+            several = np.minimum.reduceat(t[2], at) < np.maximum.reduceat(t[2], at)
+            several |= np.logical_or.reduceat(marked, at)
+            if known is not None and t[0][0] == known:
+                several[0] = True
+            known = t[0][-1] if several[-1] else None
+            last = at[-1] if known is None else t.shape[1]
+            chosen = several[np.cumsum(new) - 1]
+            chosen[last:] = False
+            held = t[:, last:]
+            if chosen.any():
+                yield out(t[:, chosen])
+
+    return rows.mapInArrow(keep, _ROW)
 
 
 def contents(wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    """(anchor, content, doc, words) of one row per wanted content; ``words``
-    are the segment's word hashes."""
+    """``wanted`` rows (anchor, content, doc, place, last) with the ``words``
+    of the segment, as hashes, from the text that holds it (from every one of
+    repeated rows)."""
     places = wanted.withColumn("tag", F.shiftrightunsigned("place", 34))
-    per_text = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("anchor", "content", "place")).alias("at"))
-    per_text = materialize(per_text, "places")
-    n_places = per_text.agg(F.sum(F.size("at"))).first()[0] or 0
-    joined = texts.join(Sized(per_text, n_places).for_join(max_rows=250_000), ["doc", "tag"])
-    schema = "anchor bigint, content bigint, doc bigint, words binary"
+    entry = F.struct("anchor", "content", "place", "last")
+    per_text = places.groupBy("doc", "tag").agg(F.collect_list(entry).alias("at"))  # bounded by the text
+    joined = texts.join(per_text, ["doc", "tag"])
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from ledgerline.llm.words import word_hashes
@@ -210,16 +205,21 @@ def contents(wanted: DataFrame, texts: DataFrame) -> DataFrame:
             for doc, text, at in zip(batch["doc"], batch["text"], batch["at"], strict=True):
                 words = word_hashes(text)
                 for p in at:
-                    start, count = (p["place"] >> 4) & ((1 << 30) - 1), p["place"] & 15
-                    out.append((p["anchor"], p["content"], doc, words[start : start + count + WINDOW - 1].tobytes()))
-            yield pd.DataFrame(out, columns=["anchor", "content", "doc", "words"])
+                    start, count = (p["place"] >> 4) & ((1 << 30) - 1), p["place"] & 7
+                    out.append((p["anchor"], p["content"], doc, p["last"], words[start : start + count + WINDOW - 1].tobytes()))
+            yield pd.DataFrame(out, columns=["anchor", "content", "doc", "last", "words"])
+
+    return joined.select("doc", "text", "at").mapInPandas(fetch, _CONTENT)
 
-    return joined.select("doc", "text", "at").mapInPandas(fetch, schema).dropDuplicates(["anchor", "content"])
+
+_CONTENT = "anchor bigint, content bigint, doc bigint, last bigint, words binary"
+_LEAST = [f"least{i}" for i in range(_SPAN)]
 
 
 def search_shard(frame: pd.DataFrame) -> pd.DataFrame:
-    """Index a shard's contents and stream them through it: which windows of
-    each content also start in a smaller document (one bit per window)."""
+    """Index a shard's contents and stream them through it: for every window
+    of each content the first document that has it.  Contents of which no
+    document after that has a copy are left out."""
     from ledgerline.llm.fmindex import FMIndex
 
     parts = [np.frombuffer(w, dtype=np.uint64) for w in frame["words"]]
@@ -238,22 +238,24 @@ def search_shard(frame: pd.DataFrame) -> pd.DataFrame:
     ends = first[owner] + nth + WINDOW
     length, lo, hi = index.matching(text, ends, WINDOW)
     hit = length >= WINDOW
-    smaller = np.zeros(len(ends), dtype=bool)
-    smaller[hit] = index.least(lo[hit], hi[hit]) < rank[owner[hit]]
-    mask = np.bincount(owner[smaller], weights=(1 << nth[smaller]).astype(np.float64), minlength=len(parts))
-    out = frame[["anchor", "content"]].assign(mask=mask.astype(np.int64))
-    return out[out["mask"] > 0]
+    least = np.full((len(parts), _SPAN), _LAST, dtype=np.int64)
+    least[owner[hit], nth[hit]] = docs[index.least(lo[hit], hi[hit])]
+    out = pd.DataFrame(least, columns=_LEAST)
+    out.insert(0, "anchor", frame["anchor"].to_numpy())
+    out.insert(1, "content", frame["content"].to_numpy())
+    return out[least.min(axis=1) < frame["last"].to_numpy()]
 
 
 def searched(found: DataFrame) -> DataFrame:
-    """(anchor, content, mask) with a smaller document's windows; whole
-    anchors go to one shard, and a partition is cut into as many shards as
-    its words fill."""
+    """(anchor, content, least0, ...): the first document of each window of
+    the contents.  Whole anchors go to one shard, and a partition is cut into
+    as many shards as its words fill."""
     rows = found.repartition("anchor").sortWithinPartitions("anchor", "content")
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, words = [], 0
         for _, frame in runs(batches, ["anchor"]):
+            frame = frame.drop_duplicates("content")
             shard.append(frame)
             words += int(frame["words"].map(len).sum()) // 8
             if words >= SHARD_WORDS:
@@ -262,52 +264,78 @@ def searched(found: DataFrame) -> DataFrame:
         if shard:
             yield search_shard(pd.concat(shard, ignore_index=True))
 
-    return rows.mapInPandas(search, "anchor bigint, content bigint, mask bigint")
+    fields = ", ".join(f"{c} bigint" for c in ["anchor", "content", *_LEAST])
+    return rows.mapInPandas(search, fields)
 
 
-def single_windows(found: DataFrame, open_rows: DataFrame) -> DataFrame:
-    """Segments of hot anchors as rows of one window each."""
+def single_windows(rows: DataFrame) -> DataFrame:
+    """Segments with their words as rows of one window each, whose anchor is
+    the window itself."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from ledgerline.llm.words import gram_hashes, mix
 
         for batch in batches:
             frames = []
-            for _, r in batch.iterrows():
-                words = np.frombuffer(r["words"], dtype=np.uint64)
+            for doc, place, raw in zip(batch["doc"], batch["place"], batch["words"], strict=True):
+                words = np.frombuffer(raw, dtype=np.uint64)
                 h = gram_hashes(words, WINDOW)
-                second = gram_hashes(mix(words + np.uint64(1)), WINDOW) | np.uint64(1)
+                second = gram_hashes(mix(words + np.uint64(1)), WINDOW)
+                windows = np.lib.stride_tricks.sliding_window_view(words, WINDOW)
                 frames.append(
                     pd.DataFrame(
-                        {"anchor": h.view(np.int64), "content": second.view(np.int64), "doc": r["doc"],
-                         "place": (r["place"] & ~np.int64(15)) + (np.arange(len(h)) << 4) + 1}
+                        {"anchor": h.view(np.int64), "content": second.view(np.int64), "doc": doc,
+                         "place": (int(place) & ~15) + (np.arange(len(h)) << 4) + 1,
+                         "words": [w.tobytes() for w in windows]}
                     )
                 )
-            yield pd.concat(frames) if frames else pd.DataFrame({c: [] for c in _ROW.names}, dtype="int64")
+            if frames:
+                yield pd.concat(frames)
+
+    return rows.select("doc", "place", "words").mapInPandas(cut, "anchor bigint, content bigint, doc bigint, place bigint, words binary")
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """Each distinct content with the first document that has it, a place
+    there, and the last document."""
+    out = rows.groupBy("anchor", "content").agg(F.min(F.struct("doc", "place")).alias("f"), F.max("doc").alias("last"))
+    return out.select("anchor", "content", "f.doc", "f.place", "last")
 
-    rows = open_rows.join(found.select("anchor", "content", "words"), ["anchor", "content"])
-    return rows.select("doc", "place", "words").mapInPandas(cut, _ROW)
 
+def _answered(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, place, mask) of the segments with a window (bit) that a smaller
+    document has as well, by the answers of the index."""
+    hits = rows.join(searched(found), ["anchor", "content"])
+    mask = F.lit(0).cast("bigint")
+    for i, c in enumerate(_LEAST):
+        mask = mask + F.when(F.col(c) < F.col("doc"), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return hits.select("doc", "place", mask.alias("mask")).filter("mask > 0")
 
-def covered_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def covered_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: DataFrame | None = None) -> DataFrame:
     """(doc, tag, code): windows start + i for the bits i of code & 511, with
     start = code >> 9."""
     ship_package(docs.sparkSession)
-    texts = keyed(docs, id_col, text_col)
-    first = materialize(resolved(segment_rows(texts)), "segments")
-    open_rows = first.filter("open").drop("open")
-    sizes = open_rows.groupBy("anchor").agg(F.countDistinct("content").alias("contents"))
+    texts = keyed(docs, id_col, text_col) if texts is None else texts
+    rows = materialize(shared_segments(segment_rows(texts)), "segments")
+    found = materialize(contents(_firsts(rows), texts), "contents")
+    sizes = found.groupBy("anchor").agg(F.countDistinct("content").alias("contents"))
     hot = materialize(sizes.filter(F.col("contents") > HOT_CONTENTS).select("anchor"), "hot")
-    found = materialize(contents(open_rows.dropDuplicates(["anchor", "content"]), texts), "contents")
-    masks = searched(found.join(hot, "anchor", "left_anti"))
-    partly = open_rows.join(masks, ["anchor", "content"]).select("doc", "place", "mask")
-    split = resolved(single_windows(found.join(hot, "anchor"), open_rows)).filter("NOT open")
-    whole = first.filter("NOT open").select("doc", "place").unionByName(split.select("doc", "place"))
-    full = F.expr("shiftleft(1L, CAST(place & 15 AS INT)) - 1")
-    rows = whole.withColumn("mask", full).unionByName(partly)
+    n_hot = hot.count()
+    if not n_hot:
+        hits = _answered(rows, found)
+    else:
+        hot = Sized(hot, n_hot).for_join()
+        hits = _answered(rows.join(hot, "anchor", "left_anti"), found.join(hot, "anchor", "left_anti"))
+        words = found.join(hot, "anchor", "left_semi").groupBy("anchor", "content").agg(F.first("words").alias("words"))
+        long = rows.join(words, ["anchor", "content"])
+        single = materialize(single_windows(long), "windows")
+        one = single.groupBy("anchor", "content").agg(
+            F.min("doc").alias("doc"), F.max("doc").alias("last"), F.first("words").alias("words"))
+        hits = hits.unionByName(_answered(single.drop("words"), one))
     start = F.shiftright("place", 4).bitwiseAND(F.lit((1 << 30) - 1).cast("bigint"))
     code = F.shiftleft(start, 9).bitwiseOR(F.col("mask"))
-    return rows.select("doc", F.shiftrightunsigned("place", 34).alias("tag"), code.alias("code"))
+    return hits.select("doc", F.shiftrightunsigned("place", 34).alias("tag"), code.alias("code"))
 
 
 def kept_words(text: str, codes: np.ndarray) -> tuple[int, int, bytes]:
@@ -334,8 +362,9 @@ def kept_words(text: str, codes: np.ndarray) -> tuple[int, int, bytes]:
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and the kept text) per row."""
-    codes = covered_windows(docs, id_col, text_col).groupBy("doc", "tag").agg(F.collect_list("code").alias("codes"))
-    rows = keyed(docs, id_col, text_col).join(codes, ["doc", "tag"], "left")
+    texts = keyed(docs, id_col, text_col)
+    codes = covered_windows(docs, id_col, text_col, texts).groupBy("doc", "tag").agg(F.collect_list("code").alias("codes"))
+    rows = texts.join(codes, ["doc", "tag"], "left")
     schema = "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept string" if with_text else "")
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

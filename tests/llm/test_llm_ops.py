@@ -344,6 +344,33 @@ def test_op9_small_shards_and_hot_anchors(spark, docs_dir, documents, monkeypatc
     same_rows(run(spark, "op9_substring_dedup", docs_dir), expected)
 
 
+def test_op9_texts_that_share_an_id_keep_their_own_places(spark, tmp_path):
+    from llm_support import write_documents
+
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [{"doc_id": 5, "text": passage + " end"}]
+    for i in range(40):  # one id, many texts, the passage at another place in each
+        rows.append({"doc_id": None if i % 2 else 9, "text": " ".join(f"w{i}x{k}" for k in range(i)) + " " + passage + f" t{i}"})
+    rows = [r | {"lang": "", "source": "", "n_chars": 0} for r in rows]
+    expected = [
+        {"doc_id": r["doc_id"], "n_words": n, "n_removed": m, "kept_sha256": brute.sha(k)}
+        for r, (n, m, k) in zip(rows, brute.substring_dedup(rows), strict=True)
+    ]
+    assert sum(e["n_removed"] == 20 for e in expected) == 40
+    same_rows(run(spark, "op9_substring_dedup", write_documents(tmp_path / "d", rows)), expected)
+
+
+def test_op9_every_removal_is_a_match_in_an_index(spark, docs_dir, documents, monkeypatch):
+    """With an index that finds nothing, nothing goes."""
+    from ledgerline.llm import substring
+
+    docs = spark.read.parquet(f"{docs_dir}/documents.parquet")
+    assert substring.covered_windows(docs).count() > 30
+    monkeypatch.setattr(substring, "searched", lambda found: found.selectExpr(
+        "anchor", "content", *[f"{substring._LAST} AS {c}" for c in substring._LEAST]))
+    assert substring.covered_windows(docs).count() == 0
+
+
 def test_fm_index_against_brute_force():
     import numpy as np
 
