@@ -173,7 +173,7 @@ def shared_segments(rows: DataFrame) -> DataFrame:
             new = np.concatenate(([True], t[0][1:] != t[0][:-1]))
             at = np.flatnonzero(new)
             marked = ((t[4] & _SHARED) > 0) | (t[0] != t[1])
-            several = np.minimum.reduceat(t[2], at) < np.maximum.reduceat(t[2], at)
+            several = np.minimum.reduceat(t[3], at) < np.maximum.reduceat(t[3], at)
             several |= np.logical_or.reduceat(marked, at)
             if known is not None and t[0][0] == known:
                 several[0] = True
