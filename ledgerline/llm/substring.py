@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import Sized, col, materialize, read_docs, runs, ship_package, text_of
+from ledgerline.llm.common import Sized, col, materialize, read_docs, ship_package, text_of
 from ledgerline.operators.sequence import with_row_index_counted
 
 WINDOW = 13
@@ -197,75 +197,110 @@ def contents(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     per_text = places.groupBy("doc", "tag").agg(F.collect_list(entry).alias("at"))  # bounded by the text
     joined = texts.join(per_text, ["doc", "tag"])
 
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fetch(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         from ledgerline.llm.words import word_hashes
 
         for batch in batches:
-            out = []
-            for doc, text, at in zip(batch["doc"], batch["text"], batch["at"], strict=True):
-                words = word_hashes(text)
-                for p in at:
-                    start, count = (p["place"] >> 4) & ((1 << 30) - 1), p["place"] & 7
-                    out.append((p["anchor"], p["content"], doc, p["last"], words[start : start + count + WINDOW - 1].tobytes()))
-            yield pd.DataFrame(out, columns=["anchor", "content", "doc", "last", "words"])
-
-    return joined.select("doc", "text", "at").mapInPandas(fetch, _CONTENT)
-
-
+            at = batch.column(2)
+            flat = at.flatten()
+            anchor, content, place, last = (flat.field(i).to_numpy() for i in range(4))
+            ends = np.cumsum(at.value_lengths().to_numpy())
+            start, size = (place >> 4) & ((1 << 30) - 1), (place & 7) + WINDOW - 1
+            words, a = [], 0
+            for text, b in zip(batch.column(1).to_pylist(), ends, strict=True):
+                hashes = word_hashes(text)
+                words += [hashes[i : i + k].tobytes() for i, k in zip(start[a:b], size[a:b], strict=True)]
+                a = b
+            doc = np.repeat(batch.column(0).to_numpy(), np.diff(ends, prepend=0))
+            arrays = [pa.array(anchor), pa.array(content), pa.array(doc), pa.array(last), pa.array(words, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=_CONTENT_COLUMNS)
+
+    return joined.select("doc", "text", "at").mapInArrow(fetch, _CONTENT)
+
+
+_CONTENT_COLUMNS = ["anchor", "content", "doc", "last", "words"]
 _CONTENT = "anchor bigint, content bigint, doc bigint, last bigint, words binary"
 _LEAST = [f"least{i}" for i in range(_SPAN)]
 
 
-def search_shard(frame: pd.DataFrame) -> pd.DataFrame:
-    """Index a shard's contents and stream them through it: for every window
-    of each content the first document that has it.  Contents of which no
-    document after that has a copy are left out."""
+def search_shard(t: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Index a shard's contents and stream them through it.
+
+    ``t``: anchor, content, first and last document per content; ``words``:
+    their word hashes, one content after the other.  Returns anchor, content
+    and, for every window, the first document that has it; contents of which
+    no document after that has a copy are left out."""
     from ledgerline.llm.fmindex import FMIndex
 
-    parts = [np.frombuffer(w, dtype=np.uint64) for w in frame["words"]]
-    sizes = np.array([len(p) for p in parts])
-    docs, rank = np.unique(frame["doc"].to_numpy(), return_inverse=True)
-    _, symbols = np.unique(np.concatenate(parts), return_inverse=True)
+    n = len(sizes)
+    docs, rank = np.unique(t[2], return_inverse=True)
+    _, symbols = np.unique(words, return_inverse=True)
     first = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    text = np.zeros(int(sizes.sum() + len(parts)), dtype=np.int64)
+    text = np.zeros(int(sizes.sum()) + n, dtype=np.int64)
     label = np.repeat(rank, sizes + 1)
-    inside = np.arange(len(symbols)) + np.repeat(np.arange(len(parts)), sizes)
+    inside = np.arange(len(symbols)) + np.repeat(np.arange(n), sizes)
     text[inside] = symbols + 1
     index = FMIndex(text, label)
     windows = sizes - WINDOW + 1
-    owner = np.repeat(np.arange(len(parts)), windows)
+    owner = np.repeat(np.arange(n), windows)
     nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     ends = first[owner] + nth + WINDOW
     length, lo, hi = index.matching(text, ends, WINDOW)
     hit = length >= WINDOW
-    least = np.full((len(parts), _SPAN), _LAST, dtype=np.int64)
-    least[owner[hit], nth[hit]] = docs[index.least(lo[hit], hi[hit])]
-    out = pd.DataFrame(least, columns=_LEAST)
-    out.insert(0, "anchor", frame["anchor"].to_numpy())
-    out.insert(1, "content", frame["content"].to_numpy())
-    return out[least.min(axis=1) < frame["last"].to_numpy()]
+    least = np.full((_SPAN, n), _LAST, dtype=np.int64)
+    least[nth[hit], owner[hit]] = docs[index.least(lo[hit], hi[hit])]
+    out = np.concatenate([t[:2], least])
+    return out[:, least.min(axis=0) < t[3]]
 
 
 def searched(found: DataFrame) -> DataFrame:
     """(anchor, content, least0, ...): the first document of each window of
     the contents.  Whole anchors go to one shard, and a partition is cut into
     as many shards as its words fill."""
-    rows = found.repartition("anchor").sortWithinPartitions("anchor", "content")
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, words = [], 0
-        for _, frame in runs(batches, ["anchor"]):
-            frame = frame.drop_duplicates("content")
-            shard.append(frame)
-            words += int(frame["words"].map(len).sum()) // 8
-            if words >= SHARD_WORDS:
-                yield search_shard(pd.concat(shard, ignore_index=True))
-                shard, words = [], 0
-        if shard:
-            yield search_shard(pd.concat(shard, ignore_index=True))
+    rows = found.select(*_CONTENT_COLUMNS).repartition("anchor").sortWithinPartitions("anchor", "content")
+
+    def search(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def out(part: tuple) -> Iterator:
+            t, sizes, words = part
+            if t.shape[1] and (got := search_shard(t, sizes, words)).shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], names=["anchor", "content", *_LEAST])
+
+        held: list[tuple] = []  # (columns, sizes in words, words) of the shard so far
+        filled = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            raw = batch.column(4).cast(pa.large_binary())
+            ends = np.frombuffer(raw.buffers()[1], dtype=np.int64)[raw.offset : raw.offset + len(raw) + 1] // 8
+            words = np.frombuffer(raw.buffers()[2], dtype=np.uint64, count=int(ends[-1]))[int(ends[0]) :]
+            held.append((t, np.diff(ends), words))
+            filled += len(words)
+            if filled < SHARD_WORDS:
+                continue
+            t, sizes, words = (np.concatenate(x, axis=-1) for x in zip(*held, strict=True))
+            over = t[0] != t[0][-1]  # the last anchor may go on in the next batch
+            cut = int(over.sum())
+            at = int(sizes[:cut].sum())
+            yield from out(_distinct(t[:, :cut], sizes[:cut], words[:at]))
+            held, filled = [_distinct(t[:, cut:], sizes[cut:], words[at:])], 0
+            filled = len(held[0][2])
+        if held:
+            yield from out(_distinct(*(np.concatenate(x, axis=-1) for x in zip(*held, strict=True))))
 
     fields = ", ".join(f"{c} bigint" for c in ["anchor", "content", *_LEAST])
-    return rows.mapInPandas(search, fields)
+    return rows.mapInArrow(search, fields)
+
+
+def _distinct(t: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each content once (repeated rows of a text bring it again)."""
+    new = np.ones(t.shape[1], dtype=bool)
+    new[1:] = (t[0][1:] != t[0][:-1]) | (t[1][1:] != t[1][:-1])
+    return (t, sizes, words) if new.all() else (t[:, new], sizes[new], words[np.repeat(new, sizes)])
 
 
 def single_windows(rows: DataFrame) -> DataFrame:
