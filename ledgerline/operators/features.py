@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.numeric import dbl, exact_avg, nonzero, round_dbl
+from ledgerline.functions.numeric import dbl, nonzero, round_dbl
 from ledgerline.operators.broadcast import Sized
 from ledgerline.operators.star import Star
 from ledgerline.schema import FEATURE_COLUMNS, STORE_DAY_KEYS
@@ -29,19 +29,45 @@ ROLLED = ("net_revenue", "txn_count")
 
 
 def store_day_features(star: Star) -> DataFrame:
+    """One row per store and day.  The fact is summed by its own two keys
+    first, so what is shuffled and joined is one row per store key and day;
+    the second level adds up store keys that share a store and city."""
     s = Sized(star.dim_store.df.select("store_key", "store_id", "city"), star.dim_store.rows).for_join()
     d = Sized(
         star.dim_date.df.select("date_key", "full_date", "year", "month", "day_of_week", "is_weekend"),
         star.dim_date.rows,
     ).for_join()
-    joined = star.fact_sales.join(s, "store_key").join(d, "date_key")
-    return joined.groupBy(*STORE_DAY_KEYS).agg(
-        star.txn_count().alias("txn_count"),
-        F.round(F.sum("net_revenue"), 2).alias("net_revenue"),
-        F.round(exact_avg("net_revenue").cast("decimal(38,9)"), 2).alias("avg_basket"),
-        F.round(exact_avg("discount_rate").cast("decimal(38,9)"), 4).alias("avg_discount_rate"),
+    by_key = star.fact_sales.groupBy("store_key", "date_key").agg(
+        F.count("transaction_id").alias("txn_count"),
+        F.sum("net_revenue").alias("net"),
+        F.count("net_revenue").alias("n_net"),
+        F.sum("discount_rate").alias("rate"),
+        F.count("discount_rate").alias("n_rate"),
+        F.sum("margin").alias("margin"),
+    )
+    grouped = by_key.join(s, "store_key").join(d, "date_key").groupBy(*STORE_DAY_KEYS).agg(
+        F.sum("txn_count").alias("txn_count"),
+        F.round(F.sum("net"), 2).alias("net_revenue"),
+        F.round(_ratio("net", "n_net"), 2).alias("avg_basket"),
+        F.round(_ratio("rate", "n_rate"), 4).alias("avg_discount_rate"),
         F.round(F.sum("margin"), 2).alias("total_margin"),
     )
+    if star.txn_unique:
+        return grouped
+    # ids repeat: a store-day counts each of them once, whatever its keys
+    ids = star.fact_sales.select("store_key", "date_key", "transaction_id").join(s, "store_key")
+    ids = ids.groupBy("store_id", "city", "date_key").agg(F.count_distinct("transaction_id").alias("_txn"))
+    ids = ids.join(d.select("date_key", "full_date"), "date_key").select(
+        F.col("store_id").alias("_store"), F.col("city").alias("_city"), F.col("full_date").alias("_date"), "_txn"
+    )
+    same = F.col("store_id").eqNullSafe(F.col("_store")) & F.col("city").eqNullSafe(F.col("_city"))
+    out = grouped.join(ids, same & (F.col("full_date") == F.col("_date")))
+    return out.withColumn("txn_count", F.col("_txn")).drop("_store", "_city", "_date", "_txn")
+
+
+def _ratio(total: str, count: str):
+    """Mean from partial sums and counts (NULL where nothing was counted)."""
+    return (dbl(F.sum(total)) / nonzero(F.sum(count))).cast("decimal(38,9)")
 
 
 def rolling_features(daily: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.numeric import zero_if_negative
@@ -127,9 +127,10 @@ def dq_report(df: DataFrame) -> DataFrame:
     return dq_counts(first_copies(df))
 
 
-def dq_counts(firsts: DataFrame) -> DataFrame:
-    """DQ report from the keep-first rows: the copy count travels with each
-    surviving row, so the raw total needs no second scan of the feed."""
+def dq_aggregates() -> list[Column]:
+    """The columns of the DQ report, over keep-first rows: the copy count
+    travels with each surviving row, so the raw total needs no second scan of
+    the feed.  They can be observed while those rows are written."""
     bad = _null_key()
     kept = ~bad
     aggs = [
@@ -144,7 +145,24 @@ def dq_counts(firsts: DataFrame) -> DataFrame:
         F.count_if(kept).alias("rows_accepted"),
         (F.sum(COPIES) - F.count_if(kept)).cast("bigint").alias("rows_dropped"),
     ]
-    return firsts.agg(*aggs)
+    return [a.cast("bigint").alias(name) for a, name in zip(aggs, DQ_COLUMNS, strict=True)]
+
+
+DQ_COLUMNS = [
+    "total_rows", "duplicates_dropped", "null_key_rows_dropped", *[f"zeroed_{c}" for c in NUMERIC_COLUMNS],
+    "rates_clamped", "rows_accepted", "rows_dropped",
+]
+DQ_SCHEMA = ", ".join(f"{c} bigint" for c in DQ_COLUMNS)
+
+
+def dq_counts(firsts: DataFrame) -> DataFrame:
+    return firsts.agg(*dq_aggregates())
+
+
+def observed_report(spark: SparkSession, counts: dict) -> DataFrame:
+    """The DQ report from counts observed while the rows were written (sums
+    over no rows are NULL, as in the aggregate)."""
+    return spark.createDataFrame([tuple(counts[c] for c in DQ_COLUMNS)], DQ_SCHEMA)
 
 
 def _ddl_type(t) -> str:

@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators.broadcast import Sized, sized
 from ledgerline.operators.materialize import materialize, release, tracking
 from ledgerline.operators.star import Star, plan_star, unique_on
-from ledgerline.operators.validate import dq_counts, finish_validation, first_copies
+from ledgerline.operators.validate import dq_aggregates, finish_validation, first_copies
 from ledgerline.plans import anomaly, chart_data, marts
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR
 from ledgerline.schema import DIM_DATE_COLUMNS, DIM_PRODUCT_COLUMNS, DIM_STORE_COLUMNS, FACT_COLUMNS
@@ -36,10 +37,11 @@ def run_ingest(spark: SparkSession, staging_path: str, src: str | None = None, r
         raw = read_pos_csv(spark, src)
     temp: list[str] = []
     with tracking(temp):
-        # keep-first once; staging and the DQ report both read it
-        firsts = materialize(first_copies(raw), "ingest_firsts")
+        # keep-first once; the DQ report is counted while it is written
+        seen = Observation()
+        firsts = materialize(first_copies(raw).observe(seen, *dq_aggregates()), "ingest_firsts")
         write_staging(finish_validation(firsts), staging_path)
-        report = dq_counts(firsts).first().asDict()
+        report = seen.get
     release(spark, temp)
     return report
 
@@ -88,19 +90,23 @@ def run_marts(
     compare_year: int = COMPARE_YEAR,
 ) -> dict[str, int]:
     star = load_star(spark, star_path)
-    results = {
-        "revenue_decomposition": marts.revenue_decomposition(star, base_year, compare_year),
-        "store_pl": marts.store_pl(star, base_year, compare_year),
-        "discount_leakage": marts.discount_leakage(star),
-        "seasonality": marts.seasonality(star),
-    }
-    results["waterfall_points"] = chart_data.waterfall_points(results["revenue_decomposition"])
-    results["discount_scatter_points"] = chart_data.discount_scatter_points(results["discount_leakage"], compare_year)
-    counts = {}
-    for name, df in results.items():
-        # mart results are bounded by the dimension cardinalities
-        write_csv(df, f"{out_dir.rstrip('/')}/{name}", single_file=True)
-        counts[name] = spark.read.option("header", True).csv(f"{out_dir.rstrip('/')}/{name}").count()
+    counts: dict[str, int] = {}
+
+    def export(name: str, df: DataFrame) -> DataFrame:
+        """Write one result (bounded by the dimension cardinalities), count
+        it on the way, and return it as stored."""
+        seen = Observation()
+        path = f"{out_dir.rstrip('/')}/{name}"
+        write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, single_file=True)
+        counts[name] = seen.get["rows"]
+        return spark.read.option("header", True).schema(df.schema).csv(path)
+
+    revenue = export("revenue_decomposition", marts.revenue_decomposition(star, base_year, compare_year))
+    export("store_pl", marts.store_pl(star, base_year, compare_year))
+    leakage = export("discount_leakage", marts.discount_leakage(star))
+    export("seasonality", marts.seasonality(star))
+    export("waterfall_points", chart_data.waterfall_points(revenue))
+    export("discount_scatter_points", chart_data.discount_scatter_points(leakage, compare_year))
     return counts
 
 

@@ -7,13 +7,16 @@ marts / features / anomaly.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators.materialize import materialize, materialize_bucketed, release, tracking
-from ledgerline.operators.star import Star, build_star
-from ledgerline.operators.validate import COPIES, dq_counts, finish_validation, first_copies
+from ledgerline.operators.star import Parts, Star, build_star
+from ledgerline.operators.validate import COPIES, dq_aggregates, finish_validation, first_copies, observed_report
+from ledgerline.plans.maintained import parts_of
 from ledgerline.sources.adapter import pos_feed
 
 BASE_YEAR = 1999
@@ -57,8 +60,12 @@ class Pipeline:
         write of the build); staging and the DQ report are scans of it.  The
         keep-first shuffle has dealt the rows by id, so they are stored in
         buckets and the star needs no further shuffle by id."""
+        seen = Observation()
+        firsts = first_copies(self.raw).observe(seen, *dq_aggregates())
         with tracking(self.materialized):
-            return materialize_bucketed(first_copies(self.raw), "deduped", "transaction_id")
+            out = materialize_bucketed(firsts, "deduped", "transaction_id")
+        self.dq = seen.get
+        return out
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -67,7 +74,25 @@ class Pipeline:
         return finish_validation(self.deduped)
 
     def dq_report(self) -> DataFrame:
-        return dq_counts(self.deduped)
+        """Counted while the keep-first rows were written: no scan."""
+        self.deduped  # noqa: B018
+        return observed_report(self.spark, self.dq)
+
+    @cached_property
+    def parts(self) -> Parts | None:
+        """Monthly partial sums of staging, written once; None where the
+        marts must read the fact (ids or dimension members repeat)."""
+        adds_up = self.star.txn_unique and self.star.fact_rows == self.dq["rows_accepted"]
+        if not adds_up:
+            return None
+        with tracking(self.materialized):
+            parts = parts_of(self.staging)
+            return Parts(materialize(parts.category, "category_parts"), materialize(parts.store, "store_parts"))
+
+    @property
+    def summed_star(self) -> Star:
+        """The star with its partial sums: marts over it do not scan the fact."""
+        return replace(self.star, parts=self.parts)
 
     def dedup_first(self) -> DataFrame:
         return self.deduped.drop(COPIES)
@@ -87,8 +112,12 @@ class Pipeline:
         and the forest all read them)."""
         from ledgerline.operators.features import store_day_features
 
+        seen = Observation()
+        daily = store_day_features(self.star).observe(seen, F.count(F.lit(1)).alias("rows"))
         with tracking(self.materialized):
-            return materialize(store_day_features(self.star), "store_day")
+            out = materialize(daily, "store_day")
+        self.store_day_rows = seen.get["rows"]
+        return out
 
     def anomaly_scores(self, contamination: float) -> DataFrame:
         """Scored store-days, fitted once per contamination level (the
@@ -106,6 +135,6 @@ class Pipeline:
         """Delete every table this pipeline wrote to the checkpoint folder.
         DataFrames obtained from it are unusable afterwards."""
         n = release(self.spark, self.materialized)
-        for k in ("deduped", "staging", "star", "store_days", "_anomaly"):
+        for k in ("deduped", "staging", "star", "parts", "store_days", "_anomaly"):
             self.__dict__.pop(k, None)
         return n

@@ -82,3 +82,41 @@ def test_shuffle_partition_suggestion_scales_with_input(spark):
     assert size > 0
     assert suggest_shuffle_partitions(spark, paths) == spark.sparkContext.defaultParallelism
     assert suggest_shuffle_partitions(spark, paths, target_bytes=max(1, size // 50)) >= 50
+
+
+@pytest.mark.parametrize("q", [0.0, 0.03, 0.5, 0.999, 1.0])
+def test_exact_quantile_by_selection(spark, q, monkeypatch):
+    """Several passes, ties, wide ranges, infinities; no sort and no copy."""
+    from ledgerline.operators import quantile as Q
+
+    monkeypatch.setattr(Q, "BUCKETS", 8)
+    monkeypatch.setattr(Q, "FEW", 3)
+    rng = np.random.default_rng(2)
+    for values in (
+        rng.standard_normal(400),
+        np.round(rng.standard_normal(300), 1),
+        10.0 ** rng.uniform(-300, 300, 200) * rng.choice([-1, 1], 200),
+        np.array([-1.7e308, 1.7e308, 0.0, 5e-324, 1e-310]),
+        np.array([7.0]),
+        np.concatenate([[-np.inf] * 3, rng.standard_normal(20), [np.inf] * 5]),
+    ):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double")
+        ordered = np.sort(values)
+        pos = (len(values) - 1) * q
+        lo, hi = ordered[int(np.floor(pos))], ordered[int(np.ceil(pos))]
+        want = lo if pos == int(pos) else lo + (hi - lo) * (pos - int(pos))
+        got = exact_quantile(df, "v", q)
+        assert got == want or np.isnan(want) and np.isnan(got)
+
+
+def test_store_days_count_repeated_ids_once(spark):
+    from tests_support import staging_rows
+
+    from ledgerline.operators.features import store_day_features
+    from ledgerline.operators.star import build_star
+
+    rows = staging_rows(spark, 40)
+    star = build_star(rows.unionByName(rows.limit(12)))
+    got = {r.full_date: (r.txn_count, r.net_revenue) for r in store_day_features(star).collect()}
+    assert not star.txn_unique and sum(n for n, _ in got.values()) == 40
+    assert sum(x for _, x in got.values()) == 52 * star.fact_sales.first().net_revenue

@@ -131,10 +131,14 @@ def test_malformed_text_raises(spark, ansi, col, value):
 def test_pipeline_release_deletes_its_tables(spark):
     p = Pipeline(spark, SF_SMOKE)
     p.star  # noqa: B018
-    paths = list(p.materialized)
+    entries = list(p.materialized)
+    tables = [x.removeprefix("table:") for x in entries if x.startswith("table:")]
+    paths = [x for x in entries if not x.startswith("table:")]
+    assert tables and all(spark.catalog.tableExists(t) for t in tables)
     assert paths and all(os.path.exists(x.replace("file:", "")) for x in paths)
     assert p.release() == len(paths)
     assert not any(os.path.exists(x.replace("file:", "")) for x in paths)
+    assert not any(spark.catalog.tableExists(t) for t in tables)
 
 
 def test_second_file_with_reordered_header_fails_loudly(spark):
