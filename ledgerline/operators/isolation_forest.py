@@ -16,23 +16,29 @@ conventions:
 
 Spark plan:
 
-1. Subsamples: for tree ``t`` every row gets the hash ``xxhash64(h0, t)`` of its
-   key hash ``h0``; the tree's sample is the ``psi`` rows with the smallest
-   hashes (bottom-k sampling = uniform without replacement, independent per
-   tree, independent of partitioning).  Only rows whose hash falls under a
-   cut-off are emitted as candidates (about ``4 * psi`` per tree); if a tree
-   gets fewer than ``psi`` candidates (seen from its root size) the cut-off
-   is doubled and the step redone, so no tree is ever short of its exact
-   sample.
-2. Trees: ``groupBy(tree_id).applyInPandas`` - one group per tree, bounded by
-   the candidate count - grows the tree with numpy, seeded by (seed, tree).
+1. Subsamples: every row gets a 31-bit hash ``h`` of its key and every tree
+   ``t`` an own permutation ``(A_t h + B_t) mod (2**31 - 1)`` of the hashes; the
+   tree's sample is the ``psi`` rows that come first (bottom-k sampling =
+   uniform without replacement, independent of partitioning).  Only rows
+   under a cut-off are emitted as candidates (about ``4 * psi`` per tree); if
+   a tree gets fewer than ``psi`` candidates (seen from its root size) the
+   cut-off is doubled and the step redone, so no tree is ever short of its
+   exact sample.
+2. Trees: all trees grow at once, level by level, as windows over (tree,
+   node): size, minimum and maximum of each feature.  The split of a node is
+   drawn from a hash of (seed, tree, node), so every row of the node knows it
+   and goes left or right.  The samples are dealt out by tree once; all the
+   windows keep that partitioning, and a window spans at most ``psi`` rows.
+   Hashes are MD5, so the fit can be stated in SQL (it is, in ``oracle``).
 3. The forest (at most ``n_trees * (2 psi - 1)`` nodes) is collected and
-   broadcast; an Arrow ``pandas_udf`` scores rows in vectorised batches.
+   broadcast; an Arrow ``pandas_udf`` scores rows in vectorised batches.  Path
+   lengths are counted in units of 1e-9, so their sum has no order.
 4. The offset is an exact distributed quantile of the training scores.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,18 +53,9 @@ from ledgerline.session import ship_package
 
 EULER_GAMMA = 0.5772156649015329
 OVERSAMPLE = 4.0
-_NODE_SCHEMA = T.StructType(
-    [
-        T.StructField("tree_id", T.IntegerType()),
-        T.StructField("node_id", T.IntegerType()),
-        T.StructField("feature", T.IntegerType()),
-        T.StructField("threshold", T.DoubleType()),
-        T.StructField("left", T.IntegerType()),
-        T.StructField("right", T.IntegerType()),
-        T.StructField("size", T.IntegerType()),
-        T.StructField("depth", T.IntegerType()),
-    ]
-)
+PRIME = (1 << 31) - 1  # the hashes are numbers modulo this
+UNIT = 1_000_000_000  # path lengths are whole multiples of 1 / UNIT
+NODE_COLUMNS = ["tree_id", "node_id", "feature", "threshold", "left", "right", "size", "depth"]
 
 
 def average_path_length(n) -> np.ndarray:
@@ -73,48 +70,6 @@ def average_path_length(n) -> np.ndarray:
     return out
 
 
-def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int) -> dict[str, np.ndarray]:
-    """Grow one isolation tree over the rows of ``X`` (numpy, one task)."""
-    feature, threshold, left, right, size, depth = [], [], [], [], [], []
-
-    def new_node() -> int:
-        for lst, v in ((feature, -1), (threshold, 0.0), (left, -1), (right, -1), (size, 0), (depth, 0)):
-            lst.append(v)
-        return len(feature) - 1
-
-    root = new_node()
-    stack = [(root, np.arange(X.shape[0]), 0)]
-    while stack:
-        nid, idx, d = stack.pop()
-        size[nid] = len(idx)
-        depth[nid] = d
-        if len(idx) <= 1 or d >= max_depth:
-            continue
-        sub = X[idx]
-        lo = sub.min(axis=0)
-        hi = sub.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if usable.size == 0:
-            continue
-        f = int(usable[rng.integers(usable.size)])
-        t = float(rng.uniform(lo[f], hi[f]))
-        if t >= hi[f]:
-            t = float(lo[f])
-        go_left = sub[:, f] <= t
-        ln, rn = new_node(), new_node()
-        feature[nid], threshold[nid], left[nid], right[nid] = f, t, ln, rn
-        stack.append((rn, idx[~go_left], d + 1))
-        stack.append((ln, idx[go_left], d + 1))
-    return {
-        "feature": np.asarray(feature, dtype=np.int32),
-        "threshold": np.asarray(threshold, dtype=np.float64),
-        "left": np.asarray(left, dtype=np.int32),
-        "right": np.asarray(right, dtype=np.int32),
-        "size": np.asarray(size, dtype=np.int32),
-        "depth": np.asarray(depth, dtype=np.int32),
-    }
-
-
 @dataclass
 class Forest:
     """Dense (n_trees x max_nodes) node arrays; -1 feature marks a leaf."""
@@ -123,7 +78,7 @@ class Forest:
     threshold: np.ndarray
     left: np.ndarray
     right: np.ndarray
-    path_at_leaf: np.ndarray  # depth + c(size), precomputed per node
+    path_at_leaf: np.ndarray  # depth + c(size) in units, precomputed per node
     max_depth: int
     psi: int
     sample_sizes: np.ndarray | None = None  # rows each tree was grown on
@@ -136,7 +91,7 @@ class Forest:
         """-2 ** (-mean path length / c(psi)) for the rows of X."""
         m = X.shape[0]
         rows = np.arange(m)
-        total = np.zeros(m, dtype=np.float64)
+        total = np.zeros(m, dtype=np.int64)
         for t in range(self.n_trees):
             feat, thr, lft, rgt = self.feature[t], self.threshold[t], self.left[t], self.right[t]
             node = np.zeros(m, dtype=np.int64)
@@ -149,7 +104,7 @@ class Forest:
                 nxt = np.where(x <= thr[node], lft[node], rgt[node])
                 node = np.where(internal, nxt, node)
             total += self.path_at_leaf[t][node]
-        mean_h = total / self.n_trees
+        mean_h = total / float(self.n_trees * UNIT)
         return -np.power(2.0, -mean_h / float(average_path_length([self.psi])[0]))
 
     @classmethod
@@ -160,47 +115,58 @@ class Forest:
         threshold = np.zeros(shape, dtype=np.float64)
         left = np.zeros(shape, dtype=np.int32)
         right = np.zeros(shape, dtype=np.int32)
-        path = np.zeros(shape, dtype=np.float64)
+        path = np.zeros(shape, dtype=np.int64)
         t = nodes["tree_id"].to_numpy()
         n = nodes["node_id"].to_numpy()
         feature[t, n] = nodes["feature"].to_numpy()
         threshold[t, n] = nodes["threshold"].to_numpy()
         left[t, n] = np.maximum(nodes["left"].to_numpy(), 0)
         right[t, n] = np.maximum(nodes["right"].to_numpy(), 0)
-        path[t, n] = nodes["depth"].to_numpy() + average_path_length(nodes["size"].to_numpy())
+        lengths = nodes["depth"].to_numpy() + average_path_length(nodes["size"].to_numpy())
+        path[t, n] = np.round(lengths * UNIT).astype(np.int64)
         sizes = np.zeros(n_trees, dtype=np.int64)
         roots = nodes[nodes["node_id"] == 0]
         sizes[roots["tree_id"].to_numpy()] = roots["size"].to_numpy()
         return cls(feature, threshold, left, right, path, max_depth, psi, sizes)
 
 
+def _digits(text: Column, count: int) -> Column:
+    """The first ``count`` hexadecimal digits of the text's MD5, as a number."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, count), 16, 10).cast("bigint")
+
+
 def _key_hash(seed: int, keys: list[str]) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return _digits(F.concat_ws("|", F.lit(str(seed)), *parts), 8) % PRIME
 
 
-def _cutoff(p: float) -> int | None:
-    """Signed-long cut-off such that P(xxhash64 < cut-off) = p (None: keep all)."""
-    if p >= 1.0:
-        return None
-    return int(p * 2.0**64) - 2**63
+def permutations(seed: int, n_trees: int) -> list[tuple[int, int]]:
+    """(A, B) of every tree."""
 
+    def number(t: int, name: str) -> int:
+        return int(hashlib.md5(f"{seed}|{t}|{name}".encode()).hexdigest()[:8], 16)
 
-def _candidates(df: DataFrame, n_trees: int, cutoff: int | None) -> DataFrame:
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    if cutoff is not None:
-        trees = F.filter(trees, lambda t: F.xxhash64(F.col("_h0"), t) < F.lit(cutoff))
-    return (
-        df.select("*", F.explode(trees).alias("tree_id"))
-        .withColumn("_h", F.xxhash64(F.col("_h0"), F.col("tree_id")))
-    )
+    return [(1 + number(t, "a") % (PRIME - 1), number(t, "b") % PRIME) for t in range(n_trees)]
+
+
+def _candidates(df: DataFrame, seed: int, n_trees: int, cutoff: int) -> DataFrame:
+    perms = permutations(seed, n_trees)
+    pairs = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
+                      for t, (a, b) in enumerate(perms)])
+    def permuted(x: Column) -> Column:
+        return (x["a"] * F.col("_h0") + x["b"]) % PRIME
 
+    chosen = F.filter(pairs, lambda x: permuted(x) < F.lit(cutoff))
+    out = df.select("*", F.explode(chosen).alias("_x"))
+    return out.withColumns({"tree_id": F.col("_x.t"), "_h": permuted(F.col("_x"))}).drop("_x")
 
-def _samples_at(base: DataFrame, key_cols: list[str], n_trees: int, psi: int, p: float) -> DataFrame:
+
+def _samples_at(base: DataFrame, key_cols: list[str], n_trees: int, psi: int, p: float, seed: int) -> DataFrame:
     """Lazy per-tree bottom-``psi`` selection among the hash candidates at rate p.
 
     The window runs over one tree's candidates (about ``4 psi`` rows), never
     over all rows."""
-    cand = _candidates(base, n_trees, _cutoff(p))
+    cand = _candidates(base, seed, n_trees, int(p * PRIME))
     w = Window.partitionBy("tree_id").orderBy("_h", *key_cols)
     return cand.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= psi).drop("_rk", "_h0")
 
@@ -222,68 +188,127 @@ def tree_samples(
     seed: int,
 ) -> tuple[DataFrame, int]:
     """Each tree's exact subsample: per tree, the ``psi`` rows with the
-    smallest ``xxhash64(h0, tree)`` (ties broken by key).  Returns (rows
+    smallest permuted hashes (ties broken by key).  Returns (rows
     tagged with ``tree_id``, psi).  The candidate rate doubles until every
     tree has its ``psi`` rows."""
     base, psi, p = _plan_sampling(df, key_cols, max_samples, seed)
     while True:
-        picked = materialize(_samples_at(base, key_cols, n_trees, psi, p), "if_samples")
+        picked = materialize(_samples_at(base, key_cols, n_trees, psi, p, seed), "if_samples")
         counts = {r["tree_id"]: r["count"] for r in picked.groupBy("tree_id").count().collect()}
         if p >= 1.0 or all(counts.get(t, 0) >= psi for t in range(n_trees)):
             return picked, psi
         p = min(1.0, 2.0 * p)
 
 
-def fit_forest(
+def _uniform(seed: int, tree: Column, node: Column, name: str) -> Column:
+    """A number in [0, 1) of the node, from 52 bits of a hash."""
+    text = F.concat_ws("|", F.lit(str(seed)), tree.cast("string"), node.cast("string"), F.lit(name))
+    return _digits(text, 13).cast("double") / F.lit(float(1 << 52))
+
+
+def grown(samples: DataFrame, feature_cols: list[str], seed: int, max_depth: int) -> DataFrame:
+    """The nodes (``NODE_COLUMNS``) of the trees over ``samples`` (one row per
+    tree and sampled row).  Node ``i`` has the children ``2 i + 1`` and
+    ``2 i + 2``; feature -1 marks a leaf.  Rows that share all features end in
+    one leaf; a tree without rows has no node."""
+    features = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(feature_cols)]
+    rows = samples.select("tree_id", *features, F.lit(0).alias("_node"), F.lit(True).alias("_live"))
+    k = len(feature_cols)
+    node = Window.partitionBy("tree_id", "_node")
+    levels = []
+    for depth in range(max_depth + 1):
+        last = depth == max_depth
+        spans = [] if last else [
+            f(F.col(f"_x{i}")).over(node).alias(f"_{name}{i}") for i in range(k) for name, f in (("lo", F.min), ("hi", F.max))
+        ]
+        rows = rows.select("*", F.count(F.lit(1)).over(node).alias("_n"), *spans)
+        split = F.lit(None).cast("struct<f:int,t:double,x:double>")
+        if not last:
+            usable = F.filter(
+                F.array(*[
+                    F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"),
+                           F.struct(F.lit(i).alias("f"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"), F.col(f"_x{i}").alias("x")))
+                    for i in range(k)
+                ]),
+                lambda u: u.isNotNull(),
+            )
+            rows = rows.withColumn("_usable", F.when(F.col("_live"), usable))
+            drawn = F.floor(_uniform(seed, F.col("tree_id"), F.col("_node"), "feature") * F.size("_usable")).cast("int")
+            u = F.get("_usable", drawn)
+            at = u["lo"] + _uniform(seed, F.col("tree_id"), F.col("_node"), "threshold") * (u["hi"] - u["lo"])
+            at = F.when(at >= u["hi"], u["lo"]).otherwise(at)
+            some = F.size(F.coalesce("_usable", F.array())) > 0
+            split = F.when(some, F.struct(u["f"].alias("f"), at.alias("t"), u["x"].alias("x")))
+        rows = rows.withColumn("_split", split)
+        entry = F.struct(
+            F.col("_node").alias("node_id"),
+            F.coalesce(F.col("_split.f"), F.lit(-1)).alias("feature"),
+            F.coalesce(F.col("_split.t"), F.lit(0.0)).alias("threshold"),
+            F.col("_n").cast("int").alias("size"),
+            F.lit(depth).alias("depth"),
+        )
+        goes_left = F.col("_split.x") <= F.col("_split.t")
+        child = F.when(goes_left, 2 * F.col("_node") + 1).otherwise(2 * F.col("_node") + 2)
+        levels.append(f"_level{depth}")
+        rows = rows.withColumn(levels[-1], F.when(F.col("_live"), entry)).select(
+            "tree_id",
+            *[f"_x{i}" for i in range(k)],
+            F.when(F.col("_split").isNotNull(), child).otherwise(F.col("_node")).alias("_node"),
+            F.col("_split").isNotNull().alias("_live"),
+            *levels,
+        )
+    nodes = rows.select("tree_id", F.explode(F.array(*levels)).alias("e")).filter(F.col("e").isNotNull())
+    nodes = nodes.select("tree_id", "e.*").dropDuplicates(["tree_id", "node_id"])
+    inner = F.col("feature") >= 0
+    left, right = 2 * F.col("node_id") + 1, 2 * F.col("node_id") + 2
+    return nodes.select(
+        "tree_id", "node_id", "feature", "threshold", F.when(inner, left).otherwise(-1).alias("left"),
+        F.when(inner, right).otherwise(-1).alias("right"), "size", "depth",
+    )
+
+
+def fit_nodes(
     df: DataFrame,
     feature_cols: list[str],
     key_cols: list[str],
     n_trees: int = 200,
     max_samples: int = 256,
     seed: int = 42,
-) -> Forest:
-    """Fit on the rows of ``df`` (all features non-null).
+) -> tuple[DataFrame, int, int]:
+    """Fit on the rows of ``df`` (all features non-null): the written table of
+    nodes, psi and the height limit.
 
-    The samples are the ones :func:`tree_samples` defines; growing the trees
-    reports each sample's size (the root's size), so a tree short of ``psi``
-    rows is detected by the same job and the candidate rate doubled.
+    The samples are the ones :func:`tree_samples` defines; the root's size
+    shows a tree short of ``psi`` rows, and the candidate rate is doubled.
     """
-    ship_package(df.sparkSession)
     base, psi, p = _plan_sampling(df.select(*key_cols, *feature_cols), key_cols, max_samples, seed)
     max_depth = int(np.ceil(np.log2(max(psi, 2))))
-    fcols = list(feature_cols)
-    kcols = list(key_cols)
-
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree_id = int(pdf["tree_id"].iloc[0])
-        # the group is the tree's sample; sort for a partition-independent order
-        pdf = pdf.sort_values(["_h", *kcols], kind="mergesort")
-        X = pdf[fcols].to_numpy(dtype=np.float64)
-        rng = np.random.default_rng([seed, tree_id])
-        tree = grow_tree(X, rng, max_depth)
-        k = len(tree["feature"])
-        return pd.DataFrame(
-            {
-                "tree_id": np.full(k, tree_id, dtype=np.int32),
-                "node_id": np.arange(k, dtype=np.int32),
-                **tree,
-            }
-        )
-
     while True:
-        samples = _samples_at(base, kcols, n_trees, psi, p)
-        # Bounded: at most n_trees * (2 * psi - 1) rows.
-        pdf = samples.groupBy("tree_id").applyInPandas(grow, schema=_NODE_SCHEMA).toPandas()
-        roots = pdf[pdf["node_id"] == 0].set_index("tree_id")["size"]
-        complete = len(roots) == n_trees and bool((roots >= psi).all())
+        samples = _samples_at(base, list(key_cols), n_trees, psi, p, seed)
+        nodes = materialize(grown(samples, feature_cols, seed, max_depth), "if_nodes")
+        roots = nodes.filter("node_id = 0").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).first()
+        complete = roots["n"] == n_trees and roots["least"] >= psi
         if not complete and p >= 0.5 and base.count() > 2 * OVERSAMPLE * psi:
             # every row a candidate of every tree would be rows x trees
-            raise ValueError(f"the keys {kcols} repeat: too few distinct rows for the trees' samples")
+            raise ValueError(f"the keys {list(key_cols)} repeat: too few distinct rows for the trees' samples")
         if complete or p >= 1.0:
-            return Forest.from_nodes(pdf, n_trees, max_depth, psi)
+            return nodes, psi, max_depth
         p = min(1.0, 2.0 * p)
 
 
+def fit_forest(
+    df: DataFrame,
+    feature_cols: list[str],
+    key_cols: list[str],
+    n_trees: int = 200,
+    max_samples: int = 256,
+    seed: int = 42,
+) -> Forest:
+    """:func:`fit_nodes`, collected: at most ``n_trees * (2 psi - 1)`` rows."""
+    nodes, psi, max_depth = fit_nodes(df, feature_cols, key_cols, n_trees, max_samples, seed)
+    return Forest.from_nodes(nodes.toPandas(), n_trees, max_depth, psi)
+
+
 def score_column(df: DataFrame, forest: Forest, feature_cols: list[str]) -> Column:
     """Arrow-batched score_samples of the feature columns (NaN if any is NULL)."""
     ship_package(df.sparkSession)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.calendar import calendar_columns, date_key
 from ledgerline.operators.broadcast import Sized, sized
+from ledgerline.operators.hot_join import left_join
 from ledgerline.operators.materialize import bucket_count, materialize, materialize_bucketed
 from ledgerline.operators.sequence import with_row_index_counted
 from ledgerline.schema import DIM_DATE_COLUMNS, FACT_COLUMNS
@@ -58,22 +59,18 @@ def build_fact_sales(staging: DataFrame, dim_store: Sized | DataFrame, dim_produ
     """Fact rows: derived date key + left joins to the store and product keys.
 
     The date key is computed from the date (no dim_date lookup).  Dimension
-    sides are broadcast only when their counted size allows it.
+    sides are broadcast only when their counted size allows it; beyond that
+    the hot stores and products are split off before the shuffle.
     """
-    store = _side(dim_store, ["store_key", "store_id"])
-    product = _side(dim_product, ["product_key", "sku"])
-    return (
-        staging.withColumn("date_key", date_key(F.col("txn_date")))
-        .join(store, "store_id", "left")
-        .join(product, "sku", "left")
-        .select(*FACT_COLUMNS)
-    )
+    out = staging.withColumn("date_key", date_key(F.col("txn_date")))
+    out = _keyed(out, dim_store, ["store_key", "store_id"], "store_id")
+    return _keyed(out, dim_product, ["product_key", "sku"], "sku").select(*FACT_COLUMNS)
 
 
-def _side(dim: Sized | DataFrame, cols: list[str]) -> DataFrame:
+def _keyed(rows: DataFrame, dim: Sized | DataFrame, cols: list[str], key: str) -> DataFrame:
     if isinstance(dim, Sized):
-        return Sized(dim.df.select(*cols), dim.rows).for_join()
-    return dim.select(*cols)
+        return left_join(rows, Sized(dim.df.select(*cols), dim.rows), key)
+    return rows.join(dim.select(*cols), key, "left")
 
 
 def fk_null_audit(fact: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from ledgerline.operators.features import (
     scale_features,
     store_day_features,
 )
-from ledgerline.operators.isolation_forest import Forest, detect
+from ledgerline.operators.isolation_forest import Forest, detect, fit_nodes
 from ledgerline.operators.materialize import materialize
 from ledgerline.operators.star import Star
 from ledgerline.schema import FEATURE_COLUMNS
@@ -57,6 +57,13 @@ def anomaly_scores(
     return publish(rolled.select(*daily.columns, *roll_cols, "anomaly_score", "is_anomaly"))
 
 
+def forest_nodes(daily: DataFrame, n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, seed: int = SEED) -> DataFrame:
+    """The nodes of the forest that :func:`anomaly_scores` fits."""
+    complete = complete_features(daily)
+    scaled = scale_features(complete, feature_stats(complete), prefix="z_")
+    return fit_nodes(scaled, [f"z_{c}" for c in FEATURE_COLUMNS], KEYS, n_trees, max_samples, seed)[0]
+
+
 def anomaly_watchlist(scores: DataFrame) -> DataFrame:
     """Flagged store-days, most anomalous (lowest score) first."""
     return scores.filter(F.col("is_anomaly") == 1).orderBy("anomaly_score", "store_id", "full_date")

@@ -271,6 +271,13 @@ def isolation_threshold_flags(spark, sf_dir):
     )
 
 
+def forest_nodes(spark, sf_dir):
+    """M2: every node of the fitted forest; thresholds to 9 places."""
+    nodes = anomaly.forest_nodes(_daily(spark, sf_dir))
+    names = ["tree_id", "node_id", "feature", "left", "right", "size", "depth"]
+    return nodes.select(*names, round_dbl("threshold", 9).alias("threshold"))
+
+
 def anomaly_scores(spark, sf_dir):
     return _pipe(spark, sf_dir).anomaly_scores(CONTAMINATION)
 
@@ -422,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "rolling_features": rolling_features,
     "scaled_features": scaled_features,
     "isolation_threshold_flags": isolation_threshold_flags,
+    "forest_nodes": forest_nodes,
     "anomaly_scores": anomaly_scores,
     "anomaly_watchlist": anomaly_watchlist,
     "watchlist_top10": watchlist_top10,

@@ -1,11 +1,11 @@
 """Isolation forest: brute-force checks on small fixtures and properties."""
 
 import datetime as dt
+import hashlib
 
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators import isolation_forest as IF
@@ -36,22 +36,70 @@ def test_average_path_length_values():
     assert c[4] == pytest.approx(10.244770920116851, rel=1e-12)
 
 
+def brute_sample(keys, t, psi, seed):
+    """The psi keys whose permuted hashes are smallest, in plain Python."""
+    def digits(text):
+        return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
+
+    p = 2**31 - 1
+    a, b = 1 + digits(f"{seed}|{t}|a") % (p - 1), digits(f"{seed}|{t}|b") % p
+    return sorted(keys, key=lambda k: ((a * (digits("|".join([str(seed), *map(str, k)])) % p) + b) % p, *k))[:psi]
+
+
 def test_tree_samples_equal_brute_force_bottom_k(spark):
     df = fixture_df(spark, n=300)
     got, psi = IF.tree_samples(df.select(*KEYS), KEYS, n_trees=6, max_samples=32, seed=42)
     assert psi == 32
-    # brute force: every (row, tree) pair, smallest psi hashes per tree
-    allpairs = (
-        df.select(*KEYS)
-        .withColumn("_h0", F.xxhash64(F.lit(42), *[F.col(k) for k in KEYS]))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("tree_id"))
-        .withColumn("_h", F.xxhash64("_h0", "tree_id"))
-    )
-    w = Window.partitionBy("tree_id").orderBy("_h", *KEYS)
-    brute = allpairs.withColumn("r", F.row_number().over(w)).filter(f"r <= {psi}")
-    a = sorted(tuple(r) for r in got.select("tree_id", *KEYS).collect())
-    b = sorted(tuple(r) for r in brute.select("tree_id", *KEYS).collect())
-    assert a == b
+    keys = [tuple(r) for r in df.select(*KEYS).collect()]
+    have = got.select("tree_id", *KEYS).collect()
+    for t in range(6):
+        assert sorted((r[1], r[2]) for r in have if r[0] == t) == sorted(brute_sample(keys, t, 32, 42))
+
+
+def brute_tree(rows, t, seed, top):
+    """Grow one tree by recursion."""
+    def draw(node, name):
+        return int(hashlib.md5(f"{seed}|{t}|{node}|{name}".encode()).hexdigest()[:13], 16) / 2.0**52
+
+    def grow(node, rows, depth):
+        usable = [f for f in range(len(rows[0])) if max(r[f] for r in rows) > min(r[f] for r in rows)]
+        if depth == top or not usable:
+            return {node: (-1, 0.0, len(rows), depth)}
+        f = usable[int(draw(node, "feature") * len(usable))]
+        lo, hi = min(r[f] for r in rows), max(r[f] for r in rows)
+        at = lo + draw(node, "threshold") * (hi - lo)
+        at = lo if at >= hi else at
+        out = {node: (f, at, len(rows), depth)}
+        out |= grow(2 * node + 1, [r for r in rows if r[f] <= at], depth + 1)
+        return out | grow(2 * node + 2, [r for r in rows if r[f] > at], depth + 1)
+
+    return grow(0, rows, 0)
+
+
+@pytest.mark.parametrize("n", [1, 2, 50, 400])
+def test_grown_nodes_equal_brute_force(spark, n):
+    rng = np.random.default_rng(n)
+    base = dt.date(2020, 1, 1)
+    # ties: whole numbers, a constant feature and repeated rows
+    rows = [(f"S{i % 7}", base + dt.timedelta(days=i), float(rng.integers(4)), float(rng.normal()), 3.0) for i in range(n)]
+    df = spark.createDataFrame(rows, "store_id string, full_date date, a double, b double, c double")
+    nodes, psi, top = IF.fit_nodes(df, FEATS, KEYS, n_trees=5, max_samples=64, seed=9)
+    assert psi == min(n, 64)
+    got = nodes.collect()
+    values = {(r[0], r[1]): r[2:] for r in rows}
+    for t in range(5):
+        want = brute_tree([values[k] for k in brute_sample(list(values), t, psi, 9)], t, 9, top)
+        have = {r["node_id"]: (r["feature"], r["threshold"], r["size"], r["depth"]) for r in got if r["tree_id"] == t}
+        assert have == want
+
+
+def test_the_fit_shuffles_the_candidates_once(spark):
+    """All windows keep the partitioning by tree; no Python runs in the fit."""
+    df = fixture_df(spark, n=300)
+    base, psi, p = IF._plan_sampling(df, KEYS, 64, 1)
+    nodes = IF.grown(IF._samples_at(base, KEYS, 4, psi, p, 1), FEATS, 1, 6)
+    plan = nodes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(tree_id") == 1 and "Python" not in plan and "Pandas" not in plan
 
 
 def _naive_path(forest, t, x):
@@ -71,21 +119,11 @@ def test_vectorised_scoring_equals_naive_traversal(spark):
     c = IF.average_path_length([forest.psi])[0]
     naive = []
     for x in X:
-        h = np.mean([_naive_path(forest, t, x)[0] for t in range(forest.n_trees)])
+        h = np.mean([_naive_path(forest, t, x)[0] / 1e9 for t in range(forest.n_trees)])
         naive.append(-(2.0 ** (-h / c)))
     assert np.allclose(fast, naive, rtol=0, atol=1e-12)
 
 
-def test_tree_growth_respects_height_limit_and_sizes():
-    rng = np.random.default_rng(3)
-    X = rng.normal(size=(256, 4))
-    tree = IF.grow_tree(X, np.random.default_rng(9), max_depth=8)
-    assert tree["depth"].max() <= 8
-    leaves = tree["feature"] < 0
-    assert tree["size"][leaves].sum() == 256
-    assert tree["size"][0] == 256
-
-
 def test_detect_flags_contamination_share_and_planted_outliers(spark):
     df = fixture_df(spark, n=400, outliers=3)
     out = IF.detect(df, FEATS, KEYS, contamination=0.03, n_trees=50, seed=42)

@@ -1,5 +1,5 @@
 """Every registered query against its DuckDB oracle at sf0.001 (the driver
-runs the same comparison at sf0.01); queries without SQL run rows-only."""
+runs the same comparison at sf0.01)."""
 
 import os
 import re
@@ -22,16 +22,15 @@ def con():
     return duck(SF_SMOKE)
 
 
-def test_every_query_has_an_oracle_or_is_a_model():
-    missing = set(NAMES) - set(E.oracle_sql())
-    assert missing == {"anomaly_scores", "anomaly_watchlist", "watchlist_top10"}
+def test_every_query_has_an_oracle():
+    assert set(NAMES) <= set(E.oracle_sql())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, SF_SMOKE, name, E.queries()[name], E.oracle_sql().get(name), con)
-    assert res["status"] in ("MATCH", "rows-only"), res
+    assert res["status"] == "MATCH", res
     assert res["spark_rows"] > 0
 
 
