@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.materialize import materialize
+from ledgerline.operators.materialize import bucket_count, materialize
 from ledgerline.operators.quantile import exact_quantile
 from ledgerline.session import ship_package
 
@@ -150,15 +150,14 @@ def permutations(seed: int, n_trees: int) -> list[tuple[int, int]]:
 
 
 def _candidates(df: DataFrame, seed: int, n_trees: int, cutoff: int) -> DataFrame:
-    perms = permutations(seed, n_trees)
-    pairs = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
-                      for t, (a, b) in enumerate(perms)])
-    def permuted(x: Column) -> Column:
-        return (x["a"] * F.col("_h0") + x["b"]) % PRIME
-
-    chosen = F.filter(pairs, lambda x: permuted(x) < F.lit(cutoff))
-    out = df.select("*", F.explode(chosen).alias("_x"))
-    return out.withColumns({"tree_id": F.col("_x.t"), "_h": permuted(F.col("_x"))}).drop("_x")
+    """(row, tree) pairs under the cut-off: made and filtered in one codegen
+    stage, dealt out by tree."""
+    pairs = ", ".join(f"struct({t} AS t, {a}L AS a, {b}L AS b)" for t, (a, b) in enumerate(permutations(seed, n_trees)))
+    out = df.select("*", F.explode(F.expr(f"array({pairs})")).alias("_x"))
+    out = out.withColumn("_h", F.expr(f"(_x.a * _h0 + _x.b) % {PRIME}L")).filter(F.col("_h") < cutoff)
+    out = out.withColumn("tree_id", F.col("_x.t")).drop("_x")
+    # a few rows per tree: a number of partitions that is not coalesced away
+    return out.repartition(max(1, min(n_trees, bucket_count(df.sparkSession))), "tree_id")
 
 
 def _samples_at(base: DataFrame, key_cols: list[str], n_trees: int, psi: int, p: float, seed: int) -> DataFrame:
@@ -200,10 +199,10 @@ def tree_samples(
         p = min(1.0, 2.0 * p)
 
 
-def _uniform(seed: int, tree: Column, node: Column, name: str) -> Column:
-    """A number in [0, 1) of the node, from 52 bits of a hash."""
-    text = F.concat_ws("|", F.lit(str(seed)), tree.cast("string"), node.cast("string"), F.lit(name))
-    return _digits(text, 13).cast("double") / F.lit(float(1 << 52))
+def _uniform(seed: int, name: str) -> str:
+    """SQL of a number in [0, 1) of the node, from 52 bits of a hash."""
+    text = f"concat_ws('|', '{seed}', string(tree_id), string(_node), '{name}')"
+    return f"double(bigint(conv(substring(md5(binary({text})), 1, 13), 16, 10))) / {1 << 52}D"
 
 
 def grown(samples: DataFrame, feature_cols: list[str], seed: int, max_depth: int) -> DataFrame:
@@ -213,58 +212,36 @@ def grown(samples: DataFrame, feature_cols: list[str], seed: int, max_depth: int
     one leaf; a tree without rows has no node."""
     features = [F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(feature_cols)]
     rows = samples.select("tree_id", *features, F.lit(0).alias("_node"), F.lit(True).alias("_live"))
-    k = len(feature_cols)
-    node = Window.partitionBy("tree_id", "_node")
-    levels = []
+    xs = [f"_x{i}" for i in range(len(feature_cols))]
+    node = "OVER (PARTITION BY tree_id, _node)"
+    # a live node's features that vary in it
+    usable = "filter(array(" + ", ".join(
+        f"IF(_hi{i} > _lo{i}, named_struct('f', {i}, 'lo', _lo{i}, 'hi', _hi{i}, 'x', {x}), NULL)" for i, x in enumerate(xs)
+    ) + "), u -> u IS NOT NULL)"
+    at = "_u.lo + _r * (_u.hi - _u.lo)"
+    levels: list[str] = []
     for depth in range(max_depth + 1):
-        last = depth == max_depth
-        spans = [] if last else [
-            f(F.col(f"_x{i}")).over(node).alias(f"_{name}{i}") for i in range(k) for name, f in (("lo", F.min), ("hi", F.max))
-        ]
-        rows = rows.select("*", F.count(F.lit(1)).over(node).alias("_n"), *spans)
-        split = F.lit(None).cast("struct<f:int,t:double,x:double>")
-        if not last:
-            usable = F.filter(
-                F.array(*[
-                    F.when(F.col(f"_hi{i}") > F.col(f"_lo{i}"),
-                           F.struct(F.lit(i).alias("f"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"), F.col(f"_x{i}").alias("x")))
-                    for i in range(k)
-                ]),
-                lambda u: u.isNotNull(),
-            )
-            rows = rows.withColumn("_usable", F.when(F.col("_live"), usable))
-            drawn = F.floor(_uniform(seed, F.col("tree_id"), F.col("_node"), "feature") * F.size("_usable")).cast("int")
-            u = F.get("_usable", drawn)
-            at = u["lo"] + _uniform(seed, F.col("tree_id"), F.col("_node"), "threshold") * (u["hi"] - u["lo"])
-            at = F.when(at >= u["hi"], u["lo"]).otherwise(at)
-            some = F.size(F.coalesce("_usable", F.array())) > 0
-            split = F.when(some, F.struct(u["f"].alias("f"), at.alias("t"), u["x"].alias("x")))
-        rows = rows.withColumn("_split", split)
-        entry = F.struct(
-            F.col("_node").alias("node_id"),
-            F.coalesce(F.col("_split.f"), F.lit(-1)).alias("feature"),
-            F.coalesce(F.col("_split.t"), F.lit(0.0)).alias("threshold"),
-            F.col("_n").cast("int").alias("size"),
-            F.lit(depth).alias("depth"),
+        if depth < max_depth:
+            spans = [f"{f}({x}) {node} AS _{n}{i}" for i, x in enumerate(xs) for n, f in (("lo", "min"), ("hi", "max"))]
+            rows = rows.selectExpr("*", f"count(1) {node} AS _n", *spans)
+            rows = rows.selectExpr("tree_id", *xs, "_node", "_live", "_n", *levels, f"IF(_live, {usable}, NULL) AS _usable")
+            drawn = f"get(_usable, int(floor({_uniform(seed, 'feature')} * size(_usable)))) AS _u"
+            rows = rows.selectExpr("tree_id", *xs, "_node", "_live", "_n", *levels, drawn, f"{_uniform(seed, 'threshold')} AS _r")
+            threshold = f"IF({at} >= _u.hi, _u.lo, {at}) AS _t"
+            rows = rows.selectExpr("tree_id", *xs, "_node", "_live", "_n", *levels, "_u.f AS _f", "_u.x AS _x", threshold)
+        else:
+            rows = rows.selectExpr("*", f"count(1) {node} AS _n", "INT(NULL) AS _f", "DOUBLE(NULL) AS _x", "DOUBLE(NULL) AS _t")
+        entry = (
+            "IF(_live, named_struct('node_id', _node, 'feature', coalesce(_f, -1), 'threshold', coalesce(_t, 0D), "
+            f"'size', int(_n), 'depth', {depth}), NULL) AS _level{depth}"
         )
-        goes_left = F.col("_split.x") <= F.col("_split.t")
-        child = F.when(goes_left, 2 * F.col("_node") + 1).otherwise(2 * F.col("_node") + 2)
+        child = "IF(_f IS NULL, _node, 2 * _node + IF(_x <= _t, 1, 2)) AS _node"
+        rows = rows.selectExpr("tree_id", *xs, child, "_f IS NOT NULL AS _live", *levels, entry)
         levels.append(f"_level{depth}")
-        rows = rows.withColumn(levels[-1], F.when(F.col("_live"), entry)).select(
-            "tree_id",
-            *[f"_x{i}" for i in range(k)],
-            F.when(F.col("_split").isNotNull(), child).otherwise(F.col("_node")).alias("_node"),
-            F.col("_split").isNotNull().alias("_live"),
-            *levels,
-        )
-    nodes = rows.select("tree_id", F.explode(F.array(*levels)).alias("e")).filter(F.col("e").isNotNull())
+    nodes = rows.selectExpr("tree_id", f"explode(array({', '.join(levels)})) AS e").filter("e IS NOT NULL")
     nodes = nodes.select("tree_id", "e.*").dropDuplicates(["tree_id", "node_id"])
-    inner = F.col("feature") >= 0
-    left, right = 2 * F.col("node_id") + 1, 2 * F.col("node_id") + 2
-    return nodes.select(
-        "tree_id", "node_id", "feature", "threshold", F.when(inner, left).otherwise(-1).alias("left"),
-        F.when(inner, right).otherwise(-1).alias("right"), "size", "depth",
-    )
+    left, right = "IF(feature < 0, -1, 2 * node_id + 1) AS left", "IF(feature < 0, -1, 2 * node_id + 2) AS right"
+    return nodes.selectExpr("tree_id", "node_id", "feature", "threshold", left, right, "size", "depth")
 
 
 def fit_nodes(
