@@ -50,19 +50,20 @@ def with_row_index_counted(
     # Freeze the partition assignment: a table in the shared checkpoint folder
     # survives recomputation and lost executors.
     ranged = materialize(ranged, "rowindex")
-    counts = materialize(ranged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_cnt")), "rowcounts")
-    total = counts.agg(F.sum("_ri_cnt")).first()[0] or 0
-    out = ranged.join(F.broadcast(partition_offsets(counts)), "_ri_part")
+    counts = ranged.groupBy("_ri_part").agg(F.count(F.lit(1)).alias("_ri_cnt"))
+    offsets = materialize(partition_offsets(counts), "rowoffsets")
+    total = offsets.agg(F.sum("_ri_cnt")).first()[0] or 0
+    out = ranged.join(F.broadcast(offsets.drop("_ri_cnt")), "_ri_part")
     local = F.col("_ri_mono") - F.shiftleft(F.col("_ri_part").cast("bigint"), 33)
     out = out.withColumn(name, (F.col("_ri_before") + local + F.lit(start)).cast("bigint"))
     return out.select(*[F.col(f"`{c}`") for c in df.columns], name), total
 
 
 def partition_offsets(counts: DataFrame) -> DataFrame:
-    """(_ri_part, _ri_before): rows of the partitions before each partition."""
+    """The counts with ``_ri_before``: rows of the partitions before each one."""
     before = Window.orderBy("_ri_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = F.coalesce(F.sum("_ri_cnt").over(before), F.lit(0).cast("bigint"))
-    return counts.select("_ri_part", sums.alias("_ri_before"))
+    return counts.select("_ri_part", "_ri_cnt", sums.alias("_ri_before"))
 
 
 def with_row_index(

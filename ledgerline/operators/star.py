@@ -29,7 +29,8 @@ def build_dim_date(staging: DataFrame) -> DataFrame:
 def _dim_with_key(staging: DataFrame, natural: list[str], key: str) -> Sized:
     distinct = staging.select(*natural).distinct()
     keyed, rows = with_row_index_counted(distinct, [F.col(c).asc_nulls_first() for c in natural], key, start=1)
-    return Sized(keyed.select(F.col(key).cast("bigint").alias(key), *natural), rows)
+    # written: the marts read a plain table, not the numbering's join
+    return Sized(materialize(keyed.select(F.col(key).cast("bigint").alias(key), *natural), key), rows)
 
 
 def dim_store_sized(staging: DataFrame) -> Sized:
