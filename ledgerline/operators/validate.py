@@ -66,9 +66,10 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def dedup_first(df: DataFrame) -> DataFrame:
-    """Drop repeated ``transaction_id`` rows, keeping the first in source order."""
-    return keep_first(df, "transaction_id", ROW_SEQ)
+def dedup_first(df: DataFrame, dealt: bool = False) -> DataFrame:
+    """Drop repeated ``transaction_id`` rows, keeping the first in source order
+    (``dealt``: rows of a table in buckets by id)."""
+    return keep_first(df, "transaction_id", ROW_SEQ, dealt=dealt)
 
 
 def _null_key(df_cols=KEY_COLUMNS):
@@ -106,9 +107,9 @@ def finish_validation(firsts: DataFrame) -> DataFrame:
     return out.drop(*[c for c in (ROW_SEQ, COPIES) if c in out.columns])
 
 
-def validate(df: DataFrame) -> DataFrame:
+def validate(df: DataFrame, dealt: bool = False) -> DataFrame:
     """Full chain; returns the raw columns (plus extras) without ``_row_seq``."""
-    return finish_validation(dedup_first(conform(df)))
+    return finish_validation(dedup_first(conform(df), dealt))
 
 
 def first_copies(df: DataFrame) -> DataFrame:

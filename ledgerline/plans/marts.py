@@ -20,9 +20,10 @@ from ledgerline.operators.broadcast import Sized
 from ledgerline.operators.star import Star
 
 
-# The marts aggregate the fact by key and calendar month first and join the
+# The marts aggregate the fact by key and calendar month and join the
 # dimensions to that partial result: the fact itself is shuffled once, as
-# partial sums, however large the product dimension is.
+# partial sums, however large the product dimension is.  A product dimension
+# under the broadcast bound is joined before, so the sums are per category.
 def _months(star: Star, date_cols: tuple[str, ...]) -> DataFrame:
     """The calendar's months (bounded by the calendar, not by the data)."""
     months = star.dim_date.df.select(F.expr("date_key div 100").alias("ym"), *date_cols).distinct()
@@ -69,9 +70,14 @@ def category_months(
     fact = _fact_months(star, year)
     if "discount_bucket" in extra:
         fact = fact.withColumn("discount_bucket", discount_bucket(F.col("discount_rate")))
+    p = Sized(star.dim_product.df.select("product_key", "category"), star.dim_product.rows)
+    if p.fits_broadcast():
+        # a product and month hold few rows each, a category and month many:
+        # joined on the map side, hardly anything is left to shuffle
+        part = _partial(fact.join(p.for_join(), "product_key"), ["category", "ym", *extra], measures)
+        return part.join(_months(star, date_cols), "ym")
     part = _partial(fact, ["product_key", "ym", *extra], measures)
-    p = Sized(star.dim_product.df.select("product_key", "category"), star.dim_product.rows).for_join()
-    return part.join(p, "product_key").join(_months(star, date_cols), "ym")
+    return part.join(p.for_join(), "product_key").join(_months(star, date_cols), "ym")
 
 
 def store_months(star: Star, measures: tuple[str, ...]) -> DataFrame:

@@ -13,11 +13,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.dedup import hot_slots, keep_first
 from ledgerline.operators.materialize import materialize, materialize_bucketed, release, tracking
 from ledgerline.operators.star import Parts, Star, build_star
-from ledgerline.operators.validate import COPIES, dq_aggregates, finish_validation, first_copies, observed_report
+from ledgerline.operators.validate import COPIES, conform, dq_aggregates, finish_validation, first_copies, observed_report
 from ledgerline.plans.maintained import parts_of
-from ledgerline.sources.adapter import pos_feed
+from ledgerline.schema import ROW_SEQ
+from ledgerline.sources.adapter import line_order, narrow_feed, pos_feed
 
 BASE_YEAR = 1999
 COMPARE_YEAR = 2000
@@ -61,12 +63,34 @@ class Pipeline:
         keep-first shuffle has dealt the rows by id, so they are stored in
         buckets and the star needs no further shuffle by id."""
         seen = Observation()
-        firsts = first_copies(self.raw).observe(seen, *dq_aggregates())
+        firsts = self._firsts().observe(seen, *dq_aggregates())
         with tracking(self.materialized):
             out = materialize_bucketed(firsts, "deduped", "transaction_id")
         self.dq = seen.get
         return out
 
+    @cached_property
+    def _narrow(self):
+        return narrow_feed(self.spark, self.sf_dir, self.dirty) if self._raw is None else None
+
+    def _firsts(self) -> DataFrame:
+        """Keep-first rows with their copy counts.  The feed's texts depend on
+        the line alone, so they are joined to the lines that are kept."""
+        if self._narrow is None:
+            return first_copies(self.raw)
+        lines, rows = self._narrow
+        kept = keep_first(lines, "transaction_id", line_order(), copies_col=COPIES)
+        return conform(rows(kept)).drop(ROW_SEQ)
+
+    def raw_by_id(self) -> tuple[DataFrame, bool]:
+        """The raw feed over lines written once, and whether they lie in buckets
+        by id (not where one id has too many rows for a bucket)."""
+        if self._narrow is None or hot_slots(self._narrow[0], "transaction_id"):
+            return materialize(conform(self.raw), "deliveries"), False
+        lines, rows = self._narrow
+        stored = materialize_bucketed(lines.repartition(F.col("transaction_id")), "deliveries", "transaction_id")
+        return conform(rows(stored)), True
+
     @cached_property
     def staging(self) -> DataFrame:
         """Validated staging: the remaining validation steps over ``deduped``

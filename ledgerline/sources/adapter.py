@@ -20,10 +20,13 @@ file order), used by keep-first de-duplication.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.broadcast import Sized, sized_many
+from ledgerline.operators.star import unique_on
 from ledgerline.schema import MONEY, RATE, RAW_COLUMNS, ROW_SEQ
 from ledgerline.sources.tables import read_table
 
@@ -36,18 +39,36 @@ DEFECT_NULL_RATE = 79
 # -----------------------------------------------------------------------------
 
 
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+
+
 def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_shipdate",
+    return _pos_rows(_lines(spark, sf_dir), _dimensions(spark, sf_dir), dirty)
+
+
+def narrow_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]] | None:
+    """The lines alone, with their transaction id, and the step that makes POS
+    rows of them (keeping further columns), for a shuffle by id that need not
+    carry the texts of the dimensions.  None where that step would add rows
+    (keys of part or supplier repeat) or shuffle itself."""
+    dims = _dimensions(spark, sf_dir)
+    for dim, key in zip(dims, ("p_partkey", "s_suppkey"), strict=True):
+        if not (dim.fits_broadcast() and unique_on(dim.df, key)):
+            return None
+    return _lines(spark, sf_dir), lambda lines: _pos_rows(lines, dims, dirty)
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                 F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        *LINE_COLUMNS,
     )
+
+
+def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[Sized, Sized]:
+    """Part, and supplier with its nation and region."""
     # part and supplier grow with the data (TPC-H: 200k and 10k rows per SF).
     # Their row counts come from parquet footers; they are broadcast only
     # under the row bound and shuffle-joined beyond it.
@@ -63,11 +84,30 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
               F.col("n_regionkey") == F.col("r_regionkey"))
     )
     supplier_geo = supplier.df.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
+    return part, Sized(supplier_geo, supplier.rows)
+
+
+def line_order() -> Column:
+    """The source order, from a line's own values."""
+    return F.struct(
+        F.col("l_shipdate").cast("date").alias("d"),
+        F.col("l_partkey").alias("p"),
+        F.col("l_suppkey").alias("s"),
+        F.col("l_quantity").cast("int").alias("q"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("x"),
+        F.col("l_discount").cast("decimal(18,4)").alias("c"),
+        F.col("l_tax").cast("decimal(18,4)").alias("t"),
+    )
+
+
+def _pos_rows(li: DataFrame, dims: tuple[Sized, Sized], dirty: bool) -> DataFrame:
+    part, supplier = dims
+    more = [c for c in li.columns if c not in ("transaction_id", *LINE_COLUMNS)]
     # left joins: a line without its part or supplier stays in the feed, and
     # validation rejects and counts it for its missing key
     joined = (
         li.join(part.for_join(), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(Sized(supplier_geo, supplier.rows).for_join(), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(supplier.for_join(), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     )
 
     qty = F.col("l_quantity").cast("int")
@@ -82,8 +122,7 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     margin = (net - qty * unit_cost).cast(MONEY)
 
     pos = joined.select(
-        F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        "transaction_id",
         F.col("l_shipdate").cast("date").alias("txn_date"),
         F.concat(F.lit("S"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("store_id"),
         F.col("n_name").alias("city"),
@@ -98,15 +137,8 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
         net.alias("net_revenue"),
         margin.alias("margin"),
         F.col("l_orderkey").alias("_ok"),
-        F.struct(
-            F.col("l_shipdate").cast("date").alias("d"),
-            F.col("l_partkey").alias("p"),
-            F.col("l_suppkey").alias("s"),
-            qty.alias("q"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("x"),
-            F.col("l_discount").cast("decimal(18,4)").alias("c"),
-            F.col("l_tax").cast("decimal(18,4)").alias("t"),
-        ).alias(ROW_SEQ),
+        line_order().alias(ROW_SEQ),
+        *more,
     )
     if dirty:
         ok = F.col("_ok")
@@ -115,9 +147,10 @@ def pos_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
                 _defect(c, ok) for c in RAW_COLUMNS
             ],
             ROW_SEQ,
+            *more,
         )
     else:
-        pos = pos.select(*RAW_COLUMNS, ROW_SEQ)
+        pos = pos.select(*RAW_COLUMNS, ROW_SEQ, *more)
     return pos
 
 
