@@ -363,14 +363,14 @@ def _maintained(spark, sf_dir):
         base = _sink_path(pipe, "maintained")
         temp: list[str] = []
         with tracking(temp):
-            feed = materialize(V.conform(pipe.raw), "deliveries")
+            feed, dealt = pipe.raw_by_id()
         day, overlap = F.col("txn_date"), dt.timedelta(days=INCREMENTAL_OVERLAP_DAYS)
         starts = [None, *[c - overlap for c in DELIVERY_CUTS]]
         for epoch, (lo, hi) in enumerate(zip(starts, [*DELIVERY_CUTS, None], strict=True)):
             part = feed if lo is None else feed.filter(day >= F.lit(lo))
             part = part if hi is None else part.filter(day < F.lit(hi))
             for _ in range(2 if epoch == 2 else 1):
-                maintained.apply_delivery(spark, base, part, "feed", epoch)
+                maintained.apply_delivery(spark, base, part, "feed", epoch, dealt)
         release(spark, temp)
         pipe.__dict__["_maintained"] = base
     return maintained.load_maintained(spark, pipe.__dict__["_maintained"])

@@ -138,9 +138,10 @@ def _grow(stored: Sized | None, rows: DataFrame, key: str, natural: list[str]) -
     return stored.df.select(key, *natural).unionByName(keyed), before + added, again
 
 
-def apply_delivery(spark: SparkSession, base: str, raw: DataFrame, stream_id: str, epoch_id: int) -> int:
+def apply_delivery(spark: SparkSession, base: str, raw: DataFrame, stream_id: str, epoch_id: int, dealt: bool = False) -> int:
     """Commit one delivery of raw POS lines; returns the rows it added, 0 for
-    a load that was committed before."""
+    a load that was committed before.  ``dealt``: the lines come from a table
+    in buckets by transaction id."""
     base = base.rstrip("/")
     at = files.current(spark, base)
     if at is not None:
@@ -150,17 +151,17 @@ def apply_delivery(spark: SparkSession, base: str, raw: DataFrame, stream_id: st
     temp: list[str] = []
     with tracking(temp):
         version = files.new_version(spark, base)
-        rows = _commit(spark, base, at, version, raw, stream_id, epoch_id)
+        rows = _commit(spark, base, at, version, validate(raw, dealt), stream_id, epoch_id)
     release(spark, temp)
     files.prune(spark, base)
     return rows
 
 
-def _commit(spark, base: str, at: dict | None, version: str, raw: DataFrame, stream_id: str, epoch_id: int) -> int:
+def _commit(spark, base: str, at: dict | None, version: str, valid: DataFrame, stream_id: str, epoch_id: int) -> int:
     path = files.version_path(base, version)
     meta = at["meta"] if at else {"rows": {}, "loads": 0, "adds_up": True, "first": None, "last": None}
     stored_rows = meta["rows"].get("staging", 0)
-    fresh = validate(raw).select(*RAW_COLUMNS)
+    fresh = valid.select(*RAW_COLUMNS)
     if stored_rows:
         stored = _committed(spark, base, "staging", _loads(spark, at, "rows > 0"), ["transaction_id"])
         fresh = new_rows(fresh, stored, "transaction_id")
