@@ -23,12 +23,13 @@ from ledgerline.operators.quantile import exact_quantile
 from ledgerline.plans import anomaly, chart_data, fixed_forest, maintained, marts, scoped
 from ledgerline.plans.pipeline import BASE_YEAR, COMPARE_YEAR, Pipeline
 from ledgerline.schema import ROW_SEQ
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import dropped_shuffles, ensure_checkpoint_dir
 from ledgerline.sinks.writers import save_table, write_csv, write_staging
 from ledgerline.sources.pos_csv import read_pos_csv
 from ledgerline.sources.tables import table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
+CSV_FILE_LINES = 1_000_000
 
 
 _PIPELINES: dict[tuple, Pipeline] = {}
@@ -177,10 +178,14 @@ def csv_roundtrip_staging(spark, sf_dir):
     p = _pipe(spark, sf_dir)
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/ledgerline-pos-csv-{uuid.uuid4().hex}"
-    feed = V.conform(p.raw)
-    # range-partitioned sort: part files are named in partition order
-    feed.orderBy(ROW_SEQ).drop(ROW_SEQ).write.option("header", True).csv(path)
     p.materialized.append(path)
+    # range-partitioned sort: part files are named in partition order
+    feed = V.conform(p.raw_in_order()).drop(ROW_SEQ)
+    # the text takes several times the bytes of the tables; a compressed file is
+    # read by one task, so its lines are bounded
+    options = {"header": True, "compression": "gzip", "maxRecordsPerFile": CSV_FILE_LINES}
+    with dropped_shuffles(spark):
+        feed.write.options(**options).csv(path)
     return publish(V.validate(read_pos_csv(spark, path)))
 
 

@@ -19,7 +19,7 @@ from ledgerline.operators.star import Parts, Star, build_star
 from ledgerline.operators.validate import COPIES, conform, dq_aggregates, finish_validation, first_copies, observed_report
 from ledgerline.plans.maintained import parts_of
 from ledgerline.schema import ROW_SEQ
-from ledgerline.sources.adapter import line_order, narrow_feed, pos_feed
+from ledgerline.sources.adapter import line_order, narrow_feed, ordered_feed, pos_feed
 
 BASE_YEAR = 1999
 COMPARE_YEAR = 2000
@@ -56,6 +56,12 @@ class Pipeline:
             return self._raw
         return pos_feed(self.spark, self.sf_dir, dirty=self.dirty)
 
+    def raw_in_order(self) -> DataFrame:
+        """The raw feed in source order: by partition, and by row inside each."""
+        if self._raw is not None:
+            return conform(self._raw).orderBy(ROW_SEQ)
+        return ordered_feed(self.spark, self.sf_dir, dirty=self.dirty)
+
     @cached_property
     def deduped(self) -> DataFrame:
         """Keep-first rows with copy counts, written once (the only full

@@ -3,6 +3,7 @@ making sure reliable checkpoints have a directory to write to."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -59,6 +60,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def dropped_shuffles(spark: SparkSession):
+    """Shuffle files of a query that runs inside the block are deleted when it
+    ends, not when the driver next collects garbage.  For a large write whose
+    plan does not run again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -20,12 +20,14 @@ file order), used by keep-first de-duplication.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import Sized, sized_many
+from ledgerline.operators.broadcast import Sized, sized, sized_many
+from ledgerline.operators.materialize import bucket_count
 from ledgerline.operators.star import unique_on
 from ledgerline.schema import MONEY, RATE, RAW_COLUMNS, ROW_SEQ
 from ledgerline.sources.tables import read_table
@@ -39,6 +41,10 @@ DEFECT_NULL_RATE = 79
 # -----------------------------------------------------------------------------
 
 
+PART_KEYS, SUPPLIER_KEYS = ("l_partkey", "p_partkey"), ("l_suppkey", "s_suppkey")
+# columns that the rows and their order read in this type (or a narrower one) only
+NARROW_TYPES = {"l_shipdate": "date", "l_quantity": "int", "l_discount": "decimal(18,4)", "l_tax": "decimal(18,4)"}
+LINES_PER_PART = 250_000  # of the feed in source order
 LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
 
 
@@ -58,13 +64,41 @@ def narrow_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> tuple[D
     return _lines(spark, sf_dir), lambda lines: _pos_rows(lines, dims, dirty)
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ordered_feed(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
+    """The feed in source order: by partition, and by row inside each.
+
+    The lines are dealt out by range as they are.  Texts of dimensions that are
+    broadcast, and everything formed from a line, come behind that shuffle; a
+    dimension beyond the bound is joined before it, by a shuffle of its own.
+    The sort stands after the joins, because Spark drops one below a join.
+    """
+    part, supplier = _dimensions(spark, sf_dir)
     li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("transaction_id"),
-        *LINE_COLUMNS,
+    lines = li.select(
+        "l_linenumber",
+        # what the rows and their order read of these columns, in values that
+        # take fewer bytes of a shuffle
+        *[F.col(c).cast(NARROW_TYPES[c]).alias(c) if c in NARROW_TYPES else F.col(c) for c in LINE_COLUMNS],
     )
+    joins = {True: [], False: []}
+    for dim, keys in ((part, PART_KEYS), (supplier, SUPPLIER_KEYS)):
+        joins[dim.fits_broadcast()].append((dim, *keys))
+    order = line_order_columns()
+    # a given number: these lines are so narrow that AQE would merge them into
+    # partitions whose rows, with their texts, exceed the memory of a sort
+    parts = min(bucket_count(spark), max(1, math.ceil(sized(li).rows / LINES_PER_PART)))
+    rows = _joined(_joined(lines, joins[False]).repartitionByRange(parts, *order), joins[True])
+    rows = rows.sortWithinPartitions(*order)
+    return _pos_columns(rows.withColumn("transaction_id", _transaction_id()), dirty)
+
+
+def _transaction_id() -> Column:
+    return F.concat(F.lit("TXN"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(_transaction_id().alias("transaction_id"), *LINE_COLUMNS)
 
 
 def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[Sized, Sized]:
@@ -87,9 +121,9 @@ def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[Sized, Sized]:
     return part, Sized(supplier_geo, supplier.rows)
 
 
-def line_order() -> Column:
+def line_order_columns() -> list[Column]:
     """The source order, from a line's own values."""
-    return F.struct(
+    return [
         F.col("l_shipdate").cast("date").alias("d"),
         F.col("l_partkey").alias("p"),
         F.col("l_suppkey").alias("s"),
@@ -97,19 +131,28 @@ def line_order() -> Column:
         F.col("l_extendedprice").cast("decimal(18,2)").alias("x"),
         F.col("l_discount").cast("decimal(18,4)").alias("c"),
         F.col("l_tax").cast("decimal(18,4)").alias("t"),
-    )
+    ]
+
+
+def line_order() -> Column:
+    return F.struct(*line_order_columns())
+
+
+def _joined(li: DataFrame, joins: list[tuple[Sized, str, str]]) -> DataFrame:
+    # left joins: a line without its part or supplier stays in the feed, and
+    # validation rejects and counts it for its missing key
+    for dim, line_key, dim_key in joins:
+        li = li.join(dim.for_join(), F.col(line_key) == F.col(dim_key), "left")
+    return li
 
 
 def _pos_rows(li: DataFrame, dims: tuple[Sized, Sized], dirty: bool) -> DataFrame:
     part, supplier = dims
     more = [c for c in li.columns if c not in ("transaction_id", *LINE_COLUMNS)]
-    # left joins: a line without its part or supplier stays in the feed, and
-    # validation rejects and counts it for its missing key
-    joined = (
-        li.join(part.for_join(), F.col("l_partkey") == F.col("p_partkey"), "left")
-        .join(supplier.for_join(), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    )
+    return _pos_columns(_joined(li, [(part, *PART_KEYS), (supplier, *SUPPLIER_KEYS)]), dirty, more)
+
 
+def _pos_columns(joined: DataFrame, dirty: bool, more: list[str] = ()) -> DataFrame:
     qty = F.col("l_quantity").cast("int")
     gross = F.col("l_extendedprice").cast(MONEY)
     rate = (F.col("l_discount").cast(RATE) + F.lit(2) * F.col("l_tax").cast(RATE)).cast(RATE)
